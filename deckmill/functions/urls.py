@@ -175,3 +175,12 @@ def download_link(html: Column, page_url: Column, site_root: str) -> Column:
         F.nullif(download, F.lit("")),
         F.nullif(export, F.lit("")),
         F.when(number != "", F.concat(F.lit(f"{site_root}/download/"), number)))
+
+
+def under_any_parent(host: Column, names: Iterable[str]) -> Column:
+    """True when ``host`` is a strict subdomain of one of ``names``."""
+    test = F.lit(False)
+    for labels, group in sorted(by_label_count(names).items()):
+        tail = F.substring_index(host, ".", -labels)
+        test = test | (tail.isin(group) & (host != tail))
+    return test

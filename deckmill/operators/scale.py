@@ -15,7 +15,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from deckmill.session import cut_lineage
@@ -35,7 +34,8 @@ def attach(df: DataFrame, facts: DataFrame, keys: Sequence[str], size: str,
     ``size`` names the column of ``facts`` with the number of ``df`` rows per key;
     ``spread_on`` names columns of ``df`` that tell rows of one key apart.
     Rows of hot keys meet their facts in a broadcast of the hot keys only and
-    are scattered by a salt in the following join, where they match nothing.
+    are scattered by a salt in the following join, where they match nothing;
+    rows with a null key are scattered likewise and get null facts.
     """
     keys = list(keys)
     values = [c for c in facts.columns if c not in keys]
@@ -45,7 +45,10 @@ def attach(df: DataFrame, facts: DataFrame, keys: Sequence[str], size: str,
         *keys, F.col("__fact").alias("__cold"),
         # zero for every cold key, computed so that it stays a join key
         F.least(F.col("__size"), F.lit(0)).cast("int").alias("__salt"))
-    salt = F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(
+    stays = F.col("__hot").isNull()
+    for key in keys:
+        stays = stays & F.col(key).isNotNull()
+    salt = F.when(stays, F.lit(0)).otherwise(
         F.lit(1) + F.pmod(F.xxhash64(*spread_on), F.lit(_SPREAD)).cast("int"))
     joined = (df.join(F.broadcast(hot), keys, "left")
               .withColumn("__salt", salt)
@@ -143,7 +146,3 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     for frame in frames[1:]:
         out = out.unionByName(frame, allowMissingColumns=True)
     return out
-
-
-def empty_like(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.sparkSession.createDataFrame([], schema)
