@@ -139,20 +139,29 @@ def resolve_collisions(df: DataFrame, name: str, order: Sequence[str], out: str
                        taken: DataFrame | None = None) -> DataFrame:
     """First file keeps its name, later ones get ``_1``, ``_2`` … before the suffix.
 
-    ``taken`` lists names already at the destination, one row each; they shift the numbers.
-    A generated name that meets another file's own name gets its number raised
-    in the same way by a second pass over the full names.
+    Names of ``taken`` (first column) are in use at the destination already. A made
+    name may equal another file's own name; such rows go round again until all
+    names differ, which one more round nearly always settles.
     """
-    placed = scale.number_in_group(df, [name], order, "__n", order, start=0)
-    if taken is not None:
-        used = taken.select(F.col(taken.columns[0]).alias(name)).distinct()
-        from deckmill.operators import ledger
-
-        placed = ledger.flag_seen(placed, used, [name], order, "__taken")
-        placed = placed.withColumn("__n", F.col("__n") + F.col("__taken").cast("int")).drop("__taken")
-    c = F.col(name)
-    numbered = F.concat(names.stem(c), F.lit("_"), F.col("__n").cast("string"), names.suffix(c))
-    return placed.withColumn(out, F.when(F.col("__n") == 0, c).otherwise(numbered)).drop("__n")
+    from deckmill.operators import ledger
+
+    placed = df.withColumn(out, F.col(name)).withColumn("__made", F.lit(0))
+    used = taken.select(F.col(taken.columns[0]).alias(out)).distinct() if taken is not None else None
+    while True:
+        placed = scale.number_in_group(placed, [out], ["__made", *order], "__n", order, start=0)
+        if used is not None:
+            placed = ledger.flag_seen(placed, used, [out], order, "__taken")
+            placed = placed.withColumn("__n", F.col("__n") + F.col("__taken").cast("int")).drop("__taken")
+        c = F.col(out)
+        numbered = F.concat(names.stem(c), F.lit("_"), F.col("__n").cast("string"), names.suffix(c))
+        placed = (placed.withColumn("__made", F.when(F.col("__n") > 0, F.col("__made") + 1).otherwise(F.col("__made")))
+                  .withColumn(out, F.when(F.col("__n") == 0, c).otherwise(numbered)).drop("__n"))
+        clash = placed.groupBy(out).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+        if used is not None:
+            clash = clash.select(out).union(placed.where(F.col("__made") > 0).select(out).join(used, out, "left_semi"))
+        if clash.isEmpty():
+            return placed.drop("__made")
+        used = None if used is None else used.join(placed.where(F.col("__made") == 0).select(out).distinct(), out, "left_anti")
 
 
 def joint_url_name(df: DataFrame, order: Sequence[str], url: str = "url", filename: str = "filename") -> DataFrame:

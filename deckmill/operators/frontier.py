@@ -12,14 +12,18 @@ from deckmill.functions import urls
 from deckmill.operators import dedup, ledger, scale
 
 
+def _seeded(key: Column, seed: int) -> Column:
+    return F.md5(F.encode(F.concat(key, F.lit(f"|{seed}")), "UTF-8"))
+
+
 def drawn(key: Column, seed: int, percent: int) -> Column:
     """Repeatable draw of about ``percent`` of the keys."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(100)) < percent
+    return F.conv(F.substring(_seeded(key, seed), 1, 8), 16, 10).cast("bigint") % F.lit(100) < F.lit(percent)
 
 
 def shuffled_rank(key: Column, seed: int) -> Column:
     """Repeatable shuffle order."""
-    return F.xxhash64(key, F.lit(seed))
+    return F.substring(_seeded(key, seed), 1, 16)
 
 
 def _explode_literals(df: DataFrame, values: Sequence[str], name: str) -> DataFrame:
@@ -52,9 +56,9 @@ def build_frontier(domains: DataFrame, topics: Sequence[str] | Mapping[str, Sequ
         heads = ["filetype:pptx", "filetype:ppt", *[f"{p} filetype:pptx" for p in broad_phrases]]
         parts.insert(0, _explode_literals(broad, heads, "head").select(
             "country", F.lit(0).alias("priority"), F.concat_ws(" ", "head", "domain").alias("query")))
-    rank = shuffled_rank(F.col("query"), seed) if shuffle else F.lit(0).cast("bigint")
+    rank = shuffled_rank(F.col("query"), seed) if shuffle else F.lit("")
     return scale.union_all(parts).withColumn(
-        "shuffle_rank", F.when(F.col("priority") == 0, F.lit(None).cast("bigint")).otherwise(rank))
+        "shuffle_rank", F.when(F.col("priority") == 0, F.lit(None).cast("string")).otherwise(rank))
 
 
 def fixed_and_sampled(domains: DataFrame, topics: Sequence[str], main_domain: str,
@@ -73,10 +77,10 @@ def sample_frontier(domains: DataFrame, topics: Sequence[str], n_topics: int = 2
     """Notebook variant: all plain domain queries, and a seeded sample of topics by domains per country."""
     plain = _explode_literals(domains, ["filetype:pptx", "filetype:ppt"], "head").select(
         "country", F.concat_ws(" ", "head", "domain").alias("query"))
-    few = scale.top_per_key(domains, ["country"], [shuffled_rank(F.col("domain"), seed), F.col("domain")],
+    few = scale.top_per_key(domains, ["country"], [shuffled_rank(F.col("domain"), seed), "domain"],
                             n_domains, ["domain"])
     # Topics are ranked once per country by a hash of both.
-    options = F.array(*[F.struct(F.xxhash64(F.col("country"), F.lit(t), F.lit(seed)), F.lit(t).alias("topic"))
+    options = F.array(*[F.struct(shuffled_rank(F.concat(F.col("country"), F.lit(f"|{t}")), seed).alias("r"), F.lit(t).alias("topic"))
                         for t in sorted(set(topics))])
     picked = few.withColumn("__t", F.explode(F.slice(F.array_sort(options), F.lit(1), F.lit(n_topics))))
     topical = picked.select("country", F.concat(

@@ -170,7 +170,8 @@ def robots_denies(text: Column, mode: str = "strict") -> Column:
 
 
 def with_robots(df: DataFrame, url_col: str, robots: DataFrame, spread_on: Sequence[str],
-                mode: str = "strict", name: str = "robots_txt") -> DataFrame:
+                mode: str = "strict", name: str = "robots_txt",
+                exempt: Sequence[str] = tuple(fv.API_SOURCE_HOSTS)) -> DataFrame:
     """Left-join stored robots text by authority. API hosts are exempt; no text allows."""
     host = urls.authority(F.col(url_col))
     rules = robots.select(F.lower("domain").alias("__host"), robots_denies(F.col("text"), mode).alias("__deny"))
@@ -181,14 +182,14 @@ def with_robots(df: DataFrame, url_col: str, robots: DataFrame, spread_on: Seque
     else:
         sizes = staged.groupBy("__host").agg(F.count("*").alias("__n"))
         joined = scale.attach(staged, rules.join(sizes, "__host"), ["__host"], "__n", spread_on).drop("__n")
-    deny = F.coalesce("__deny", F.lit(False)) & ~urls.under_any(F.col("__host"), fv.API_SOURCE_HOSTS)
+    deny = F.coalesce("__deny", F.lit(False)) & ~urls.under_any(F.col("__host"), exempt)
     return joined.withColumn(name, F.when(deny, F.lit("REVIEW")).otherwise(F.lit("PASS"))).drop("__host", "__deny")
 
 
-def is_api_source(url: Column) -> Column:
-    return urls.under_any(urls.authority(url), fv.API_SOURCE_HOSTS)
+def is_api_source(url: Column, hosts: Sequence[str] = tuple(fv.API_SOURCE_HOSTS)) -> Column:
+    return urls.under_any(urls.authority(url), hosts)
 
 
-def rights_review(url: Column) -> tuple[Column, Column]:
+def rights_review(url: Column, hosts: Sequence[str] = tuple(fv.OPEN_SOURCE_HOSTS)) -> tuple[Column, Column]:
     """Status, which is always PASS, and whether the host is a known open one."""
-    return F.lit("PASS"), urls.under_any(urls.authority(url), fv.OPEN_SOURCE_HOSTS)
+    return F.lit("PASS"), urls.under_any(urls.authority(url), hosts)
