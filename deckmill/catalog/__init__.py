@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["web", "texts"]
+MODULES = ["web", "texts", "copies"]
 
 
 def registered() -> dict:

@@ -190,8 +190,8 @@ def slide_flags(spark, d):
 _REASONING_HITS = " + ".join(f"CAST(bool_or(contains(t, {q(k)})) AS INTEGER)" for k in sorted(set(REASONING)))
 _DECKS = f"""decks AS (SELECT *, CAST(ana_n AS DOUBLE) / n AS ana_pct, CAST(heavy_n AS DOUBLE) / n AS heavy_pct,
     CAST(photo_n AS DOUBLE) / n AS photo_pct, least(1.0::DOUBLE, hits / 5.0::DOUBLE) AS score FROM (
-  SELECT doc_id, count(*) AS n, count_if(ana) AS ana_n, count_if(chart) AS chart_n, count_if(tbl) AS tbl_n, count_if(dia) AS dia_n,
-    count_if(heavy) AS heavy_n, count_if(photo) AS photo_n, {_REASONING_HITS} AS hits FROM flags GROUP BY doc_id) x),
+  SELECT doc_id, count(*) AS n, count(CASE WHEN ana THEN 1 END) AS ana_n, count(CASE WHEN chart THEN 1 END) AS chart_n, count(CASE WHEN tbl THEN 1 END) AS tbl_n, count(CASE WHEN dia THEN 1 END) AS dia_n,
+    count(CASE WHEN heavy THEN 1 END) AS heavy_n, count(CASE WHEN photo THEN 1 END) AS photo_n, {_REASONING_HITS} AS hits FROM flags GROUP BY doc_id) x),
 tiers AS (SELECT *, CASE WHEN heavy_pct >= 0.75::DOUBLE THEN 'LOW' WHEN photo_pct >= 0.5::DOUBLE THEN 'LOW'
     WHEN ana_pct >= 0.5::DOUBLE AND chart_n + dia_n >= 3 THEN 'HIGH' WHEN ana_pct >= 0.4::DOUBLE AND chart_n + dia_n >= 1 THEN 'MEDIUM'
     WHEN ana_pct >= 0.2::DOUBLE AND chart_n + dia_n >= 1 THEN 'MEDIUM' ELSE 'LOW' END AS tier FROM decks)"""
@@ -230,7 +230,7 @@ def legacy_tiers(spark, d):
 
 
 @CATALOG.add("delivery_tiers", f"""WITH {FILES}, {SLIDES}, {_FLAGS},
-o AS (SELECT f.doc_id, f.extension, count_if(chart) AS charts, count_if(tbl) AS tables, count(*) AS n
+o AS (SELECT f.doc_id, f.extension, count(CASE WHEN chart THEN 1 END) AS charts, count(CASE WHEN tbl THEN 1 END) AS tables, count(*) AS n
       FROM flags JOIN files f USING (doc_id) GROUP BY ALL)
 SELECT doc_id, round((charts + tables) * 100.0::DOUBLE / n, 1) AS analytical_pct,
   CASE WHEN extension = '.ppt' THEN 'UNKNOWN' WHEN (charts + tables) / n::DOUBLE * 100 >= 50 AND charts + tables >= 3 THEN 'HIGH'
@@ -245,8 +245,8 @@ def delivery_tiers(spark, d):
 
 
 @CATALOG.add("conversation_rollup", """
-SELECT conv_id, count(*) AS slide_count, count_if(contains(lower(text), 'tion')) AS analytical_slides,
-       round(count_if(contains(lower(text), 'tion')) / count(*)::DOUBLE, 6) AS analytical_pct
+SELECT conv_id, count(*) AS slide_count, count(CASE WHEN contains(lower(text), 'tion') THEN 1 END) AS analytical_slides,
+       round(count(CASE WHEN contains(lower(text), 'tion') THEN 1 END) / count(*)::DOUBLE, 6) AS analytical_pct
 FROM conversations GROUP BY conv_id""")
 def conversation_rollup(spark, d):
     c = table(spark, d, "conversations").withColumn("text_length", F.length("text"))
@@ -373,7 +373,7 @@ def full_verdict(spark, d):
 
 
 @CATALOG.add("verdict_by_source", f"""{_VERDICT_CTES}
-SELECT source, decision, count(*) AS n, count_if(valid AND hard IS NULL AND tier = 'HIGH') AS high FROM verdicts GROUP BY source, decision""")
+SELECT source, decision, count(*) AS n, count(CASE WHEN valid AND hard IS NULL AND tier = 'HIGH' THEN 1 END) AS high FROM verdicts GROUP BY source, decision""")
 def verdict_by_source(spark, d):
     v = verified(spark, d)
     return v.groupBy("source", "decision").agg(F.count("*").alias("n"), F.count_if(F.col("quality_classification") == "HIGH").alias("high"))
@@ -388,7 +388,7 @@ def verdict_without_quality(spark, d):
 
 @CATALOG.add("verdict_routing", f"""{_VERDICT_CTES}
 SELECT CASE WHEN decision = 'REJECT' THEN 'rejected' ELSE 'kept' END AS route, decision, count(*) AS n,
-  sum(CASE WHEN reason = '' OR reason LIKE 'Insuff%' OR reason LIKE 'Exceeds%' THEN v.slides ELSE 0 END) AS slides
+  CAST(sum(CASE WHEN reason = '' OR reason LIKE 'Insuff%' OR reason LIKE 'Exceeds%' THEN v.slides ELSE 0 END) AS BIGINT) AS slides
 FROM verdicts JOIN (SELECT doc_id AS id2, slides FROM valid) v ON v.id2 = verdicts.doc_id GROUP BY ALL""")
 def verdict_routing(spark, d):
     routed = verdict.route(verdict.write_back(verified(spark, d).drop("slide_count", "file_size")))
@@ -410,9 +410,9 @@ def audit_rows(spark, d):
 @CATALOG.add("stats_by_source", f"""{_VERDICT_CTES},
 o AS (SELECT source, CASE decision WHEN 'DELIVER' THEN 'delivered' WHEN 'REVIEW' THEN 'review' ELSE 'rejected' END AS outcome,
              CASE WHEN valid AND hard IS NULL THEN tier ELSE '' END AS tier FROM verdicts)
-SELECT coalesce(source, 'TOTAL') AS source, count(*) AS downloaded, count_if(outcome = 'delivered') AS delivered, count_if(outcome = 'review') AS review,
-  count_if(outcome = 'rejected') AS rejected, 0 AS skipped, 0 AS failed, count_if(tier = 'HIGH') AS high_count, count_if(tier = 'MEDIUM') AS medium_count,
-  count_if(tier = 'LOW') AS low_count FROM o GROUP BY ROLLUP (source)""")
+SELECT coalesce(source, 'TOTAL') AS source, count(*) AS downloaded, count(CASE WHEN outcome = 'delivered' THEN 1 END) AS delivered, count(CASE WHEN outcome = 'review' THEN 1 END) AS review,
+  count(CASE WHEN outcome = 'rejected' THEN 1 END) AS rejected, 0 AS skipped, 0 AS failed, count(CASE WHEN tier = 'HIGH' THEN 1 END) AS high_count, count(CASE WHEN tier = 'MEDIUM' THEN 1 END) AS medium_count,
+  count(CASE WHEN tier = 'LOW' THEN 1 END) AS low_count FROM o GROUP BY ROLLUP (source)""")
 def stats_by_source(spark, d):
     from deckmill.operators import stats
 

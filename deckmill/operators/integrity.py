@@ -138,20 +138,35 @@ def template_funnel(df: DataFrame, seen_tags: DataFrame, *, floor: int = SizeFlo
                     usa_names: Sequence[str] = tuple(fv.USA_NAME_KEYWORDS),
                     cjk_pattern: str = fv.CJK_PATTERN, terms: Sequence[str] = tuple(fv.US_CONTENT_TERMS)) -> DataFrame:
     """Filter funnel of the template set; null reason means kept."""
-    from deckmill.operators import screens
+    from deckmill.operators import ledger, screens
 
-    seen = seen_tags.select(F.col("tag").alias(tag)).distinct().withColumn("__seen", F.lit(True))
-    low = F.lower(F.col(name))
-    joined = df.join(scale.broadcast_if_small(seen), tag, "left")
-    reason = (F.when(F.col(size).isNull(), "invalid")
-              .when(F.col(size) < floor, "too_small")
-              .when(~F.col(magic_ok), "invalid")
-              .when(tx.contains_any(low, china_names), "china_filename")
-              .when(tx.contains_any(low, usa_names), "usa_filename")
+    flagged = ledger.flag_seen(df, seen_tags.select(F.col("tag").alias(tag)), [tag], [name], "__seen")
+    reason = (_name_reasons(name, size, magic_ok, floor, china_names, usa_names)
               .when(F.col("__seen"), "duplicate")
               .when(screens.cjk_dense(F.col(parts), pattern=cjk_pattern, first_only=True), "china_content")
               .when(screens.topically_dense(F.col(parts), terms), "usa_content"))
-    return joined.withColumn("reason", reason).drop("__seen")
+    return flagged.withColumn("reason", reason).drop("__seen")
+
+
+def _name_reasons(name: str, size: str, magic: str, floor: int, china_names: Sequence[str], usa_names: Sequence[str]) -> Column:
+    low = F.lower(F.col(name))
+    return (F.when(F.col(size).isNull(), "invalid").when(F.col(size) < floor, "too_small").when(~F.col(magic), "invalid")
+            .when(tx.contains_any(low, china_names), "china_filename").when(tx.contains_any(low, usa_names), "usa_filename"))
+
+
+def content_funnel(df: DataFrame, *, floor: int = SizeFloors().bulk, name: str = "name", size: str = "file_size",
+                   magic_ok: str = "magic_ok", tag: str = "tag", parts: str = "slides", order: Sequence[str] = ("path",),
+                   china_names: Sequence[str] = tuple(fv.CHINA_STRONG_NAME_KEYWORDS),
+                   usa_names: Sequence[str] = tuple(fv.USA_STRONG_NAME_KEYWORDS), cjk_pattern: str = fv.CJK_PATTERN) -> DataFrame:
+    """Notebook funnel: duplicates by content within the run, looked for before the slide text."""
+    from deckmill.operators import dedup, screens
+
+    early = df.withColumn("__early", _name_reasons(name, size, magic_ok, floor, china_names, usa_names))
+    keyed = early.withColumn("__key", F.when(F.col("__early").isNull(), F.col(tag)))
+    marked = dedup.mark_copies(keyed, ["__key"], list(order), list(order), "__keeper", "__copy")
+    reason = F.coalesce("__early", F.when(F.col("__copy"), "duplicate").when(
+        screens.cjk_dense(F.col(parts), pattern=cjk_pattern, first_only=True), "china_content"))
+    return marked.withColumn("reason", reason).drop("__early", "__key", "__keeper", "__copy")
 
 
 def accept_unparsed(df: DataFrame, rules: DeliveryRules = DeliveryRules(), *, error: str = "parse_error",

@@ -137,3 +137,41 @@ def delivery_tier(charts: Column, tables: Column, slides: Column, extension: Col
     tier = (F.when((share >= 50) & (drawn >= 3), "HIGH")
             .when((share >= 40) | (drawn >= 1), "MEDIUM").otherwise("LOW"))
     return F.when(F.lower(extension) == ".ppt", "UNKNOWN").otherwise(tier) if extension is not None else tier
+
+
+def rollup_parts(decks: DataFrame, parts: str = "parts", keywords: Sequence[str] = tuple(fv.REASONING_KEYWORDS),
+                 markers: SlideMarkers = SlideMarkers(), rules: QualityRules = QualityRules()) -> DataFrame:
+    """The rollup where a deck row carries its slides: no shuffle, the row is the group."""
+    chosen = F.filter(parts, lambda p: p["is_slide"])
+    lowered = F.transform(chosen, lambda p: F.struct(
+        F.lower(p["xml"]).alias("low"), F.lower(p["text"]).alias("text"), p["parsed"].alias("ok"),
+        F.when(p["parsed"], p["text_length"]).otherwise(F.lit(0)).alias("n"), p["has_table"].alias("table")))
+    signs = F.transform("__low", lambda p: F.struct(
+        (p["ok"] & tx.contains_any(p["low"], markers.chart)).alias("chart"), (p["ok"] & p["table"]).alias("table"),
+        (p["ok"] & tx.contains_any(p["low"], markers.diagram)).alias("diagram"),
+        (p["ok"] & tx.contains_any(p["low"], markers.image)).alias("image"), p["n"].alias("n"),
+        keyword_mask(p["text"], keywords).alias("mask")))
+
+    def n(test) -> Column:
+        return F.size(F.filter("__signs", test))
+
+    def analytical(s: Column) -> Column:
+        return s["chart"] | s["table"] | s["diagram"]
+    counted = decks.withColumn("__low", lowered).withColumn("__signs", signs).withColumns({
+        "slide_count": F.size("__signs"),
+        "analytical_slides": n(analytical),
+        "slides_with_chart": n(lambda s: s["chart"]),
+        "table_slides": n(lambda s: s["table"]),
+        "diagram_slides": n(lambda s: s["diagram"]),
+        "text_heavy_slides": n(lambda s: (s["n"] > rules.text_heavy_chars) & ~analytical(s)),
+        "photo_heavy_slides": n(lambda s: s["image"] & ~analytical(s) & (s["n"] < rules.photo_heavy_chars)),
+        "__mask": F.aggregate("__signs", F.lit(0).cast("bigint"), lambda acc, s: acc.bitwiseOR(s["mask"])),
+    })
+
+    def share(c: str) -> Column:
+        return F.when(F.col("slide_count") > 0, F.col(c) / F.col("slide_count")).otherwise(F.lit(0.0))
+    return counted.withColumns({
+        "analytical_pct": share("analytical_slides"), "text_heavy_pct": share("text_heavy_slides"),
+        "photo_heavy_pct": share("photo_heavy_slides"),
+        "reasoning_score": F.least(F.lit(1.0), F.bit_count("__mask") / F.lit(rules.reasoning_full_hits)),
+    }).drop("__low", "__signs", "__mask")

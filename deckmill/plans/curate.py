@@ -21,35 +21,30 @@ def verify_decks(files: DataFrame, robots: DataFrame | None, pirate: Sequence[st
     """Full verdict of deck files with bytes.
 
     Wants ``path``, ``name``, ``extension``, ``file_size``, ``content``,
-    ``source_url`` and ``download_url``. The bytes are read once; deck facts and
-    slide rollup meet again on the unique path.
+    ``source_url`` and ``download_url``. Every step works on the deck's own row:
+    the bytes are read and parsed once and nothing is shuffled.
     """
     from deckmill.operators import policy
 
     keep = ["path", "name", "extension", "file_size", "source_url", "download_url", "file_hash", "is_html"]
     hashed = files.withColumn("file_hash", F.sha2("content", 256)).withColumn("is_html", ct.is_html(F.col("content")))
     parsed = decks.parse_decks(hashed, keep)
-    slides = quality.slide_flags(decks.slides_of(parsed.select("path", "parts")), rules=quality_rules)
-    rolled = quality.deck_rollup(slides, ["path"], rules=quality_rules)
-    facts = parsed.withColumn("slide_text", F.when(F.lower("extension") == ".pptx", decks.deck_text(F.col("parts"))).otherwise(""))
-    facts = facts.withColumn("container_reason", decks.container_reason(F.col("extension"))).withColumn(
-        "slide_count", F.col("slide_members"))
-    checked = integrity.validate(facts, integrity_rules).drop("slide_count", "parts", "is_html")
-    checked = checked.withColumn("check_url", F.coalesce(F.nullif("source_url", F.lit("")), "download_url"))
+    legacy = F.lower("extension") == ".ppt"
+    facts = parsed.withColumns({
+        "slide_text": F.when(legacy, "").otherwise(decks.deck_text(F.col("parts"))),
+        "container_reason": decks.container_reason(F.col("extension")),
+        "check_url": F.coalesce(F.nullif("source_url", F.lit("")), "download_url"),
+    })
+    checked = integrity.validate(facts, integrity_rules, slides="slide_members").drop("is_html")
     if robots is not None:
         checked = policy.with_robots(checked, "check_url", robots, ["path"], name="robots_in")
     screened = screens.compliance(checked, "check_url", "slide_text", pirate,
                                   "robots_in" if robots is not None else None, pii=pii).drop("slide_text")
-    joined = screened.join(rolled, "path", "left")
-    counted = joined.fillna(0, ["slide_count", "analytical_slides", "slides_with_chart", "table_slides", "diagram_slides"]).fillna(
-        0.0, ["analytical_pct", "text_heavy_pct", "photo_heavy_pct", "reasoning_score"])
-    tiered = quality.with_tier(counted, "chart_files", quality_rules)
-    legacy = F.lower("extension") == ".ppt"
+    tiered = quality.with_tier(quality.rollup_parts(screened, rules=quality_rules).drop("parts"), "chart_files", quality_rules)
     tiered = tiered.withColumn("quality_classification", F.when(
         legacy, quality.legacy_tier(F.col("file_size"), quality_rules)).otherwise(F.col("quality_classification")))
     ready = tiered.withColumn("quality_summary", quality.summary_line()).withColumn("filename", F.col("name"))
-    judged = verdict.verify(ready.drop("slide_count"), quality_rules, skip_quality)
-    return judged.drop("file_hash", "robots_in", "check_url")
+    return verdict.verify(ready, quality_rules, skip_quality).drop("file_hash", "robots_in", "check_url")
 
 
 def package(files: DataFrame, cards: DataFrame | None, day: Column, now: Column, first_number: int = 1,

@@ -41,6 +41,10 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
 def difference(spark_frame: pd.DataFrame, sql_frame: pd.DataFrame) -> str:
     if sorted(spark_frame.columns) != sorted(sql_frame.columns):
         return f"columns {sorted(spark_frame.columns)} != {sorted(sql_frame.columns)}"
+    for c in spark_frame.columns:
+        kinds = [f[c].dtype.kind.replace("u", "i").replace("T", "O") for f in (spark_frame, sql_frame)]
+        if kinds[0] != kinds[1] and not spark_frame[c].isna().all():
+            return f"column {c}: {spark_frame[c].dtype} != {sql_frame[c].dtype}"
     a, b = canonical(spark_frame), canonical(sql_frame)
     if len(a) != len(b):
         return f"rows {len(a)} != {len(b)}; spark {a[:2]} sql {b[:2]}"
