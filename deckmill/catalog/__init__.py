@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["web", "texts", "copies"]
+MODULES = ["web", "texts", "copies", "feeds", "binary", "watching"]
 
 
 def registered() -> dict:

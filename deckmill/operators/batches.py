@@ -12,8 +12,9 @@ from deckmill.functions import names
 from deckmill.operators import scale
 
 
-def medium_cap(high: Column, rules: DeliveryRules = DeliveryRules()) -> Column:
-    return F.floor(high / F.lit(rules.high_share) * F.lit(rules.medium_share)).cast("bigint")
+def medium_cap(high: int, rules: DeliveryRules = DeliveryRules()) -> int:
+    """MEDIUM files that go with ``high`` HIGH files."""
+    return int(high / rules.high_share * rules.medium_share)
 
 
 def compose(files: DataFrame, order: Sequence[str], rules: DeliveryRules = DeliveryRules(),
@@ -26,11 +27,11 @@ def compose(files: DataFrame, order: Sequence[str], rules: DeliveryRules = Deliv
     fit = files.where((F.col(status) == "DELIVER") & F.col(tier).isin("HIGH", "MEDIUM"))
     ranked = fit.withColumn("__rank", F.when(F.col(tier) == "HIGH", 0).otherwise(1))
     numbered = scale.number_rows(ranked, ["__rank", *order], "seq", 1)
-    high = numbered.agg(F.count_if(F.col("__rank") == 0).alias("__high"))
-    return (numbered.join(F.broadcast(high))
-            .where(F.col("seq") <= F.col("__high") + medium_cap(F.col("__high"), rules))
+    # One number from the stored rows: how many HIGH files there are.
+    high = numbered.where(F.col("__rank") == 0).count()
+    return (numbered.where(F.col("seq") <= high + medium_cap(high, rules))
             .withColumn("batch_no", F.ceil(F.col("seq") / F.lit(rules.batch_size)).cast("int"))
-            .drop("__rank", "__high"))
+            .drop("__rank"))
 
 
 def name_in_batch(composed: DataFrame, day: Column, first_number: int = 1,

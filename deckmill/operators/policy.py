@@ -96,8 +96,8 @@ def block_reason_by_join(df: DataFrame, url_col: str, policy: DataFrame, spread_
     parents = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + F.lit(1)), "."))
-    # a suffix such as ".us" is the last label of the host with a dot in front
-    suffixes = F.transform(parents, lambda p: F.concat(F.lit("."), p))
+    # a suffix such as ".us" ends the hosts that have a strict parent "us"
+    suffixes = F.transform(F.slice(parents, F.lit(2), F.size(labels)), lambda p: F.concat(F.lit("."), p))
     entries = policy.select("rule", F.lower("value").alias("value")).where(F.col("rule").isin(rules)).distinct()
     keys = hosts.select("__host", F.explode(F.concat(parents, suffixes)).alias("value"))
     tld_or_domain = (F.col("rule") == "tld") == F.startswith("value", F.lit("."))

@@ -79,8 +79,11 @@ def delivery_batch(out: str, batch: str, now: Column, sidecars: DataFrame | None
             from deckmill.sources.tables import CATALOGUE_SIDECAR_SCHEMA
 
             facts = facts.withColumn("sidecar", F.lit(None).cast(CATALOGUE_SIDECAR_SCHEMA))
-        done = curate.deliver(facts, delivered, batch, now, last)
         part = str(epoch)
+        # Facts are stored first, so that the decks are parsed once per micro-batch.
+        sinks.append_parquet(facts, f"{out}/facts", part)
+        stored = spark.read.schema(facts.schema).parquet(f"{out}/facts/part_id={part}")
+        done = curate.deliver(stored, delivered, batch, now, last)
         # The ledger goes last: a crash before it repeats the micro-batch as a whole.
         sinks.append_json(done["metadata"], f"{out}/metadata", part)
         sinks.append_json(done["audit"], f"{out}/audit", part)
