@@ -46,12 +46,17 @@ def sidecars(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     """
     reader = spark.read.schema(schema).option("multiLine", str(not lines).lower())
     raw = reader.option("mode", "PERMISSIVE" if keep_corrupt else "DROPMALFORMED").json(paths)
-    path = F.col("_metadata.file_path")
-    found = raw.select("*", path.alias("sidecar_path"))
+    found = raw.select("*", plain_path(F.col("_metadata.file_path")).alias("sidecar_path"))
     base = F.regexp_replace("sidecar_path", r"\.meta\.json$", "")
     return found.withColumn("deck_path_a", base).withColumn("deck_stem_b", base)
 
 
+def plain_path(path: Column) -> Column:
+    """One spelling of a path: metadata columns escape it and write ``file:///`` where file sources write ``file:/``."""
+    opened = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    return F.regexp_replace(F.when(F.contains(path, F.lit("%")), opened).otherwise(path), "^file:/+", "file:/")
+
+
 def with_sidecars(files: DataFrame, cards: DataFrame, path: str = "path", how: str = "left") -> DataFrame:
     """Join files with sidecars under both naming conventions; the full name wins.
 
@@ -61,8 +66,9 @@ def with_sidecars(files: DataFrame, cards: DataFrame, path: str = "path", how: s
     packed = cards.select(F.col("deck_path_a").alias("__key"), F.struct(*body).alias("__card"))
     a = packed.select(F.col("__key").alias("__a"), F.col("__card").alias("__card_a"))
     b = packed.select(F.col("__key").alias("__b"), F.col("__card").alias("__card_b"))
-    stem = F.regexp_replace(F.col(path), r"\.[^./]+$", "")
-    both = (files.withColumn("__stem", stem).join(a, F.col(path) == F.col("__a"), "left")
+    full = F.regexp_replace(F.col(path), "^file:/+", "file:/")
+    stem = F.regexp_replace("__full", r"\.[^./]+$", "")
+    both = (files.withColumn("__full", full).withColumn("__stem", stem).join(a, F.col("__full") == F.col("__a"), "left")
             .join(b, F.col("__stem") == F.col("__b"), "left")
             .withColumn("sidecar", F.coalesce("__card_a", "__card_b"))
             .select(*files.columns, "sidecar"))
