@@ -15,13 +15,13 @@ from xml.sax.saxutils import escape
 import pandas as pd
 from pyspark.sql import functions as F
 
-from deckmill.catalog.common import FILES, SLIDES, Catalog, deck_files, sql_any, sql_under, table
+from deckmill.catalog.common import FILES, SLIDES, Catalog, heavy_files, sql_any, sql_under, table
 from deckmill.config import DeliveryRules, IntegrityRules, QualityRules
 from deckmill.functions import names
 from deckmill.operators import dedup, quality
 from deckmill.operators.policy import DomainPolicy
 from deckmill.plans import curate, ingest
-from deckmill.session import scratch_path
+from deckmill.session import cut_lineage, scratch_path
 from deckmill.sinks import tables as sinks
 from deckmill.sources import decks
 from deckmill.sources.tables import CATALOGUE_SIDECAR_SCHEMA
@@ -72,7 +72,7 @@ def build_deck(doc_id: int, text: str, lang: str, source: str) -> bytes:
 
 
 def made_decks(spark, d):
-    f = deck_files(table(spark, d, "documents"))
+    f = heavy_files(spark, d)
 
     def run(batches):
         for b in batches:
@@ -161,7 +161,7 @@ WHERE kind IN ('good', 'ole')""")
 def deck_content_copies(spark, d):
     p = decks.parse_decks(made_decks(spark, d), ["doc_id", "path", "extension", "mtime"]).where("(is_zip and has_content_types and has_slide) or is_ole")
     hashed = p.withColumn("content_hash", dedup.content_hash_of_parts(decks.part_xml(F.col("parts")))).drop("parts").withColumn("is_binary_copy", F.lit(False))
-    return dedup.content_copies(hashed).select("doc_id", "is_content_copy")
+    return dedup.content_copies(dedup.stored_digests(hashed)).select("doc_id", "is_content_copy")
 
 
 @CATALOG.add("deck_content_digests", f"""WITH {FILES}, {SLIDES}, {_KIND}
@@ -194,6 +194,7 @@ _DELIVERY_RULES = DeliveryRules(min_bytes=0)
 def delivery_run(spark, d):
     p = decks.parse_decks(made_decks(spark, d), ["path", "name", "extension", "file_size"])
     facts = curate.deck_facts(p, _DELIVERY_RULES).drop("parts").withColumn("sidecar", F.lit(None).cast(CATALOGUE_SIDECAR_SCHEMA))
+    facts = cut_lineage(facts)
     done = table(spark, d, "documents").where(F.col("doc_id") % 6 == 0).select(F.concat(
         names.zero_padded(F.col("doc_id"), 6), F.when(F.col("doc_id") % 10 == 0, ".ppt").otherwise(".pptx")).alias("filename"))
     return curate.deliver(facts, done, "BATCH_03", F.lit(NOW), 7, ["path"], _DELIVERY_RULES)
@@ -224,6 +225,7 @@ def transfer_run(spark, d):
     facts = curate.deck_facts(p, _DELIVERY_RULES).drop("parts").withColumns({
         "file_id": F.col("doc_id").cast("string"), "fetched": F.col("doc_id") % 29 != 0, "found_url": F.lit(""), "view_link": F.lit("v"),
         "created_time": F.lit(NOW), "owner_email": F.lit("o@example.org")})
+    facts = cut_lineage(facts)
     done = table(spark, d, "documents").where(F.col("doc_id") % 6 == 0).select(F.col("doc_id").cast("string").alias("file_id"))
     rules = DeliveryRules(unparsed_accept_bytes=10 ** 9)
     return curate.transfer(facts, done, ["src9"], "BATCH_01", F.lit(NOW), 27, ["name"], rules)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deckmill.functions import names
+from deckmill.operators import scale
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows are costly, over all cores even where it is one small file."""
+    return scale.spread(table(spark, sf_dir, name), [key])
+
+
 # ---- deck files from documents ---------------------------------------------
 def deck_files(docs: DataFrame) -> DataFrame:
     """Every tenth document is an old-format file; arrival order differs from the id."""
@@ -61,6 +67,10 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deck_files(table(spark, sf_dir, "documents"))
 
 
+def heavy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deck_files(spread_table(spark, sf_dir, "documents", "doc_id"))
+
+
 # ---- slides from the lines of documents ------------------------------------
 def lines(text: Column) -> Column:
     return F.split(text, "\n")

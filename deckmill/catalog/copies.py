@@ -267,8 +267,8 @@ def empty_file_renumber(spark, d):
 
 
 @CATALOG.add("folder_aggregation", f"""WITH {FILES}, n AS (SELECT doc_id, source, md5(text) || '.pptx' AS name FROM files)
-SELECT name, min_by(source, source || lpad(CAST(doc_id AS VARCHAR), 9, '0')) AS source FROM n WHERE source <> 'src0'
-  AND name NOT IN (SELECT name FROM n WHERE source = 'src0') GROUP BY name""")
+SELECT name, source FROM n WHERE source <> 'src0' AND name NOT IN (SELECT name FROM n WHERE source = 'src0')
+QUALIFY row_number() OVER (PARTITION BY name ORDER BY source, doc_id) = 1""")
 def folder_aggregation(spark, d):
     f = files(spark, d).select("doc_id", "source", F.concat(F.md5("text"), F.lit(".pptx")).alias("name"))
     moved = dedup.aggregate_folders(f.where(F.col("source") != "src0"), f.where(F.col("source") == "src0"), ["source", "doc_id"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from deckmill import fixed_values as fv
-from deckmill.catalog.common import (FILES, SLIDES, Catalog, files, lines, q, slide_rows, sql_any, sql_count, sql_hits,
+from deckmill.catalog.common import (FILES, SLIDES, Catalog, files, heavy_files, lines, q, slide_rows, spread_table, sql_any, sql_count, sql_hits,
                                      sql_under, table)
 from deckmill.config import IntegrityRules, PersonalDataRules, QualityRules
 from deckmill.functions import content as ct
@@ -26,7 +26,7 @@ PIRATE = ["src3.example.org", "src11.example.org"]
 
 
 def docs(spark, d):
-    return table(spark, d, "documents")
+    return spread_table(spark, d, "documents", "doc_id")
 
 
 def _count(pattern: str) -> str:
@@ -142,7 +142,7 @@ _COMPLIANCE = f"""comp AS (
 
 
 def screened(spark, d):
-    base = files(spark, d).withColumns({
+    base = heavy_files(spark, d).withColumns({
         "robots_in": F.when(F.col("doc_id") % 9 == 0, "REVIEW").otherwise("PASS"),
         "reachable": F.col("doc_id") % 25 != 1})
     return screens.compliance(base, "source_url", "text", PIRATE, "robots_in", "reachable",
@@ -348,8 +348,12 @@ _VERDICT_CTES = f"WITH {FILES}, {_COUNTS}, {_COMPLIANCE}, {SLIDES}, {_FLAGS}, {_
 
 
 def verified(spark, d, skip_quality=False):
-    tier = tiered(spark, d).withColumn("quality_summary", quality.summary_line())
-    facts = validated(screened(spark, d)).join(tier, "doc_id")
+    """The verdict in the document's own row: one scan, no join, no shuffle."""
+    slides = F.transform(lines(F.col("text")), lambda t: F.struct(
+        F.lit(True).alias("is_slide"), t.alias("xml"), t.alias("text"), F.length(t).alias("text_length"),
+        F.contains(t, F.lit("|")).alias("has_table"), F.lit(True).alias("parsed")))
+    rolled = quality.rollup_parts(validated(screened(spark, d)).withColumn("parts", slides), "parts", REASONING, MARKERS, RULES)
+    facts = quality.with_tier(rolled.drop("parts", "text"), rules=RULES).withColumn("quality_summary", quality.summary_line())
     named = facts.withColumns({"source_url": F.when(F.col("doc_id") % 40 == 0, "").otherwise(F.col("source_url")),
                                "download_url": F.col("source_url"), "filename": F.col("name")})
     return verdict.verify(named, RULES, skip_quality)
@@ -391,8 +395,9 @@ SELECT CASE WHEN decision = 'REJECT' THEN 'rejected' ELSE 'kept' END AS route, d
   CAST(sum(CASE WHEN reason = '' OR reason LIKE 'Insuff%' OR reason LIKE 'Exceeds%' THEN v.slides ELSE 0 END) AS BIGINT) AS slides
 FROM verdicts JOIN (SELECT doc_id AS id2, slides FROM valid) v ON v.id2 = verdicts.doc_id GROUP BY ALL""")
 def verdict_routing(spark, d):
-    routed = verdict.route(verdict.write_back(verified(spark, d).drop("slide_count", "file_size")))
-    parts = [r.select(F.lit(k).alias("route"), "decision", "slide_count") for k, r in routed.items()]
+    facts = verdict.write_back(verified(spark, d).drop("slide_count", "file_size"))
+    routed = verdict.route(facts.select("doc_id", "decision", "slide_count", "file_hash", "delivery_status"))
+    parts = [routed[k].select(F.lit(k).alias("route"), "decision", "slide_count") for k in ("rejected", "kept")]
     return parts[0].unionByName(parts[1]).groupBy("route", "decision").agg(F.count("*").alias("n"), F.sum("slide_count").alias("slides"))
 
 

@@ -20,6 +20,11 @@ def keyword_hits(lowered: Column, keywords: Sequence[str]) -> Column:
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
+def keyword_line(lowered: Column, keywords: Sequence[str]) -> Column:
+    """The same hits as one comma-joined text, without leaving generated code."""
+    return F.concat_ws(", ", *[F.when(F.contains(lowered, F.lit(k)), F.lit(k)) for k in sorted(set(keywords))])
+
+
 def contains_any(lowered: Column, keywords: Sequence[str]) -> Column:
     test = F.lit(False)
     for k in sorted(set(keywords)):
@@ -55,6 +60,20 @@ def pattern_count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
+def email_count(text: Column) -> Column:
+    """Addresses in the text. Texts without an at sign are not searched."""
+    return F.when(F.contains(text, F.lit("@")), pattern_count(text, fv.EMAIL_PATTERN)).otherwise(F.lit(0))
+
+
+def ssn_count(text: Column) -> Column:
+    return F.when(F.rlike(text, F.lit(r"\d-\d")), pattern_count(text, fv.SSN_PATTERN)).otherwise(F.lit(0))
+
+
+def phone_count(text: Column) -> Column:
+    """Phone numbers. Every one holds three digits in a row, a far cheaper test."""
+    return F.when(F.rlike(text, F.lit(r"\d{3}")), pattern_count(text, fv.PHONE_PATTERN)).otherwise(F.lit(0))
+
+
 def bounded_concat(parts: Column, stop_after: int = 50_000) -> Column:
     """Concatenate array items, adding no more once the text exceeds ``stop_after``."""
     return F.aggregate(

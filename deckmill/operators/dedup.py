@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from deckmill.functions import names
 from deckmill.operators import scale
+from deckmill.session import cut_lineage
 
 
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], keep: str = "first") -> DataFrame:
@@ -58,13 +59,20 @@ def exact_copies(files: DataFrame, digest: Column, *, size: str = "file_size",
                  order: Sequence[str] = ("mtime", "path")) -> DataFrame:
     """Oldest file of each byte-identical group is kept.
 
-    Only files that share their size with another are hashed.
+    Only files that share their size with another are hashed. The bytes are
+    read once: the digests are stored, without the bytes, before they are grouped.
     """
     peers = with_size_peers(files, size, list(order))
-    hashed = peers.withColumn("binary_hash", F.when(F.col("size_peers") > 1, digest))
+    hashed = stored_digests(peers.withColumn("binary_hash", F.when(F.col("size_peers") > 1, digest)))
     return mark_copies(hashed, [size, "binary_hash"], order, list(order), "binary_keeper", "is_binary_copy")
 
 
+def stored_digests(hashed: DataFrame) -> DataFrame:
+    """Digest rows on shared storage, binary columns left out."""
+    slim = [f.name for f in hashed.schema.fields if f.dataType.simpleString() != "binary"]
+    return cut_lineage(hashed.select(*slim))
+
+
 def content_hash(members: DataFrame, key: str = "path", member: str = "member", xml: str = "xml",
                  slides_only: bool = False) -> DataFrame:
     """Digest of the slide members of each deck, in name order, without volatile attributes.

@@ -125,6 +125,16 @@ def first_rows(df: DataFrame, order: Sequence[Column | str], limit: int) -> Data
     return number_rows(df, order, "__seq").where(F.col("__seq") <= limit).drop("__seq")
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows over all cores when the scan gave fewer partitions than there are cores.
+
+    One small file is one task, however costly its rows are. A large scan has
+    partitions enough and is left as it is, so no shuffle is added there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def small_table(df: DataFrame, limit: int = SMALL_ROWS) -> list | None:
     """Rows of ``df`` when there are at most ``limit``, else None."""
     rows = df.limit(limit + 1).collect()

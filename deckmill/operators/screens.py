@@ -30,9 +30,7 @@ def personal_data_detail(emails: Column, ssns: Column, phones: Column,
 def screen_personal_data(df: DataFrame, text_col: str, rules: PersonalDataRules = PersonalDataRules()) -> DataFrame:
     text = F.col(text_col)
     counted = df.withColumns({
-        "n_emails": tx.pattern_count(text, fv.EMAIL_PATTERN),
-        "n_ssns": tx.pattern_count(text, fv.SSN_PATTERN),
-        "n_phones": tx.pattern_count(text, fv.PHONE_PATTERN),
+        "n_emails": tx.email_count(text), "n_ssns": tx.ssn_count(text), "n_phones": tx.phone_count(text),
     })
     detail = personal_data_detail(F.col("n_emails"), F.col("n_ssns"), F.col("n_phones"), rules)
     return counted.withColumn("pii_detail", detail).withColumn("has_pii", F.col("pii_detail") != "")
@@ -40,11 +38,10 @@ def screen_personal_data(df: DataFrame, text_col: str, rules: PersonalDataRules
 
 def screen_keywords(df: DataFrame, text_col: str, keywords: Sequence[str], name: str, lead: str) -> DataFrame:
     """Hits, flag and detail line for one keyword list."""
-    hits = df.withColumn("__low", F.lower(text_col)).withColumn("__hits", tx.keyword_hits(F.col("__low"), keywords))
-    joined = F.array_join("__hits", ", ")
-    return (hits.withColumn(f"has_{name}", F.size("__hits") > 0)
+    hits = df.withColumn("__low", F.lower(text_col)).withColumn("__hits", tx.keyword_line(F.col("__low"), keywords))
+    return (hits.withColumn(f"has_{name}", F.col("__hits") != "")
             .withColumn(f"{name}_detail",
-                        F.when(F.size("__hits") > 0, F.concat(F.lit(f"{lead}: "), joined)).otherwise(F.lit("")))
+                        F.when(F.col("__hits") != "", F.concat(F.lit(f"{lead}: "), "__hits")).otherwise(F.lit("")))
             .drop("__low", "__hits"))
 
 
@@ -71,11 +68,10 @@ def compliance(df: DataFrame, url_col: str, text_col: str, pirate: Sequence[str]
     low = df.withColumn("__low", F.lower(text_col))
     facts = low.withColumns({
         "text_screened": F.length(F.coalesce(F.col(text_col), F.lit(""))) > 0,
-        "__pii": personal_data_detail(tx.pattern_count(F.col(text_col), fv.EMAIL_PATTERN),
-                                      tx.pattern_count(F.col(text_col), fv.SSN_PATTERN),
-                                      tx.pattern_count(F.col(text_col), fv.PHONE_PATTERN), pii),
-        "__minors": F.array_join(tx.keyword_hits(F.col("__low"), minors), ", "),
-        "__prohibited": F.array_join(tx.keyword_hits(F.col("__low"), prohibited), ", "),
+        "__pii": personal_data_detail(tx.email_count(F.col(text_col)), tx.ssn_count(F.col(text_col)),
+                                      tx.phone_count(F.col(text_col)), pii),
+        "__minors": tx.keyword_line(F.col("__low"), minors),
+        "__prohibited": tx.keyword_line(F.col("__low"), prohibited),
         "is_known_open_source": urls.under_any(urls.authority(url), fv.OPEN_SOURCE_HOSTS),
         "__pirate": urls.under_any(urls.authority(url), pirate),
     })
@@ -102,12 +98,17 @@ def compliance(df: DataFrame, url_col: str, text_col: str, pirate: Sequence[str]
         "prohibited_content": F.concat(F.lit("Prohibited content keywords: "), F.col("__prohibited")),
         "public_source": F.lit("Source URL is not publicly accessible"),
     }
-    entries = F.array_compact(F.array(*[
-        F.when(F.col(c) != "PASS", F.struct(F.lit(c).alias("key"), d.alias("value"))) for c, d in details.items()]))
+    # One column per detail; the map over them is dropped by the optimizer where nobody reads it.
+    lined = done.withColumns({f"{c}_detail": F.when(F.col(c) != "PASS", d) for c, d in details.items()})
+    entries = F.array(*[F.when(F.col(c) != "PASS", F.struct(F.lit(c).alias("key"), F.col(f"{c}_detail").alias("value")))
+                        for c in details])
     failed = F.array_compact(F.array(*[F.when(F.col(c) != "PASS", F.lit(c)) for c in CHECKS]))
-    return (done.withColumn("compliance_details", F.map_from_entries(entries))
+    passed = F.lit(True)
+    for c in CHECKS:
+        passed = passed & (F.col(c) == "PASS")
+    return (lined.withColumn("compliance_details", F.map_from_entries(F.array_compact(entries)))
             .withColumn("failed_checks", failed)
-            .withColumn("all_pass", F.size("failed_checks") == 0)
+            .withColumn("all_pass", passed)
             .drop("__low", "__pii", "__minors", "__prohibited", "__pirate"))
 
 

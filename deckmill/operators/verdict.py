@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deckmill.config import QualityRules
+from deckmill.session import cut_lineage
 
 STAGES = ["file_integrity", "source_verification", "public_availability", "pirate_screening",
           "robots_access", "rights_review", "personal_data", "coppa_screening",
@@ -27,7 +28,7 @@ def verify(df: DataFrame, rules: QualityRules = QualityRules(), skip_quality: bo
     has_source = F.coalesce(F.col("source_url"), F.lit("")) != ""
     hard = None
     for check, _ in HARD_CHECKS:
-        text = F.concat(F.lit(f"{check}: "), F.coalesce(F.try_element_at("compliance_details", F.lit(check)), F.lit("FAIL")))
+        text = F.concat(F.lit(f"{check}: "), F.coalesce(F.col(f"{check}_detail"), F.lit("FAIL")))
         hard = F.when(F.col(check) == "FAIL", text) if hard is None else hard.when(F.col(check) == "FAIL", text)
     staged = df.withColumn("__hard", F.when(valid, hard))
     judged = valid & F.col("__hard").isNull()
@@ -91,9 +92,14 @@ def write_back(df: DataFrame) -> DataFrame:
 
 
 def route(df: DataFrame) -> dict[str, DataFrame]:
-    """Rejected files, and the kept ones that get a sidecar."""
-    return {"rejected": df.where(F.col("decision") == "REJECT"),
-            "kept": df.where(F.col("decision") != "REJECT")}
+    """Rejected files, and the kept ones that get a sidecar.
+
+    The verdicts are stored first: a filter on a verdict that is still an
+    expression would be pushed down to the scan and screen every text again.
+    """
+    stored = cut_lineage(df)
+    return {"all": stored, "rejected": stored.where(F.col("decision") == "REJECT"),
+            "kept": stored.where(F.col("decision") != "REJECT")}
 
 
 def audit_rows(df: DataFrame, now: Column, batch: Column | None = None) -> DataFrame:

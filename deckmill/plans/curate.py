@@ -86,6 +86,8 @@ def deliver(facts: DataFrame, delivered: DataFrame, batch: str, now: Column, las
             order: Sequence[str] = ("path",), rules: DeliveryRules = DeliveryRules()) -> dict[str, DataFrame]:
     """One delivery run over files that no earlier run has dealt with.
 
+    ``facts`` feeds several results; hand in a stored table, not a parse in waiting.
+
     ``metadata`` and ``audit`` hold the delivered files; ``ledger`` also enters
     the skipped ones, with their status, except files of another type.
     """

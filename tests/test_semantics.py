@@ -139,12 +139,10 @@ def verdict_row(spark, **change):
     base = dict(valid=True, reason="", source_url="u", pirate_site="PASS", robots_txt="PASS", third_party_rights="PASS", personal_data="PASS",
                 coppa_screening="PASS", prohibited_content="PASS", public_source="PASS", quality_classification="HIGH", reasoning_score=1.0)
     base.update(change)
-    details = {k: "why" for k, v in base.items() if v == "FAIL"}
     df = spark.createDataFrame([tuple(base.values())], ", ".join(
         f"{k} {'boolean' if isinstance(v, bool) else 'double' if isinstance(v, float) else 'string'}" for k, v in base.items()))
     df = df.withColumn("validation", F.struct(F.col("valid").alias("is_valid"), F.col("reason").alias("rejection_reason")))
-    pairs = [F.lit(x) for kv in details.items() for x in kv]
-    df = df.withColumn("compliance_details", F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>"))
+    df = df.withColumns({f"{c}_detail": F.when(F.col(c) == "FAIL", "why") for c, _ in verdict.HARD_CHECKS})
     return df.withColumn("quality_summary", F.lit("LOW: x"))
 
 
