@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from deckmill.catalog.common import FILES, Catalog, files, table
+from deckmill.catalog.common import FILES, Catalog, files, heavy_files, table
 from deckmill.config import DeliveryRules
 from deckmill.functions import names
 from deckmill.operators import batches, dedup, integrity, ledger, numbering, scale, stats
@@ -30,7 +30,7 @@ _W3 = """w3 AS (SELECT *, row_number() OVER (PARTITION BY file_size, sha256(text
 SELECT doc_id, is_binary_copy, CASE WHEN count(*) OVER (PARTITION BY file_size, sha256(text)) > 1 THEN first_path END AS binary_keeper,
        count(*) OVER (PARTITION BY file_size) AS size_peers FROM w3""")
 def exact_copies(spark, d):
-    out = dedup.exact_copies(files(spark, d), F.sha2("text", 256))
+    out = dedup.exact_copies(files(spark, d), F.sha2("text", 256), payload=["text"])
     return out.select("doc_id", "is_binary_copy", "binary_keeper", "size_peers")
 
 
@@ -48,9 +48,9 @@ _W5 = f"""w5 AS (SELECT *, NOT is_binary_copy AND extension = '.pptx' AND row_nu
 
 
 def content_marked(spark, d):
-    exact = dedup.exact_copies(files(spark, d), F.sha2("text", 256))
     digest = F.sha2(F.regexp_replace("text", " (the|of|der|que)", ""), 256)
-    return dedup.content_copies(exact.withColumn("content_hash", digest))
+    f = files(spark, d).withColumn("content_hash", digest)
+    return dedup.content_copies(dedup.exact_copies(f, F.sha2("text", 256), payload=["text"]))
 
 
 @CATALOG.add("content_copies", f"""WITH {FILES}, {_W3}, {_W5} SELECT doc_id, is_binary_copy, is_content_copy FROM w5""")
@@ -167,7 +167,7 @@ fun AS (SELECT doc_id, CASE WHEN file_size < 500 THEN 'too_small' WHEN doc_id %
 
 
 def funnel(spark, d):
-    f = files(spark, d).withColumns({"magic_ok": F.col("doc_id") % 31 != 0, "tag": F.sha2("text", 256), "slides": F.split("text", "\n")})
+    f = heavy_files(spark, d).withColumns({"magic_ok": F.col("doc_id") % 31 != 0, "tag": F.sha2("text", 256), "slides": F.split("text", "\n")})
     seen = table(spark, d, "documents").where(F.col("doc_id") % 6 == 0).select(F.sha2("text", 256).alias("tag"))
     return integrity.template_funnel(f, seen, floor=500, china_names=["77"], usa_names=["55"], cjk_pattern="[éèê]", terms=["tion", "whst", "eaea"])
 
@@ -188,7 +188,7 @@ e AS (SELECT *, CASE WHEN file_size < 500 THEN 'too_small' WHEN doc_id % 31 = 0
 SELECT doc_id, CASE WHEN early IS NOT NULL THEN early WHEN row_number() OVER (PARTITION BY early IS NULL, tag ORDER BY path) > 1 THEN 'duplicate'
   WHEN len(regexp_extract_all(string_split(text, chr(10))[1], '[éèê]')) > 50 THEN 'china_content' END AS reason FROM e""")
 def notebook_funnel(spark, d):
-    f = files(spark, d).withColumns({"magic_ok": F.col("doc_id") % 31 != 0, "slides": F.split("text", "\n"),
+    f = heavy_files(spark, d).withColumns({"magic_ok": F.col("doc_id") % 31 != 0, "slides": F.split("text", "\n"),
                                      "tag": names.content_tag(F.encode("text", "UTF-8"))})
     return integrity.content_funnel(f, floor=500, china_names=["77"], usa_names=["55"], cjk_pattern="[éèê]").select("doc_id", "reason")
 
@@ -261,7 +261,7 @@ SELECT name, lpad(CAST(35914 + row_number() OVER (ORDER BY name) AS VARCHAR), 7,
 def empty_file_renumber(spark, d):
     from deckmill.plans import curate
 
-    f = files(spark, d).withColumn("file_size", F.when(F.col("doc_id") % 8 == 0, 0).otherwise(F.col("file_size")))
+    f = files(spark, d).select("doc_id", "name", F.when(F.col("doc_id") % 8 == 0, 0).otherwise(F.col("file_size")).alias("file_size"))
     mapping = f.select(F.col("doc_id").alias("line_no"), F.col("name").alias("new_name"), F.col("name").alias("old_name"))
     return curate.repair(f, mapping, f.select(F.lit("x").alias("tag")))["renamed"].select("name", "new_name")
 
@@ -279,7 +279,7 @@ def folder_aggregation(spark, d):
 @CATALOG.add("sequential_renumber", f"""WITH {FILES}, r AS (SELECT *, lpad(CAST(row_number() OVER (ORDER BY name) - 1 AS VARCHAR), 6, '0') || extension AS new_name FROM files)
 SELECT doc_id, new_name, new_name <> name AS renamed FROM r""")
 def sequential_renumber(spark, d):
-    return numbering.renumber(files(spark, d), "name", 0, 6).select("doc_id", "new_name", "renamed")
+    return numbering.renumber(files(spark, d).select("doc_id", "name"), "name", 0, 6).select("doc_id", "new_name", "renamed")
 
 
 @CATALOG.add("batch_numbering", f"""WITH {FILES}, n AS (SELECT *, CASE WHEN doc_id % 9 = 0 THEN 'BATCH_02_names_' || lpad(CAST(doc_id AS VARCHAR), 6, '0') || '.pptx' ELSE name END AS file_name FROM files),
@@ -289,8 +289,8 @@ UNION ALL SELECT doc_id, 'BATCH_02_names_' || lpad(CAST(last + r AS VARCHAR), 6,
 FROM (SELECT *, row_number() OVER (ORDER BY path) AS r FROM n WHERE doc_id % 9 <> 0) x, l""")
 def batch_numbering(spark, d):
     own = F.col("doc_id") % 9 == 0
-    f = files(spark, d).withColumn("name", F.when(own, F.concat(
-        F.lit("BATCH_02_names_"), names.zero_padded(F.col("doc_id"), 6), F.lit(".pptx"))).otherwise(F.col("name")))
+    f = files(spark, d).select("doc_id", "path", F.when(own, F.concat(
+        F.lit("BATCH_02_names_"), names.zero_padded(F.col("doc_id"), 6), F.lit(".pptx"))).otherwise(F.col("name")).alias("name"))
     given = f.where(own).select(F.lit("BATCH_02").alias("batch_id"), F.col("doc_id").alias("sequence_number"))
     last = numbering.last_used(given, "BATCH_02")
     return numbering.batch_names(f, "BATCH_02", ["path"], last).select(

@@ -56,21 +56,20 @@ def with_size_peers(files: DataFrame, size: str = "file_size", spread_on: Sequen
 
 
 def exact_copies(files: DataFrame, digest: Column, *, size: str = "file_size",
-                 order: Sequence[str] = ("mtime", "path")) -> DataFrame:
+                 order: Sequence[str] = ("mtime", "path"), payload: Sequence[str] = ("content",)) -> DataFrame:
     """Oldest file of each byte-identical group is kept.
 
     Only files that share their size with another are hashed. The bytes are
-    read once: the digests are stored, without the bytes, before they are grouped.
+    read once: the digests are stored, without the ``payload``, before they are grouped.
     """
     peers = with_size_peers(files, size, list(order))
-    hashed = stored_digests(peers.withColumn("binary_hash", F.when(F.col("size_peers") > 1, digest)))
+    hashed = stored_digests(peers.withColumn("binary_hash", F.when(F.col("size_peers") > 1, digest)), payload)
     return mark_copies(hashed, [size, "binary_hash"], order, list(order), "binary_keeper", "is_binary_copy")
 
 
-def stored_digests(hashed: DataFrame) -> DataFrame:
-    """Digest rows on shared storage, binary columns left out."""
-    slim = [f.name for f in hashed.schema.fields if f.dataType.simpleString() != "binary"]
-    return cut_lineage(hashed.select(*slim))
+def stored_digests(hashed: DataFrame, payload: Sequence[str] = ("content",)) -> DataFrame:
+    """Digest rows on shared storage, the payload left out."""
+    return cut_lineage(hashed.drop(*payload))
 
 
 def content_hash(members: DataFrame, key: str = "path", member: str = "member", xml: str = "xml",

@@ -137,15 +137,17 @@ def template_funnel(df: DataFrame, seen_tags: DataFrame, *, floor: int = SizeFlo
                     china_names: Sequence[str] = tuple(fv.CHINA_NAME_KEYWORDS),
                     usa_names: Sequence[str] = tuple(fv.USA_NAME_KEYWORDS),
                     cjk_pattern: str = fv.CJK_PATTERN, terms: Sequence[str] = tuple(fv.US_CONTENT_TERMS)) -> DataFrame:
-    """Filter funnel of the template set; null reason means kept."""
+    """Filter funnel of the template set; null reason means kept. The slides are dropped."""
     from deckmill.operators import ledger, screens
 
-    flagged = ledger.flag_seen(df, seen_tags.select(F.col("tag").alias(tag)), [tag], [name], "__seen")
-    reason = (_name_reasons(name, size, magic_ok, floor, china_names, usa_names)
-              .when(F.col("__seen"), "duplicate")
-              .when(screens.cjk_dense(F.col(parts), pattern=cjk_pattern, first_only=True), "china_content")
-              .when(screens.topically_dense(F.col(parts), terms), "usa_content"))
-    return flagged.withColumn("reason", reason).drop("__seen")
+    # The slide text is judged in its own row, so that only short columns are shuffled.
+    early = df.withColumn("__early", _name_reasons(name, size, magic_ok, floor, china_names, usa_names))
+    late = (F.when(screens.cjk_dense(F.col(parts), pattern=cjk_pattern, first_only=True), "china_content")
+            .when(screens.topically_dense(F.col(parts), terms), "usa_content"))
+    judged = early.withColumn("__late", F.when(F.col("__early").isNull(), late)).drop(parts)
+    flagged = ledger.flag_seen(judged, seen_tags.select(F.col("tag").alias(tag)), [tag], [name], "__seen")
+    reason = F.coalesce("__early", F.when(F.col("__seen"), "duplicate"), "__late")
+    return flagged.withColumn("reason", reason).drop("__seen", "__early", "__late")
 
 
 def _name_reasons(name: str, size: str, magic: str, floor: int, china_names: Sequence[str], usa_names: Sequence[str]) -> Column:
@@ -162,11 +164,12 @@ def content_funnel(df: DataFrame, *, floor: int = SizeFloors().bulk, name: str =
     from deckmill.operators import dedup, screens
 
     early = df.withColumn("__early", _name_reasons(name, size, magic_ok, floor, china_names, usa_names))
-    keyed = early.withColumn("__key", F.when(F.col("__early").isNull(), F.col(tag)))
+    late = F.when(screens.cjk_dense(F.col(parts), pattern=cjk_pattern, first_only=True), "china_content")
+    judged = early.withColumn("__late", F.when(F.col("__early").isNull(), late)).drop(parts)
+    keyed = judged.withColumn("__key", F.when(F.col("__early").isNull(), F.col(tag)))
     marked = dedup.mark_copies(keyed, ["__key"], list(order), list(order), "__keeper", "__copy")
-    reason = F.coalesce("__early", F.when(F.col("__copy"), "duplicate").when(
-        screens.cjk_dense(F.col(parts), pattern=cjk_pattern, first_only=True), "china_content"))
-    return marked.withColumn("reason", reason).drop("__early", "__key", "__keeper", "__copy")
+    reason = F.coalesce("__early", F.when(F.col("__copy"), "duplicate"), "__late")
+    return marked.withColumn("reason", reason).drop("__early", "__late", "__key", "__keeper", "__copy")
 
 
 def accept_unparsed(df: DataFrame, rules: DeliveryRules = DeliveryRules(), *, error: str = "parse_error",

@@ -49,7 +49,11 @@ def ingest(candidates: DataFrame, seen_tags: DataFrame, content_seen: DataFrame,
     fetched), ``magic_ok``, ``file_hash`` and ``parts`` (slide XML). The first
     row per address counts. Rows beyond the target are marked ``beyond_target``.
     """
-    unique = dedup.keep_first_url(candidates, list(order)) if route.tag is None else candidates
+    # The slides are judged in their own row and left behind before anything is shuffled.
+    cjk = screens.cjk_dense(F.col("parts"), route.cjk_limit, route.cjk_pattern)
+    topical = screens.topically_dense(F.col("parts"), route.topic_terms) if route.topic_terms else F.lit(False)
+    slim = candidates.withColumns({"__cjk": cjk, "__topical": topical}).drop("parts")
+    unique = dedup.keep_first_url(slim, list(order)) if route.tag is None else slim
     tag = F.col(route.tag) if route.tag else urls.url_tag(F.col("url"))
     flagged = ledger.flag_seen(unique.withColumn("tag", tag), seen_tags, ["tag"], order, "__tag_seen")
     flagged = ledger.flag_seen(flagged, content_seen, ["file_hash"], order, "__hash_seen")
@@ -58,16 +62,14 @@ def ingest(candidates: DataFrame, seen_tags: DataFrame, content_seen: DataFrame,
     if route.domains is not None:
         blocked = blocked | ~policy.is_allowed(F.col("url"), route.domains)
     incomplete = ~integrity.is_complete(*[F.col(c) for c in route.required]) if route.required else F.lit(False)
-    cjk = screens.cjk_dense(F.col("parts"), route.cjk_limit, route.cjk_pattern)
-    topical = screens.topically_dense(F.col("parts"), route.topic_terms) if route.topic_terms else F.lit(False)
     reason = (F.when(incomplete, "incomplete").when(F.col("__tag_seen"), "dup").when(blocked, "blocked")
               .when(~integrity.declared_size_ok(F.col("declared_length"), route.floor), "small")
               .when(F.col("file_size").isNull(), "error").when(F.col("file_size") < route.floor, "small"))
     checks = [(F.col("__hash_seen"), "dup"), (~F.col("magic_ok"), "invalid")]
     for test, label in checks if route.hash_before_magic else reversed(checks):
         reason = reason.when(test, label)
-    reason = reason.when(cjk, "china").when(topical, "blocked")
-    judged = flagged.withColumn("reason", reason).drop("__tag_seen", "__hash_seen", "__word")
+    reason = reason.when(F.col("__cjk"), "china").when(F.col("__topical"), "blocked")
+    judged = flagged.withColumn("reason", reason).drop("__tag_seen", "__hash_seen", "__word", "__cjk", "__topical")
     # Of equal contents accepted in this run, the first one stays.
     keyed = judged.withColumn("__key", F.when(F.col("reason").isNull(), F.col("file_hash")))
     marked = dedup.mark_copies(keyed, ["__key"], list(order), list(order), "__keeper", "__copy")
