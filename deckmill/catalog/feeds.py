@@ -396,3 +396,27 @@ def batch_sidecars(spark, d):
 @CATALOG.add("url_domain_case", "SELECT page_id, regexp_extract(upper(url), '^[A-Z]+://([^/?#]*)', 1) AS domain FROM pages")
 def url_domain_case(spark, d):
     return pages(spark, d).select("page_id", urls.authority(F.upper("url"), lower=False).alias("domain"))
+
+
+@CATALOG.add("harvest_file_names", r"""
+SELECT page_id, substr(sha1(url), 1, 10) AS tag, 'hal_h_' || page_id || '_' || regexp_replace(substr(title, 1, 80), '[^\p{L}\p{N}_\-]', '_', 'g') || '.ppt' AS paper,
+  'core_' || page_id || '_' || regexp_replace(substr(title, 1, 100), '[^\p{L}\p{N}_\-]', '_', 'g') || '.pptx' AS work,
+  't_pon_' || page_id || '_' || regexp_replace(substr(CASE WHEN title = '' THEN 'untitled' ELSE title END, 1, 35), '[^\p{L}\p{N}_\-]', '_', 'g') || '.pptx' AS dataset,
+  'github_o_r_' || page_id || '.pptx' AS code,
+  CASE WHEN length(df) > 200 THEN substr(df, 1, 190) || '.ppt' ELSE df END AS datafile,
+  substr(sha1(url || '/Deck One.PPTX'), 1, 10) || '_ckan_' || substr(regexp_replace(split_part(url, '/', 3), '[^\p{L}\p{N}_]', '_', 'g'), 1, 30) || '_Deck_One.pptx' AS catalogue
+FROM (SELECT *, 'dataverse_' || page_id || '_' || regexp_replace(substr(title, 1, 60), '[^\p{L}\p{N}_\-]', '_', 'g') || '_' ||
+        regexp_replace(substr(title, 1, 150), '[^\p{L}\p{N}_.\-]', '_', 'g') || '.ppt' AS df
+      FROM (SELECT page_id, split_part(split_part(url, '?', 1), '#', 1) AS url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages) a) t""")
+def harvest_file_names(spark, d):
+    from deckmill.functions import names
+
+    i = s("page_id")
+    p = pages(spark, d).select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
+                               F.split_part(F.split_part("url", F.lit("?"), F.lit(1)), F.lit("#"), F.lit(1)).alias("url"))
+    u, t = F.col("url"), F.col("title")
+    return p.select("page_id", urls.url_tag(u).alias("tag"), names.titled_name("hal", F.concat(F.lit("h_"), i), t, F.lit(".ppt")).alias("paper"),
+                    names.work_name(i, t).alias("work"), names.dataset_name(F.lit("t"), i, t, F.lit(".pptx")).alias("dataset"),
+                    names.code_file_name(F.lit("o/r"), F.concat(i, F.lit(".pptx"))).alias("code"),
+                    names.datafile_name(i, t, F.concat(F.substring("title", 1, 150), F.lit(".ppt"))).alias("datafile"),
+                    names.catalogue_name(F.concat(u, F.lit("/Deck One.PPTX")), urls.authority(u)).alias("catalogue"))

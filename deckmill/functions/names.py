@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from deckmill.functions.urls import path_name, url_tag
+from deckmill.functions.urls import deck_extension, path_name, url_tag
 
 # Word characters are Unicode letters, digits and the underscore.
 NOT_WORD = r"[^\p{L}\p{N}_]"
@@ -115,3 +115,48 @@ def batch_id(day: Column, number: Column) -> Column:
 def normalised_member(xml: Column) -> Column:
     """Slide XML without the attributes that differ between downloads."""
     return F.regexp_replace(xml, r' (id|val|time)="[^"]*"', "")
+
+
+def with_deck_suffix(name: Column, fallback: Column | str = ".pptx") -> Column:
+    """Append the fallback suffix unless the name is a deck name."""
+    tail = fallback if isinstance(fallback, Column) else F.lit(fallback)
+    return F.when(_has_deck_suffix(name), name).otherwise(F.concat(name, tail))
+
+
+def catalogue_name(url: Column, portal_host: Column) -> Column:
+    """``tag_ckan_portal_stem.ext`` from the resource's own file name."""
+    own = F.coalesce(F.nullif(path_name(url), F.lit("")), F.lit("file.pptx"))
+    own = with_deck_suffix(own, deck_extension(url))
+    slug = F.substring(F.regexp_replace(portal_host, NOT_WORD, "_"), 1, 30)
+    body = F.substring(F.regexp_replace(stem(own), NOT_WORD_DOT_DASH, "_"), 1, 80)
+    return F.concat(url_tag(url), F.lit("_ckan_"), slug, F.lit("_"), body, F.lower(suffix(own)))
+
+
+def dataset_name(tag: Column, record_id: Column, title: Column, extension: Column) -> Column:
+    """Name of a deck taken from a dataset row."""
+    shown = F.coalesce(F.nullif(title, F.lit("")), F.lit("untitled"))
+    return F.concat(tag, F.lit("_pon_"), record_id, F.lit("_"), title_slug(shown, 35), extension)
+
+
+def titled_name(source: str, record_id: Column, title: Column, extension: Column) -> Column:
+    """``source_id_title.ext``, the form of the article, record and paper harvesters."""
+    return F.concat(F.lit(f"{source}_"), F.regexp_replace(record_id, NOT_WORD_OR_DASH, "_"), F.lit("_"),
+                    title_slug(title, 80), extension)
+
+
+def item_name(identifier: Column, name: Column) -> Column:
+    return F.concat(F.lit("ia_"), identifier, F.lit("_"), F.regexp_replace(name, NOT_WORD_DOT_DASH, "_"))
+
+
+def work_name(work_id: Column, title: Column) -> Column:
+    return F.concat(F.lit("core_"), work_id, F.lit("_"), with_deck_suffix(title_slug(title, 100)))
+
+
+def datafile_name(file_id: Column, title: Column, name: Column) -> Column:
+    long = F.concat(F.lit("dataverse_"), file_id, F.lit("_"), title_slug(title, 60), F.lit("_"),
+                    F.regexp_replace(name, NOT_WORD_DOT_DASH, "_"))
+    return capped_name(long, name)
+
+
+def code_file_name(repo: Column, name: Column) -> Column:
+    return capped_name(F.concat(F.lit("github_"), F.replace(repo, F.lit("/"), F.lit("_")), F.lit("_"), name), name)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deckmill import fixed_values as fv
@@ -88,6 +88,11 @@ def sample_frontier(domains: DataFrame, topics: Sequence[str], n_topics: int = 2
     return plain.unionByName(topical)
 
 
+def disciplines(spark: SparkSession, names: Sequence[str] = tuple(fv.ACADEMIC_DISCIPLINES)) -> DataFrame:
+    """Discipline list with positions, repeats kept."""
+    return spark.createDataFrame(list(enumerate(names)), "position int, discipline string")
+
+
 def keyword_queries(disciplines: DataFrame, tokens: Sequence[str] = tuple(fv.PRESENTATION_TOKENS),
                     site_prefix: str = "site:edu ", site_first: int = 20) -> DataFrame:
     """Disciplines with each token, alone, and the first ones under a site prefix.
