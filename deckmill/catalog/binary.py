@@ -306,6 +306,26 @@ def ingest_ledgers(spark, d):
     return spark.read.schema("tag string").parquet(path)
 
 
+_DATASET = f"""c AS (SELECT page_id, strlen(html) AS size, substr(sha1(substr(html, 1, 90)), 1, 10) AS tag, sha256(html) AS h, {sql_any('lower(url)', _WORDS)} AS blocked,
+    page_id % 9 <> 0 AS magic FROM pages),
+k AS (SELECT *, CASE WHEN blocked THEN 'blocked' WHEN tag IN (SELECT tag FROM c WHERE page_id % 40 = 3) THEN 'dup' WHEN size < 4000 THEN 'small'
+    WHEN h IN (SELECT h FROM c WHERE page_id % 20 = 1) THEN 'dup' WHEN NOT magic THEN 'invalid' END AS r FROM c),
+f AS (SELECT tag, min(page_id) AS first FROM k WHERE r IS NULL GROUP BY tag)"""
+
+
+@CATALOG.add("ingest_dataset_route", f"""WITH {_DATASET}
+SELECT page_id, CASE WHEN page_id > first AND coalesce(r, '') <> 'blocked' THEN 'dup' ELSE r END AS reason FROM k LEFT JOIN f USING (tag)""")
+def ingest_dataset_route(spark, d):
+    tag = F.substring(F.sha1(F.encode(F.substring("html", 1, 90), "UTF-8")), 1, 10)
+    p = table(spark, d, "pages").select("page_id", "url", F.col("url").alias("title"), F.lit("").alias("category"), tag.alias("tag"),
+                                        F.lit("").alias("declared_length"), F.octet_length("html").alias("file_size"),
+                                        (F.col("page_id") % 9 != 0).alias("magic_ok"), F.sha2("html", 256).alias("file_hash"), F.array("url").alias("parts"))
+    route = ingest.IngestRoute(floor=4000, blocked_words=_WORDS, text_columns=("title", "category"), required=(), topic_terms=("no such", "of these", "terms"), tag="tag")
+    seen = p.where(F.col("page_id") % 40 == 3).select("tag")
+    known = p.where(F.col("page_id") % 20 == 1).select("file_hash")
+    return ingest.ingest(p, seen, known, route, ["page_id"]).select("page_id", "reason")
+
+
 @CATALOG.add("ingest_catalogue_route", f"""
 SELECT page_id, CASE WHEN {sql_under("lower(split_part(url, '/', 3))", ['cheap-pills.example.com'])} OR ends_with(lower(split_part(url, '/', 3)), '.example.net') THEN 'blocked'
   WHEN strlen(html) < 15360 THEN 'small' WHEN page_id % 9 = 0 THEN 'invalid' WHEN page_id % 20 = 1 THEN 'dup' END AS reason FROM pages""")

@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from deckmill import fixed_values as fv
 
 
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+# Digits, blanks and word edges of any script count in the personal-data patterns.
+ANY_SCRIPT = "(?U)"
+
+
+def strip(text: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.trim(text, F.lit(WHITESPACE))
+
+
 def keyword_hits(lowered: Column, keywords: Sequence[str]) -> Column:
     """Keywords contained in an already lower-cased text, in alphabetical order.
 
@@ -66,12 +76,12 @@ def email_count(text: Column) -> Column:
 
 
 def ssn_count(text: Column) -> Column:
-    return F.when(F.rlike(text, F.lit(r"\d-\d")), pattern_count(text, fv.SSN_PATTERN)).otherwise(F.lit(0))
+    return F.when(F.rlike(text, F.lit(ANY_SCRIPT + r"\d-\d")), pattern_count(text, ANY_SCRIPT + fv.SSN_PATTERN)).otherwise(F.lit(0))
 
 
 def phone_count(text: Column) -> Column:
     """Phone numbers. Every one holds three digits in a row, a far cheaper test."""
-    return F.when(F.rlike(text, F.lit(r"\d{3}")), pattern_count(text, fv.PHONE_PATTERN)).otherwise(F.lit(0))
+    return F.when(F.rlike(text, F.lit(ANY_SCRIPT + r"\d{3}")), pattern_count(text, ANY_SCRIPT + fv.PHONE_PATTERN)).otherwise(F.lit(0))
 
 
 def bounded_concat(parts: Column, stop_after: int = 50_000) -> Column:

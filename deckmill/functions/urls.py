@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from deckmill import fixed_values as fv
+from deckmill.functions.text import strip
 
 AUTHORITY_PATTERN = r"^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 # scheme, authority, path, query, fragment of a URL reference
@@ -85,7 +86,8 @@ def without_query(url: Column) -> Column:
 
 
 def url_path(url: Column) -> Column:
-    return F.regexp_extract(url, REFERENCE_PATTERN, 3)
+    """Path without query, fragment and the parameters of its last part."""
+    return F.regexp_replace(F.regexp_extract(url, REFERENCE_PATTERN, 3), r";[^/]*$", "")
 
 
 def path_name(url: Column) -> Column:
@@ -128,7 +130,7 @@ def remove_dot_segments(path: Column) -> Column:
 
 def resolve_url(base: Column, ref: Column) -> Column:
     """Resolve a link against the page it stands on."""
-    ref = F.trim(ref)
+    ref = strip(ref)
     scheme = F.regexp_extract(base, REFERENCE_PATTERN, 1)
     host = F.regexp_extract(base, REFERENCE_PATTERN, 2)
     base_path = F.regexp_extract(base, REFERENCE_PATTERN, 3)
@@ -184,3 +186,21 @@ def under_any_parent(host: Column, names: Iterable[str]) -> Column:
         tail = F.substring_index(host, ".", -labels)
         test = test | (tail.isin(group) & (host != tail))
     return test
+
+
+# Markup in which an anchor is no link.
+NO_ANCHOR_PATTERN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+ANCHOR_PATTERN = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+ENTITIES = [("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&#38;", "&"), ("&amp;", "&")]
+
+
+def anchor_targets(html: Column) -> Column:
+    """Targets of the anchors of a page, quotes and entities resolved, ends stripped."""
+    visible = F.regexp_replace(html, NO_ANCHOR_PATTERN, "")
+
+    def plain(target: Column) -> Column:
+        out = F.regexp_replace(target, r"^[\"']|[\"']$", "")
+        for entity, char in ENTITIES:
+            out = F.replace(out, F.lit(entity), F.lit(char))
+        return strip(out)
+    return F.transform(F.regexp_extract_all(visible, F.lit(ANCHOR_PATTERN), 1), plain)

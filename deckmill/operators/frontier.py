@@ -113,9 +113,8 @@ def page_links(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     Relative links are resolved against the page address.
     """
     text = F.col(html)
-    hrefs = F.filter(F.regexp_extract_all(text, F.lit(r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"']"), 1),
-                     lambda h: F.rlike(h, F.lit(link_pattern)))
-    groups = [F.transform(hrefs, F.trim)]
+    hrefs = F.filter(urls.anchor_targets(text), lambda h: F.rlike(h, F.lit(link_pattern)))
+    groups = [hrefs]
     for pattern in (raw_pattern, repository_pattern):
         if pattern:
             groups.append(F.regexp_extract_all(text, F.lit(pattern), 0))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from deckmill import fixed_values as fv
 from deckmill.config import DeliveryRules, IntegrityRules, SizeFloors
 from deckmill.functions import content as ct
+from deckmill.functions import names
 from deckmill.functions import text as tx
 from deckmill.functions import urls
 from deckmill.operators import scale
@@ -27,9 +28,8 @@ def is_deck_record(mime: Column, detected: Column, url: Column,
 def is_deck_resource(url: Column, declared: Column, suffixes: Sequence[str] = tuple(fv.DECK_SUFFIXES),
                      formats: Sequence[str] = ("PPT", "PPTX")) -> Column:
     """Catalogue resource with a deck path or a declared deck format."""
-    path = F.lower(urls.url_path(url))
-    return (urls.ends_with_any(path, suffixes)
-            | F.upper(F.trim(F.coalesce(declared, F.lit("")))).isin(list(formats)))
+    return (F.lower(names.suffix(urls.path_name(url))).isin(list(suffixes))
+            | F.upper(tx.strip(F.coalesce(declared, F.lit("")))).isin(list(formats)))
 
 
 def declared_size_ok(length: Column, floor: int) -> Column:
@@ -42,7 +42,7 @@ def is_complete(*columns: Column) -> Column:
     """All fields hold something: no null, no empty text, no zero."""
     test = F.lit(True)
     for c in columns:
-        test = test & ~F.coalesce(F.trim(c.cast("string")), F.lit("")).isin("", "0")
+        test = test & ~F.coalesce(c.cast("string"), F.lit("")).isin("", "0")
     return test
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deckmill import fixed_values as fv
+from deckmill.functions import text as tx
 from deckmill.functions import urls
 from deckmill.operators import integrity, scale
 
@@ -142,7 +143,7 @@ def catalogue_resources(packages: DataFrame, package: str = "package", portal_na
 
     def held(*columns: str) -> Column:
         return F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in columns], F.lit(""))
-    given = F.trim(F.coalesce("r.url", F.lit("")))
+    given = tx.strip(F.coalesce("r.url", F.lit("")))
     full = F.when(urls.authority(given) != "", given).otherwise(
         urls.resolve_url(F.concat(F.col(portal_url), F.lit("/")), given))
     tags = F.filter(F.transform(F.coalesce("p.tags", F.array().cast("array<struct<name:string>>")), lambda t: t["name"]),

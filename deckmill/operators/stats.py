@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from deckmill import fixed_values as fv
 from deckmill.functions import names
+from deckmill.functions import text as tx
 
 
 def slide_summary(files: DataFrame, extension: str = "extension", slides: str = "slide_count") -> DataFrame:
@@ -88,7 +89,7 @@ def corpus_size(files: DataFrame, size: str = "file_size") -> DataFrame:
 
 def ledger_count(lines: DataFrame, value: str = "value") -> DataFrame:
     """Non-blank ledger lines; repeats count."""
-    return lines.where(F.trim(value) != "").agg(F.count("*").alias("entries"))
+    return lines.where(tx.strip(F.col(value)) != "").agg(F.count("*").alias("entries"))
 
 
 def marker_source_from_path(path: Column) -> Column:

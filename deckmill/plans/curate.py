@@ -11,7 +11,7 @@ from deckmill.config import DeliveryRules, IntegrityRules, PersonalDataRules, Qu
 from deckmill.functions import content as ct
 from deckmill.functions import names
 from deckmill.functions import records as rc
-from deckmill.operators import batches, integrity, ledger, numbering, quality, screens, verdict
+from deckmill.operators import batches, integrity, ledger, numbering, quality, scale, screens, verdict
 from deckmill.sources import decks
 
 
@@ -114,7 +114,7 @@ def transfer(items: DataFrame, done: DataFrame, blocked: Sequence[str], batch: s
     lenient = integrity.accept_unparsed(open_items, rules, error="error")
     reason = integrity.transfer_reason(F.col("error"), F.col("slide_count"), F.col("organization"), F.col("author"), blocked, rules)
     judged = lenient.withColumn("reason", F.when(~F.col("fetched"), "failed").otherwise(reason))
-    named = numbering.batch_names(judged.where(F.col("reason") == "PASS"), batch, list(order), last_number)
+    named = scale.number_rows(judged.where(F.col("reason") == "PASS"), list(order), "sequence_number", last_number + 1)
     ext = F.coalesce(F.nullif(F.lower(names.suffix(F.col("name"))), F.lit("")), F.lit(".pptx"))
     named = named.withColumn("dest_name", F.concat(F.lit(f"{batch}_"), names.zero_padded(F.col("sequence_number"), 6), ext))
     rejected = judged.where(~F.col("reason").isin("PASS", "failed"))

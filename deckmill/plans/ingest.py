@@ -28,6 +28,9 @@ class IngestRoute:
     topic_terms: Sequence[str] | None = None
     # Crawl records are incomplete without these; an empty tuple skips the rule.
     required: Sequence[str] = ("url", "filename", "length")
+    # Rows with a tag column of their own are no addresses: they are not reduced to
+    # one per address, words are looked at before tags, and a tag accepted in
+    # this run makes every later row with it a duplicate.
     tag: str | None = None
 
 
@@ -62,7 +65,9 @@ def ingest(candidates: DataFrame, seen_tags: DataFrame, content_seen: DataFrame,
     if route.domains is not None:
         blocked = blocked | ~policy.is_allowed(F.col("url"), route.domains)
     incomplete = ~integrity.is_complete(*[F.col(c) for c in route.required]) if route.required else F.lit(False)
-    reason = (F.when(incomplete, "incomplete").when(F.col("__tag_seen"), "dup").when(blocked, "blocked")
+    first, second = ((F.col("__tag_seen"), "dup"), (blocked, "blocked")) if route.tag is None else (
+        (blocked, "blocked"), (F.col("__tag_seen"), "dup"))
+    reason = (F.when(incomplete, "incomplete").when(*first).when(*second)
               .when(~integrity.declared_size_ok(F.col("declared_length"), route.floor), "small")
               .when(F.col("file_size").isNull(), "error").when(F.col("file_size") < route.floor, "small"))
     checks = [(F.col("__hash_seen"), "dup"), (~F.col("magic_ok"), "invalid")]
@@ -70,10 +75,7 @@ def ingest(candidates: DataFrame, seen_tags: DataFrame, content_seen: DataFrame,
         reason = reason.when(test, label)
     reason = reason.when(F.col("__cjk"), "china").when(F.col("__topical"), "blocked")
     judged = flagged.withColumn("reason", reason).drop("__tag_seen", "__hash_seen", "__word", "__cjk", "__topical")
-    # Of equal contents accepted in this run, the first one stays.
-    keyed = judged.withColumn("__key", F.when(F.col("reason").isNull(), F.col("file_hash")))
-    marked = dedup.mark_copies(keyed, ["__key"], list(order), list(order), "__keeper", "__copy")
-    done = marked.withColumn("reason", F.when(F.col("__copy"), "dup").otherwise(F.col("reason"))).drop("__key", "__keeper", "__copy")
+    done = _first_of_run(judged, route, list(order))
     if target is None:
         return done
     accepted = scale.number_rows(done.where(F.col("reason").isNull()).select(*order), list(order), "__n")
@@ -82,6 +84,19 @@ def ingest(candidates: DataFrame, seen_tags: DataFrame, content_seen: DataFrame,
             .withColumn("reason", F.when(F.col("__late"), "beyond_target").otherwise(F.col("reason"))).drop("__late"))
 
 
+def _first_of_run(judged: DataFrame, route: IngestRoute, order: list[str]) -> DataFrame:
+    """Of equal contents, or equal tags, accepted in this run the first one stays."""
+    if route.tag is None:
+        keyed = judged.withColumn("__key", F.when(F.col("reason").isNull(), F.col("file_hash")))
+        marked = dedup.mark_copies(keyed, ["__key"], order, order, "__keeper", "__copy")
+        return marked.withColumn("reason", F.when(F.col("__copy"), "dup").otherwise(F.col("reason"))).drop("__key", "__keeper", "__copy")
+    first = judged.where(F.col("reason").isNull()).groupBy("tag").agg(F.min(F.struct(*order)).alias("__first"))
+    sizes = judged.groupBy("tag").agg(F.count("*").alias("__n"))
+    marked = scale.attach(judged, first.join(sizes, "tag"), ["tag"], "__n", order)
+    late = (F.struct(*order) > F.col("__first")) & ~F.coalesce(F.col("reason") == "blocked", F.lit(False))
+    return marked.withColumn("reason", F.when(late, "dup").otherwise(F.col("reason"))).drop("__first", "__n")
+
+
 def accepted(judged: DataFrame) -> DataFrame:
     return judged.where(F.col("reason").isNull())
 

@@ -30,7 +30,7 @@ CORE_FIELDS = {
     "modified": "{http://purl.org/dc/terms/}modified",
 }
 
-PART_TYPE = ("array<struct<member:string,number:int,is_slide:boolean,xml:string,text:string,"
+PART_TYPE = ("array<struct<member:string,position:int,number:int,is_slide:boolean,xml:string,text:string,"
              "text_length:int,has_table:boolean,parsed:boolean>>")
 PARSED_COLUMNS = [
     "is_zip boolean", "is_ole boolean", "has_content_types boolean", "has_slide boolean",
@@ -123,6 +123,7 @@ def parse_deck(content: bytes) -> dict:
             row["has_slide"] = any(m.startswith("ppt/slides/slide") for m in members)
             row["chart_files"] = sum(m.startswith("ppt/charts/") for m in members)
             number = 0
+            place = {m: i for i, m in enumerate(members)}
             for member in sorted(m for m in members if "slide" in m and m.endswith(".xml")):
                 raw = z.read(member)
                 if member.startswith("ppt/slides/slide"):
@@ -133,7 +134,7 @@ def parse_deck(content: bytes) -> dict:
                 else:
                     part = {"member": member, "number": 0, "is_slide": False, "text": "", "text_length": 0,
                             "xml": raw.decode("utf-8", errors="ignore"), "has_table": False, "parsed": False}
-                row["parts"].append(part)
+                row["parts"].append({**part, "position": place[member]})
             row["slide_members"] = number
             if "docProps/core.xml" in members:
                 core = ET.fromstring(z.read("docProps/core.xml"))
@@ -201,9 +202,21 @@ def deck_text(parts: Column) -> Column:
 
 
 def part_xml(parts: Column) -> Column:
+    """XML of all slide-like members in name order."""
     return F.transform(parts, lambda p: p["xml"])
 
 
+def archive_order_xml(parts: Column) -> Column:
+    """The same in the order of the archive, as the topical test joins them."""
+    placed = F.array_sort(F.transform(parts, lambda p: F.struct(p["position"].alias("position"), p["xml"].alias("xml"))))
+    return F.transform(placed, lambda p: p["xml"])
+
+
+def slide_xml(parts: Column) -> Column:
+    """XML of the slides alone; the first one is slide 1."""
+    return F.transform(F.filter(parts, lambda p: p["is_slide"]), lambda p: p["xml"])
+
+
 @F.pandas_udf(T.BinaryType())
 def _gunzip(data: pd.Series) -> pd.Series:
     def one(raw):

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from deckmill import fixed_values as fv
 from deckmill.functions import names, urls
+from deckmill.functions import text as tx
 
 METADATA_FIELDS = [
     "source_url", "source_domain", "download_url", "original_filename", "collection_timestamp",
@@ -138,7 +139,7 @@ def ledger_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def ledger(lines: DataFrame, name: str = "tag", value: str = "value") -> DataFrame:
     """Distinct trimmed non-empty lines."""
-    return lines.select(F.trim(value).alias(name)).where(F.length(name) > 0).distinct()
+    return lines.select(tx.strip(F.col(value)).alias(name)).where(F.length(name) > 0).distinct()
 
 
 def policy_lists(spark: SparkSession, path: str, keys: dict[str, str]) -> DataFrame:
@@ -165,8 +166,8 @@ def split_rename_lines(lines: DataFrame, line_no: Column) -> DataFrame:
     """``new | old`` lines; lines without two parts are no mapping."""
     parts = F.split(F.col("value"), r"\|")
     return (lines.withColumn("line_no", line_no).withColumn("__p", parts).where(F.size("__p") > 1)
-            .select("line_no", F.trim(F.get("__p", F.lit(0))).alias("new_name"),
-                    F.trim(F.get("__p", F.lit(1))).alias("old_name")))
+            .select("line_no", tx.strip(F.get("__p", F.lit(0))).alias("new_name"),
+                    tx.strip(F.get("__p", F.lit(1))).alias("old_name")))
 
 
 def rename_log(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -178,7 +179,7 @@ def rename_log(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def seed_list(lines: DataFrame) -> DataFrame:
     """Portal seeds: blanks and comments skipped, the value is name and address."""
-    value = F.trim("value")
+    value = tx.strip(F.col("value"))
     return lines.select(value.alias("name")).where((F.col("name") != "") & ~F.startswith("name", F.lit("#"))).withColumn(
         "base_url", F.col("name"))
 
@@ -206,7 +207,7 @@ def harvest_links(responses: DataFrame, xml: str = "value", keep: Sequence[str]
     nodes = F.xpath("__xml", F.lit(
         "//*[local-name()='record']//*[local-name()='metadata']//text()"))
     texts = checked.select(*keep, F.explode(F.when(well_formed, nodes)).alias("__t")).select(
-        *keep, F.trim("__t").alias("link"))
+        *keep, tx.strip(F.col("__t")).alias("link"))
     return texts.where(is_harvest_link(F.col("link")))
 
 

@@ -203,3 +203,37 @@ def test_transfer_blocklist_uses_listed_values(spark):
     df = spark.createDataFrame([("", 9, "Acme.com team", ""), ("", 9, "", "Someone"), ("bad", 9, "", ""), ("", 4, "", "")], "e string, n int, o string, a string")
     got = [r[0] for r in df.select(integrity.transfer_reason(F.col("e"), F.col("n"), F.col("o"), F.col("a"), ["acme.com"])).collect()]
     assert got == ["blocked organisation: acme.com team", "PASS", "corrupt file — bad", "only 4 slides (min 5)"]
+
+
+def test_counts_in_other_scripts(spark):
+    texts = ["٠١٢٣ ٤٥٦٧ ٨٩٠١", "۱۲۳-۴۵-۶۷۸۹", "01 23 45 67 89", "tel 030 1234 5678"]
+    assert column(spark, texts, tx.phone_count) == [len(re.findall(fv.PHONE_PATTERN, t)) for t in texts]
+    assert column(spark, texts, tx.ssn_count) == [len(re.findall(fv.SSN_PATTERN, t)) for t in texts]
+
+
+def test_anchor_targets(spark):
+    html = ('<a class=x href="/a.pptx?x=1&amp;y=2">1</a><A HREF=\' b.ppt \'>2</A><a href=c.pptx>3</a><!-- <a href="no.pptx"> -->'
+            '<script>var s = "<a href=\'no2.pptx\'>"</script><a data-href="no3.pptx" href="d.pptx">4</a><area href="no4.pptx"><a name="x">5</a>')
+    assert column(spark, [html], urls.anchor_targets) == [["/a.pptx?x=1&y=2", "b.ppt", "c.pptx", "d.pptx"]]
+
+
+def test_page_links_join_all_kinds(spark):
+    from deckmill.operators import frontier
+
+    html = ('<a href="/x/a.pptx">a</a> see https://o.org/raw.ppt, "/bitstream/handle/1/2/deck.pptx" <a href="a.pptx#s">b</a><a href="n.html">n</a>')
+    df = spark.createDataFrame([(1, "http://h.org/d/page", html)], "page_id int, url string, html string")
+    assert sorted(r.link for r in frontier.page_links(df).collect()) == [
+        "http://h.org/bitstream/handle/1/2/deck.pptx", "http://h.org/d/a.pptx#s", "http://h.org/x/a.pptx", "https://o.org/raw.ppt"]
+
+
+def test_strip_all_white_space(spark):
+    raw = ["\t a b \r\n", "\x0b", " "]
+    assert column(spark, raw, tx.strip) == [r.strip() for r in raw]
+
+
+def test_path_parameters_are_no_name(spark):
+    raw = ["http://h/a.pptx;v=1?x", "http://h/d;v/a.PPT/", "http://h/.pptx"]
+    from pathlib import PurePosixPath
+
+    assert column(spark, raw, urls.path_name) == [PurePosixPath(urlparse(u).path).name for u in raw]
+    assert column(spark, raw, lambda u: integrity.is_deck_resource(u, F.lit(""))) == [True, True, False]
