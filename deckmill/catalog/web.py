@@ -98,9 +98,9 @@ def domain_policy(spark, d):
     return policy.with_block_reason(pages(spark, d), "url", POLICY).select("page_id", "block_reason")
 
 
-@CATALOG.add("domain_policy_joined", _POLICY_SQL.replace(".ththan.example.net", ".mil"))
+@CATALOG.add("domain_policy_joined", _POLICY_SQL)
 def domain_policy_joined(spark, d):
-    rows = [(rule, v) for rule in policy.RULES[:-1] for v in getattr(POLICY, rule) if v != ".ththan.example.net"]
+    rows = [(rule, v) for rule in policy.RULES[:-1] for v in getattr(POLICY, rule)]
     listed = spark.createDataFrame(rows, "rule string, value string")
     return policy.block_reason_by_join(pages(spark, d), "url", listed, ["page_id"]).select("page_id", "block_reason")
 

@@ -110,7 +110,7 @@ def page_links(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
                repository_pattern: str | None = fv.BITSTREAM_PATTERN) -> DataFrame:
     """Distinct deck links of each page: raw addresses, repository paths, anchors.
 
-    Relative links are resolved against the page address.
+    Relative links are resolved against the page address. Pages are unique by id.
     """
     text = F.col(html)
     hrefs = F.filter(urls.anchor_targets(text), lambda h: F.rlike(h, F.lit(link_pattern)))
@@ -118,9 +118,9 @@ def page_links(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     for pattern in (raw_pattern, repository_pattern):
         if pattern:
             groups.append(F.regexp_extract_all(text, F.lit(pattern), 0))
-    found = pages.select(page_id, url, F.explode(F.array_distinct(F.concat(*groups))).alias("__ref"))
-    resolved = found.select(page_id, urls.resolve_url(F.col(url), F.col("__ref")).alias("link"))
-    return resolved.distinct()
+    # Links are made distinct inside the page's own row, so nothing is shuffled.
+    resolved = F.transform(F.array_distinct(F.concat(*groups)), lambda ref: urls.resolve_url(F.col(url), ref))
+    return pages.select(page_id, F.explode(F.array_distinct(resolved)).alias("link"))
 
 
 def select_candidates(results: DataFrame, links: DataFrame, seen_tags: DataFrame, order: Sequence[str], *,

@@ -92,20 +92,28 @@ def block_reason_by_join(df: DataFrame, url_col: str, policy: DataFrame, spread_
     order = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r, i)])
     staged = df.withColumn("__host", urls.authority(F.col(url_col)))
     hosts = staged.where(F.col("__host") != "").groupBy("__host").agg(F.count("*").alias("__n"))
+    listed = policy.select("rule", F.lower("value").alias("value")).where(F.col("rule").isin(rules) & (F.col("value") != ""))
+    suffix_rows = scale.small_table(listed.where(F.col("rule") == "tld").select("value").distinct())
+    if suffix_rows is None:
+        raise ValueError("more suffixes than there are top-level domains: list them as domains")
+    entries = (listed.where(F.col("rule") != "tld").groupBy("value")
+               .agg(F.min(F.element_at(order, F.col("rule"))).alias("__order")))
     labels = F.split(F.col("__host"), r"\.")
     parents = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + F.lit(1)), "."))
-    # a suffix such as ".us" ends the hosts that have a strict parent "us"
-    suffixes = F.transform(F.slice(parents, F.lit(2), F.size(labels)), lambda p: F.concat(F.lit("."), p))
-    entries = policy.select("rule", F.lower("value").alias("value")).where(F.col("rule").isin(rules)).distinct()
-    keys = hosts.select("__host", F.explode(F.concat(parents, suffixes)).alias("value"))
-    tld_or_domain = (F.col("rule") == "tld") == F.startswith("value", F.lit("."))
-    hits = keys.join(entries.where(tld_or_domain), "value").select("__host", F.element_at(order, F.col("rule")).alias("__order"))
+    keys = hosts.select("__host", F.explode(parents).alias("value"))
+    # A parent such as "com" belongs to very many hosts: attach keeps it from one task.
+    met = keys.groupBy("value").agg(F.count("*").alias("__m")).join(entries, "value")
+    hits = (scale.attach(keys, met, ["value"], "__m", ["__host"]).where(F.col("__order").isNotNull())
+            .select("__host", "__order"))
+    tests = []
+    if suffix_rows:
+        tests.append((urls.ends_with_any(F.col("__host"), [r.value for r in suffix_rows]), "tld"))
     if "edu" in rules:
-        hits = hits.unionByName(
-            hosts.where(F.endswith("__host", F.lit(".edu")))
-            .select("__host", F.lit(rules.index("edu")).alias("__order")))
+        tests.append((F.endswith("__host", F.lit(".edu")), "edu"))
+    for test, rule in tests:
+        hits = hits.unionByName(hosts.where(test).select("__host", F.lit(rules.index(rule)).alias("__order")))
     first = hits.groupBy("__host").agg(F.min("__order").alias("__order"))
     facts = (hosts.join(first, "__host")
              .select("__host", "__n", F.get(F.array(*[F.lit(r) for r in rules]), F.col("__order")).alias(name)))

@@ -137,12 +137,13 @@ def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def small_table(df: DataFrame, limit: int = SMALL_ROWS) -> list | None:
     """Rows of ``df`` when there are at most ``limit``, else None."""
-    rows = df.limit(limit + 1).collect()
+    rows = df.take(limit + 1)
     return rows if len(rows) <= limit else None
 
 
 def is_small(df: DataFrame, limit: int = SMALL_ROWS) -> bool:
-    return df.limit(limit + 1).count() <= limit
+    """Size check that reads a large table no further than its first partitions."""
+    return len(df.select(F.lit(1)).take(limit + 1)) <= limit
 
 
 def broadcast_if_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:

@@ -12,6 +12,7 @@ from deckmill import fixed_values as fv
 from deckmill.config import SizeFloors
 from deckmill.functions import urls
 from deckmill.operators import dedup, integrity, ledger, policy, scale, screens
+from deckmill.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -78,6 +79,7 @@ def ingest(candidates: DataFrame, seen_tags: DataFrame, content_seen: DataFrame,
     done = _first_of_run(judged, route, list(order))
     if target is None:
         return done
+    done = cut_lineage(done)  # the funnel is evaluated once, then numbered and joined
     accepted = scale.number_rows(done.where(F.col("reason").isNull()).select(*order), list(order), "__n")
     late = accepted.where(F.col("__n") > target).drop("__n").withColumn("__late", F.lit(True))
     return (done.join(late, list(order), "left")

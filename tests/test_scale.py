@@ -118,12 +118,29 @@ def test_policy_join_equals_literals(spark):
 
 
 def test_policy_table_beyond_the_limit_is_joined(spark, monkeypatch):
-    monkeypatch.setattr(policy.scale, "small_table", lambda df, limit=0: None)
+    monkeypatch.setattr(policy.DomainPolicy, "from_table", classmethod(lambda cls, *a: None))
     df = spark.createDataFrame([(1, "http://a.x.org/1")], "id int, url string")
     table = spark.createDataFrame([("pirate", "x.org")], "rule string, value string")
     assert policy.with_block_reason(df, "url", table, ["id"]).first().block_reason == "pirate"
 
 
+def test_size_checks(spark):
+    df = spark.range(30)
+    assert scale.is_small(df, 30) and not scale.is_small(df, 29)
+    assert len(scale.small_table(df, 30)) == 30 and scale.small_table(df, 29) is None
+
+
+def test_long_policy_table_is_joined(spark):
+    """More entries than the small-set limit, one of them hit by most hosts."""
+    entries = spark.range(scale.SMALL_ROWS + 5).select(F.lit("commercial").alias("rule"), F.concat(F.lit("c"), F.col("id").cast("string"), F.lit(".org")).alias("value"))
+    entries = entries.union(spark.createDataFrame([("pirate", "hot.net"), ("tld", ".gov")], "rule string, value string"))
+    urls_ = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.concat(F.lit("http://h"), F.col("id").cast("string"), F.lit(".hot.net/")))
+                                     .when(F.col("id") % 3 == 1, F.concat(F.lit("http://a.c"), F.col("id").cast("string"), F.lit(".org/")))
+                                     .otherwise("http://x.gov/").alias("url"))
+    got = policy.with_block_reason(urls_, "url", entries, ["id"]).groupBy("block_reason").count().collect()
+    assert {r.block_reason: r["count"] for r in got} == {"pirate": 1000, "commercial": 1000, "tld": 1000}
+
+
 def test_collisions_end_unique(spark):
     names = ["a.pptx", "a.pptx", "a_1.pptx", "a.pptx", "b", "b", "a_1.pptx", "c.ppt"]
     df = spark.createDataFrame(list(enumerate(names)), "id int, name string")
