@@ -9,10 +9,12 @@ from __future__ import annotations
 import gzip
 import io
 import struct
+import sys
 import zipfile
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from deckmill.catalog.common import FILES, SLIDES, Catalog, heavy_files, sql_any, sql_under, table
@@ -26,6 +28,7 @@ from deckmill.sinks import tables as sinks
 from deckmill.sources import decks
 from deckmill.sources.tables import CATALOGUE_SIDECAR_SCHEMA
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CATALOG = Catalog()
 NOW = "2026-01-01T00:00:00Z"
 

@@ -26,26 +26,26 @@ def keyword_hits(lowered: Column, keywords: Sequence[str]) -> Column:
     One ``contains`` per keyword inside generated code. The caller lower-cases
     in a step of its own, so that long texts are lowered once.
     """
-    found = [F.when(F.contains(lowered, F.lit(k)), F.lit(k)) for k in sorted(set(keywords))]
+    found = [F.when(lowered.contains(k), k) for k in sorted(set(keywords))]
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
 def keyword_line(lowered: Column, keywords: Sequence[str]) -> Column:
     """The same hits as one comma-joined text, without leaving generated code."""
-    return F.concat_ws(", ", *[F.when(F.contains(lowered, F.lit(k)), F.lit(k)) for k in sorted(set(keywords))])
+    return F.concat_ws(", ", *[F.when(lowered.contains(k), k) for k in sorted(set(keywords))])
 
 
 def contains_any(lowered: Column, keywords: Sequence[str]) -> Column:
     test = F.lit(False)
     for k in sorted(set(keywords)):
-        test = test | F.contains(lowered, F.lit(k))
+        test = test | lowered.contains(k)
     return test
 
 
 def count_contained(lowered: Column, keywords: Sequence[str]) -> Column:
     total = F.lit(0)
     for k in sorted(set(keywords)):
-        total = total + F.contains(lowered, F.lit(k)).cast("int")
+        total = total + lowered.contains(k).cast("int")
     return total
 
 

@@ -56,7 +56,7 @@ def under_any(host: Column, names: Iterable[str]) -> Column:
 def ends_with_any(text: Column, suffixes: Iterable[str]) -> Column:
     test = F.lit(False)
     for suffix in suffixes:
-        test = test | F.endswith(text, F.lit(suffix))
+        test = test | text.endswith(suffix)
     return test
 
 

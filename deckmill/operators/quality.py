@@ -60,7 +60,7 @@ def keyword_mask(lowered: Column, keywords: Sequence[str]) -> Column:
         raise ValueError("a mask takes up to 62 keywords without blanks")
     mask = F.lit(0).cast("bigint")
     for i, word in enumerate(words):
-        mask = mask + F.when(F.contains(lowered, F.lit(word)), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+        mask = mask + F.when(lowered.contains(word), 1 << i).otherwise(0).cast("bigint")
     return mask
 
 

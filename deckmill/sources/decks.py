@@ -5,12 +5,14 @@ from __future__ import annotations
 import gzip
 import io
 import struct
+import sys
 import xml.etree.ElementTree as ET
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,10 @@ from pyspark.sql import types as T
 from deckmill import fixed_values as fv
 from deckmill.functions import names
 
+# The functions below travel to the workers by value, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+OLE_MAGIC = bytes.fromhex(fv.OLE_MAGIC_HEX)
 DRAWING_NS = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
 SLIDE_NS = "{http://schemas.openxmlformats.org/presentationml/2006/main}"
 CORE_FIELDS = {
@@ -104,7 +110,7 @@ def _slide_part(member: str, number: int, raw: bytes) -> tuple[dict, int, int]:
 
 def parse_deck(content: bytes) -> dict:
     """Container facts and slide members of one deck."""
-    row: dict = {"is_zip": False, "is_ole": content[:8].hex().upper() == fv.OLE_MAGIC_HEX,
+    row: dict = {"is_zip": False, "is_ole": content[:8] == OLE_MAGIC,
                  "has_content_types": False, "has_slide": False, "read_error": "", "slide_members": 0,
                  "chart_files": 0, "charts": 0, "tables": 0, "parts": [], **{c: "" for c in CORE_FIELDS}}
     if row["is_ole"]:

@@ -232,3 +232,19 @@ def test_build_deck_is_readable():
     row = decks.parse_deck(build_deck(1, "a|b\neaea", "en", "s"))
     assert (row["slide_members"], row["charts"], row["tables"], row["chart_files"], row["title"]) == (2, 1, 1, 1, "en")
     assert decks.parse_deck(b"")["is_zip"] is False
+
+
+def test_workers_need_no_package(tmp_path):
+    """The byte functions arrive by value on workers that lack this package."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    blob = tmp_path / "f.pkl"
+    blob.write_bytes(cloudpickle.dumps((decks.parse_deck, deck([slide("x")]), ole_file(["slide"]))))
+    code = ("import sys; sys.path = [p for p in sys.path if 'repo' not in p]\n"
+            "from pyspark import cloudpickle\n"
+            f"f, zipped, ole = cloudpickle.loads(open({str(blob)!r}, 'rb').read())\n"
+            "assert 'deckmill' not in sys.modules and f(zipped)['slide_members'] == 1 and f(ole)['slide_members'] == 1")
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=60)
