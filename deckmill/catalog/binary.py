@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from deckmill.catalog.common import FILES, SLIDES, Catalog, heavy_files, sql_any, sql_under, table
+from deckmill.catalog.common import FILES, SLIDES, Catalog, heavy_files, longs, sql_any, sql_under, table
 from deckmill.config import DeliveryRules, IntegrityRules, QualityRules
 from deckmill.functions import names
 from deckmill.operators import dedup, quality
@@ -101,13 +101,13 @@ facts AS (SELECT k.*, CASE WHEN kind = 'ole' THEN 2 WHEN kind IN ('html', 'bare'
 
 
 @CATALOG.add("deck_containers", f"""WITH {FILES}, {SLIDES}, {_KIND}
-SELECT doc_id, kind NOT IN ('ole', 'html') AS is_zip, kind = 'ole' AS is_ole, slide_members, chart_files, charts, tables, reason, clean_reason,
+SELECT doc_id, kind NOT IN ('ole', 'html') AS is_zip, kind = 'ole' AS is_ole, slide_members, CAST(chart_files AS BIGINT) AS chart_files, charts, tables, reason, clean_reason,
   CASE WHEN kind IN ('ole', 'html') THEN '' ELSE lang END AS title, CASE WHEN kind IN ('ole', 'html') THEN '' ELSE source END AS author FROM facts""")
 def deck_containers(spark, d):
     p = decks.parse_decks(made_decks(spark, d), ["doc_id", "extension"])
-    return p.select("doc_id", "is_zip", "is_ole", "slide_members", "chart_files", "charts", "tables",
+    return longs(p.select("doc_id", "is_zip", "is_ole", "slide_members", "chart_files", "charts", "tables",
                     decks.container_reason(F.col("extension")).alias("reason"),
-                    decks.container_reason(F.col("extension"), "cleaner").alias("clean_reason"), "title", "author")
+                    decks.container_reason(F.col("extension"), "cleaner").alias("clean_reason"), "title", "author"))
 
 
 @CATALOG.add("deck_slides", f"""WITH {FILES}, {SLIDES}, {_KIND}
@@ -115,7 +115,7 @@ SELECT doc_id, 'ppt/slides/slide' || slide_number || '.xml' AS member, row_numbe
   text_length, md5(s.text) AS text_md5, contains(s.text, '|') AS has_table FROM slides s JOIN facts USING (doc_id) WHERE slide_members > 0 AND kind <> 'ole'""")
 def deck_slides(spark, d):
     p = decks.parse_decks(made_decks(spark, d), ["doc_id"])
-    return decks.slides_of(p, ["doc_id"]).select("doc_id", "member", "slide_number", "text_length", F.md5("text").alias("text_md5"), "has_table")
+    return longs(decks.slides_of(p, ["doc_id"]).select("doc_id", "member", "slide_number", "text_length", F.md5("text").alias("text_md5"), "has_table"))
 
 
 _MARK = quality.SlideMarkers(chart=("2006/chart",), diagram=("whst",), image=("shsh",))
@@ -134,8 +134,8 @@ FROM r JOIN facts USING (doc_id) WHERE slide_members > 0 AND kind <> 'ole'""")
 def deck_rollup_in_row(spark, d):
     p = decks.parse_decks(made_decks(spark, d), ["doc_id"])
     r = quality.with_tier(quality.rollup_parts(p, markers=_MARK, rules=_RULES), "chart_files", _RULES, "tier").where("slide_count > 0")
-    return r.select("doc_id", "slide_count", "analytical_slides", "chart_slides", "table_slides", "diagram_slides", "text_heavy_slides",
-                    "photo_heavy_slides", F.round("analytical_pct", 6).alias("analytical_pct"), "tier")
+    return longs(r.select("doc_id", "slide_count", "analytical_slides", "chart_slides", "table_slides", "diagram_slides", "text_heavy_slides",
+                    "photo_heavy_slides", F.round("analytical_pct", 6).alias("analytical_pct"), "tier"))
 
 
 _PIRATE = ["src3.example.org"]
@@ -208,14 +208,14 @@ SELECT 'BATCH_03' AS batch_id, name AS original_filename, 'BATCH_03_names_' || l
   7 + row_number() OVER (ORDER BY name) AS sequence_number, slide_count, quality AS quality_classification, ltrim(extension, '.') AS file_format, 'PASS' AS file_integrity
 FROM dl WHERE status = 'delivered'""")
 def delivery_metadata(spark, d):
-    return delivery_run(spark, d)["metadata"].select("batch_id", "original_filename", "filename", "sequence_number", "slide_count",
-                                                     "quality_classification", "file_format", "file_integrity")
+    return longs(delivery_run(spark, d)["metadata"].select("batch_id", "original_filename", "filename", "sequence_number", "slide_count",
+                                                     "quality_classification", "file_format", "file_integrity"))
 
 
 @CATALOG.add("delivery_audit", f"""WITH {FILES}, {SLIDES}, {_KIND}, {_DELIVERY}
 SELECT name AS filename, slide_count, quality, 'PASS' AS file_integrity, 'PASS' AS rights_review, '{NOW}' AS delivered_at FROM dl WHERE status = 'delivered'""")
 def delivery_audit(spark, d):
-    return delivery_run(spark, d)["audit"].select("filename", "slide_count", "quality", "file_integrity", "rights_review", "delivered_at")
+    return longs(delivery_run(spark, d)["audit"].select("filename", "slide_count", "quality", "file_integrity", "rights_review", "delivered_at"))
 
 
 @CATALOG.add("delivery_ledger", f"""WITH {FILES}, {SLIDES}, {_KIND}, {_DELIVERY} SELECT name AS filename, status FROM dl""")
@@ -242,7 +242,7 @@ _TRANSFER = """tr AS (SELECT *, CASE WHEN doc_id % 29 = 0 THEN 'failed' WHEN sta
 SELECT CAST(doc_id AS VARCHAR) AS source_file_id, 'BATCH_01_' || lpad(CAST(27 + row_number() OVER (ORDER BY name) AS VARCHAR), 6, '0') || extension AS upload_filename,
   slide_count, CASE WHEN kind = 'ole' THEN '' ELSE lang END AS title, quality AS quality_classification FROM tr WHERE verdict = 'PASS'""")
 def transfer_metadata(spark, d):
-    return transfer_run(spark, d)["metadata"].select("source_file_id", "upload_filename", "slide_count", "title", "quality_classification")
+    return longs(transfer_run(spark, d)["metadata"].select("source_file_id", "upload_filename", "slide_count", "title", "quality_classification"))
 
 
 @CATALOG.add("transfer_outcomes", f"""WITH {FILES}, {SLIDES}, {_KIND}, {_DELIVERY}, {_TRANSFER}

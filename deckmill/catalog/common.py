@@ -38,6 +38,12 @@ def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataF
     return scale.spread(table(spark, sf_dir, name), [key])
 
 
+def longs(df: DataFrame) -> DataFrame:
+    """Counts in the width SQL gives them."""
+    return df.select(*[F.col(f.name).cast("bigint").alias(f.name) if f.dataType.simpleString() == "int" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 # ---- deck files from documents ---------------------------------------------
 def deck_files(docs: DataFrame) -> DataFrame:
     """Every tenth document is an old-format file; arrival order differs from the id."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from deckmill.catalog.common import FILES, Catalog, files, table
+from deckmill.catalog.common import FILES, Catalog, files, longs, table
 from deckmill.functions import records as rc
 from deckmill.functions import urls
 from deckmill.operators import ledger, records
@@ -114,7 +114,7 @@ def dataset_binary_column(spark, d):
                            F.encode(F.concat("html", "html", "html"), "UTF-8").alias("payload")).write.parquet(path)
     shards = spark.read.parquet(path)
     column = src.binary_column(shards)
-    return shards.select("page_id", F.octet_length(column).alias("bytes"), F.md5(column).alias("md5"))
+    return longs(shards.select("page_id", F.octet_length(column).alias("bytes"), F.md5(column).alias("md5")))
 
 
 @CATALOG.add("ledger_scan", "SELECT DISTINCT substr(sha1(text), 1, 10) AS tag FROM documents WHERE doc_id % 10 <> 0")

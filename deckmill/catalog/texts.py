@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from deckmill import fixed_values as fv
-from deckmill.catalog.common import (FILES, SLIDES, Catalog, files, heavy_files, lines, q, slide_rows, spread_table, sql_any, sql_count, sql_hits,
+from deckmill.catalog.common import (FILES, SLIDES, Catalog, files, heavy_files, lines, longs, q, slide_rows, spread_table, sql_any, sql_count, sql_hits,
                                      sql_under, table)
 from deckmill.config import IntegrityRules, PersonalDataRules, QualityRules
 from deckmill.functions import content as ct
@@ -53,13 +53,13 @@ _PII_COLUMNS = ["doc_id", "n_emails", "n_ssns", "n_phones", "pii_detail", "has_p
 
 @CATALOG.add("personal_data_screen", _pii_sql(2, 0, 3))
 def personal_data_screen(spark, d):
-    return screens.screen_personal_data(docs(spark, d), "text").select(*_PII_COLUMNS)
+    return longs(screens.screen_personal_data(docs(spark, d), "text").select(*_PII_COLUMNS))
 
 
 @CATALOG.add("personal_data_screen_strict", _pii_sql(0, 0, 0))
 def personal_data_screen_strict(spark, d):
     rules = PersonalDataRules(emails_allowed=0, phones_allowed=0)
-    return screens.screen_personal_data(docs(spark, d), "text", rules).select(*_PII_COLUMNS)
+    return longs(screens.screen_personal_data(docs(spark, d), "text", rules).select(*_PII_COLUMNS))
 
 
 def _kw_sql(keywords, name, lead):
@@ -183,8 +183,8 @@ def flagged(spark, d):
 SELECT doc_id, slide_number, chart AS has_chart, tbl AS has_table, dia AS has_diagram, FALSE AS has_smartart, img AS has_image,
   text_length, shapes AS shape_count, ana AS is_analytical, heavy AS is_text_heavy, photo AS is_photo_heavy FROM flags""")
 def slide_flags(spark, d):
-    return flagged(spark, d).select("doc_id", "slide_number", "has_chart", "has_table", "has_diagram", "has_smartart",
-                                    "has_image", "text_length", "shape_count", "is_analytical", "is_text_heavy", "is_photo_heavy")
+    return longs(flagged(spark, d).select("doc_id", "slide_number", "has_chart", "has_table", "has_diagram", "has_smartart",
+                                    "has_image", "text_length", "shape_count", "is_analytical", "is_text_heavy", "is_photo_heavy"))
 
 
 _REASONING_HITS = " + ".join(f"CAST(bool_or(contains(t, {q(k)})) AS INTEGER)" for k in sorted(set(REASONING)))
@@ -208,10 +208,10 @@ SELECT doc_id, n AS slide_count, ana_n AS analytical_slides, chart_n AS chart_sl
   round(photo_pct, 6) AS photo_heavy_pct, round(score, 6) AS reasoning_score, tier AS quality_classification FROM tiers""")
 def deck_quality_tiers(spark, d):
     t = tiered(spark, d)
-    return t.select("doc_id", "slide_count", "analytical_slides", "chart_slides", "table_slides", "diagram_slides",
+    return longs(t.select("doc_id", "slide_count", "analytical_slides", "chart_slides", "table_slides", "diagram_slides",
                     "text_heavy_slides", "photo_heavy_slides",
                     *[F.round(c, 6).alias(c) for c in ("analytical_pct", "text_heavy_pct", "photo_heavy_pct", "reasoning_score")],
-                    "quality_classification")
+                    "quality_classification"))
 
 
 @CATALOG.add("tiers_against_labels", f"""WITH {SLIDES}, {_FLAGS}, {_DECKS}
@@ -252,7 +252,7 @@ def conversation_rollup(spark, d):
     c = table(spark, d, "conversations").withColumn("text_length", F.length("text"))
     m = quality.SlideMarkers(chart=("tion",), diagram=(), image=(), table=())
     rolled = quality.deck_rollup(quality.slide_flags(c, "text", "text_length", None, None, m), ["conv_id"])
-    return rolled.select("conv_id", "slide_count", "analytical_slides", F.round("analytical_pct", 6).alias("analytical_pct"))
+    return longs(rolled.select("conv_id", "slide_count", "analytical_slides", F.round("analytical_pct", 6).alias("analytical_pct")))
 
 
 # ---- integrity ----------------------------------------------------------------------
@@ -278,8 +278,8 @@ SELECT doc_id, reason = '' AS is_valid, reason AS rejection_reason, CASE WHEN re
   reason NOT LIKE 'Below%' AS size_ok, NOT (reason LIKE 'HTML%' OR reason LIKE 'No slide%') AS format_ok FROM valid""")
 def integrity_chain(spark, d):
     v = validated(files(spark, d))
-    return v.select("doc_id", *[F.col(f"validation.{c}").alias(c) for c in (
-        "is_valid", "rejection_reason", "file_hash", "slide_count", "size_ok", "format_ok")])
+    return longs(v.select("doc_id", *[F.col(f"validation.{c}").alias(c) for c in (
+        "is_valid", "rejection_reason", "file_hash", "slide_count", "size_ok", "format_ok")]))
 
 
 @CATALOG.add("byte_signatures", """
@@ -297,7 +297,7 @@ def byte_signatures(spark, d):
 
 @CATALOG.add("content_digests", """
 SELECT doc_id, substr(sha1(CAST(doc_id AS VARCHAR) || '.pptx'), 1, 10) AS name_tag, substr(sha1(text), 1, 12) AS content_tag,
-       md5(text) AS md5, sha256(text) AS sha256, NULL AS short_tag, substr(sha1(text), 1, 10) AS long_tag FROM documents""")
+       md5(text) AS md5, sha256(text) AS sha256, CAST(NULL AS VARCHAR) AS short_tag, substr(sha1(text), 1, 10) AS long_tag FROM documents""")
 def content_digests(spark, d):
     body = F.encode("text", "UTF-8")
     name = F.concat(F.col("doc_id").cast("string"), F.lit(".pptx"))
@@ -416,7 +416,7 @@ def audit_rows(spark, d):
 o AS (SELECT source, CASE decision WHEN 'DELIVER' THEN 'delivered' WHEN 'REVIEW' THEN 'review' ELSE 'rejected' END AS outcome,
              CASE WHEN valid AND hard IS NULL THEN tier ELSE '' END AS tier FROM verdicts)
 SELECT coalesce(source, 'TOTAL') AS source, count(*) AS downloaded, count(CASE WHEN outcome = 'delivered' THEN 1 END) AS delivered, count(CASE WHEN outcome = 'review' THEN 1 END) AS review,
-  count(CASE WHEN outcome = 'rejected' THEN 1 END) AS rejected, 0 AS skipped, 0 AS failed, count(CASE WHEN tier = 'HIGH' THEN 1 END) AS high_count, count(CASE WHEN tier = 'MEDIUM' THEN 1 END) AS medium_count,
+  count(CASE WHEN outcome = 'rejected' THEN 1 END) AS rejected, CAST(0 AS BIGINT) AS skipped, CAST(0 AS BIGINT) AS failed, count(CASE WHEN tier = 'HIGH' THEN 1 END) AS high_count, count(CASE WHEN tier = 'MEDIUM' THEN 1 END) AS medium_count,
   count(CASE WHEN tier = 'LOW' THEN 1 END) AS low_count FROM o GROUP BY ROLLUP (source)""")
 def stats_by_source(spark, d):
     from deckmill.operators import stats

@@ -408,6 +408,21 @@ def query_frontier(spark, d):
     return frontier.build_frontier(domains, _TOPICS, broad, ["lecture"], seed=7)
 
 
+@CATALOG.add("query_frontier_from_seed", f"""WITH {_DOMAINS},
+t AS (SELECT DISTINCT CASE WHEN lang = 'en' THEN 'com' WHEN lang = 'de' THEN 'net' ELSE 'org' END AS country, source AS topic FROM documents
+      UNION ALL SELECT DISTINCT country, unnest(['law', 'history']) FROM domains)
+SELECT country, 1 AS priority, '"' || topic || '" filetype:pptx ' || domain AS query FROM domains JOIN t USING (country)
+UNION ALL SELECT country, 0, unnest(['filetype:pptx', 'filetype:ppt']) || ' site:' || country FROM (SELECT DISTINCT country FROM domains) x""")
+def query_frontier_from_seed(spark, d):
+    domains = seed_domains(spark, d).select("country", F.lit("domain").alias("kind"), F.col("domain").alias("value"))
+    broad = domains.select("country", F.lit("broad").alias("kind"), F.concat(F.lit("site:"), "country").alias("value")).distinct()
+    lang = F.col("lang")
+    topics = table(spark, d, "documents").select(F.when(lang == "en", "com").when(lang == "de", "net").otherwise("org").alias("country"),
+                                                 F.lit("topic").alias("kind"), F.col("source").alias("value")).distinct()
+    seed = domains.unionByName(broad).unionByName(topics)
+    return frontier.frontier_from_seed(seed, ["law", "history"], ppt_percent=0).drop("shuffle_rank")
+
+
 @CATALOG.add("query_frontier_per_country", f"""WITH {_DOMAINS},
 m AS (SELECT country, domain, unnest(CASE country WHEN 'com' THEN ['law', 'optics'] WHEN 'org' THEN ['algebra'] END) AS topic FROM domains)
 SELECT country, 1 AS priority, '"' || topic || '" filetype:' || kind || ' ' || domain AS query

@@ -45,6 +45,12 @@ def build_frontier(domains: DataFrame, topics: Sequence[str] | Mapping[str, Sequ
         expanded = domains.withColumn("topic", F.explode(F.try_element_at(lists, F.col("country"))))
     else:
         expanded = _explode_literals(domains, topics, "topic")
+    return _matrix(expanded, broad, broad_phrases, ppt_percent=ppt_percent, seed=seed, shuffle=shuffle)
+
+
+def _matrix(expanded: DataFrame, broad: DataFrame | None, broad_phrases: Sequence[str], *, ppt_percent: int, seed: int,
+            shuffle: bool) -> DataFrame:
+    """Queries of ``(country, domain, topic)`` rows, broad ones in front."""
     quoted = F.concat(F.lit('"'), F.col("topic"), F.lit('"'))
     key = F.concat_ws("|", "country", "topic", "domain")
     both = expanded.withColumn("kind", F.explode(F.when(
@@ -61,6 +67,35 @@ def build_frontier(domains: DataFrame, topics: Sequence[str] | Mapping[str, Sequ
         "shuffle_rank", F.when(F.col("priority") == 0, F.lit(None).cast("string")).otherwise(rank))
 
 
+def frontier_from_seed(seed: DataFrame, extra_topics: Sequence[str] = (), broad_phrases: Sequence[str] = (), *,
+                       ppt_percent: int = 20, shuffle_seed: int = 0) -> DataFrame:
+    """Frontier of all countries of a ``(country, kind, value)`` seed table.
+
+    ``kind`` is topic, domain or broad; every country also gets ``extra_topics``.
+    Repeated topics give repeated queries. Topic lists checked to be small are
+    written into the query; longer ones are joined by country.
+    """
+    def of(kind: str, name: str) -> DataFrame:
+        return seed.where(F.col("kind") == kind).select("country", F.col("value").alias(name))
+    domains, broad = of("domain", "domain"), of("broad", "domain")
+    rows = scale.small_table(of("topic", "topic"))
+    countries = scale.small_table(domains.select("country").distinct()) if extra_topics else []
+    options = dict(broad=broad, broad_phrases=broad_phrases, ppt_percent=ppt_percent, seed=shuffle_seed)
+    if rows is None or countries is None:
+        topics = of("topic", "topic")
+        if extra_topics:
+            topics = topics.unionByName(_explode_literals(domains.select("country").distinct(), extra_topics, "topic"))
+        return _matrix(domains.join(topics, "country"), **options, shuffle=True)
+    lists: dict[str, list[str]] = {}
+    for row in rows:
+        lists.setdefault(row.country, []).append(row.topic)
+    if extra_topics:
+        for row in countries:
+            lists.setdefault(row.country, [])
+        lists = {c: [*ts, *extra_topics] for c, ts in lists.items()}
+    return build_frontier(domains, lists, **options)
+
+
 def fixed_and_sampled(domains: DataFrame, topics: Sequence[str], main_domain: str,
                       main_topics_percent: int = 20, few_topics: Sequence[str] = ("lecture slides", "presentation", "course notes"),
                       seed: int = 0) -> DataFrame:

@@ -237,3 +237,26 @@ def test_path_parameters_are_no_name(spark):
 
     assert column(spark, raw, urls.path_name) == [PurePosixPath(urlparse(u).path).name for u in raw]
     assert column(spark, raw, lambda u: integrity.is_deck_resource(u, F.lit(""))) == [True, True, False]
+
+
+@pytest.mark.parametrize("limit", [20_000, 1])
+def test_frontier_from_seed(spark, monkeypatch, limit):
+    from deckmill.operators import frontier, scale
+
+    small = scale.small_table
+    monkeypatch.setattr(frontier.scale, "small_table", lambda df, n=0: small(df, limit))
+    rows = [("th", "topic", "ฟิสิกส์"), ("th", "topic", "law"), ("th", "topic", "law"), ("th", "domain", "site:a.th"), ("ir", "domain", "site:b.ir"), ("th", "broad", "site:th")]
+    seed = spark.createDataFrame(rows, "country string, kind string, value string")
+    got = frontier.frontier_from_seed(seed, ["seminar"], ["lecture"], ppt_percent=0).collect()
+    assert sorted(r.query for r in got) == sorted([
+        "filetype:pptx site:th", "filetype:ppt site:th", "lecture filetype:pptx site:th", '"ฟิสิกส์" filetype:pptx site:a.th',
+        '"law" filetype:pptx site:a.th', '"law" filetype:pptx site:a.th', '"seminar" filetype:pptx site:a.th', '"seminar" filetype:pptx site:b.ir'])
+    assert all((r.priority == 0) == (r.shuffle_rank is None) for r in got)
+
+
+def test_frontier_draw_is_repeatable(spark):
+    from deckmill.operators import frontier
+
+    df = spark.range(2000).select(F.lit("c").alias("country"), F.concat(F.lit("site:"), F.col("id").cast("string")).alias("domain"))
+    first, again = [frontier.build_frontier(df, ["x"], seed=4).where("query like '%filetype:ppt %'").count() for _ in range(2)]
+    assert first == again and 300 < first < 500
