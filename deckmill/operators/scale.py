@@ -128,7 +128,7 @@ def first_rows(df: DataFrame, order: Sequence[Column | str], limit: int) -> Data
 def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows over all cores when the scan gave fewer partitions than there are cores.
 
-    One small file is one task, however costly its rows are. A large scan has
+    For plain scans. One small file is one task, however costly its rows are. A large scan has
     partitions enough and is left as it is, so no shuffle is added there.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -248,3 +248,33 @@ def test_workers_need_no_package(tmp_path):
             f"f, zipped, ole = cloudpickle.loads(open({str(blob)!r}, 'rb').read())\n"
             "assert 'deckmill' not in sys.modules and f(zipped)['slide_members'] == 1 and f(ole)['slide_members'] == 1")
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=60)
+
+
+def test_manifest_and_duplicate_log_sinks(spark, tmp_path):
+    from deckmill.operators import batches
+
+    rows = [("BATCH-1", i, f"f{i}", "HIGH" if i < 3 else "MEDIUM") for i in range(1, 5)]
+    named = spark.createDataFrame(rows, "batch_id string, seq int, name string, quality_classification string")
+    sinks.write_manifests(batches.manifests(named, F.lit("now"), ["name"]), str(tmp_path / "manifests"))
+    got = spark.read.json(str(tmp_path / "manifests")).first()
+    assert (got.batch_id, got.total_files, got.composition.high_pct) == ("BATCH-1", 4, 50.0)
+    assert [f.name for f in got.files] == ["f1", "f2", "f3", "f4"]
+    files = spark.createDataFrame([("h", 1, "b/x"), ("h", 0, "a/x"), ("g", 0, "a/y")], "md5 string, folder_rank int, path string")
+    sinks.append_duplicate_log(dedup.duplicate_log(files), str(tmp_path / "dups"))
+    assert [(r.original_kept, r.moved_from) for r in spark.read.json(str(tmp_path / "dups")).collect()] == [("a/x", "b/x")]
+
+
+def test_dedup_micro_batch_can_be_repeated(spark, tmp_path):
+    run = watch.dedup_batch(str(tmp_path), ["k"], ["n"], "k string")
+    first = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, n int")
+    second = spark.createDataFrame([("b", 4), ("c", 5)], "k string, n int")
+    for rows, epoch in ((first, 0), (first, 0), (second, 1), (second, 1)):
+        run(rows, epoch)
+    got = sorted((r.k, r.n) for r in spark.read.parquet(str(tmp_path / "accepted")).collect())
+    assert got == [("a", 1), ("b", 3), ("c", 5)]
+    assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "ledger")).collect()) == ["a", "b", "c"]
+
+
+def test_quarantine_dry_run_writes_nothing(spark, tmp_path):
+    df = spark.createDataFrame([("a", "Duplicate of b"), ("c", None)], "name string, reason string")
+    assert sinks.quarantine(df, str(tmp_path / "q")).count() == 1 and not (tmp_path / "q").exists()
