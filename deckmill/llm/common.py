@@ -44,16 +44,16 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
-def text_chunks(ids: list, texts: list, most: int = 2_000_000) -> Iterator[tuple[list, list]]:
+def text_chunks(texts: list[bytes], most: int = 2_000_000) -> Iterator[slice]:
     """Slices of a batch of about ``most`` bytes of text each, so that work space does not follow the batch size."""
     start, size = 0, 0
     for i, text in enumerate(texts):
         size += len(text)
         if size >= most:
-            yield ids[start:i + 1], texts[start:i + 1]
+            yield slice(start, i + 1)
             start, size = i + 1, 0
     if start < len(texts):
-        yield ids[start:], texts[start:]
+        yield slice(start, len(texts))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -72,9 +72,9 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1, width: str | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordIds(tokenizer, width)
         for batch in batches:
-            out = []
-            for _, texts in text_chunks(texts := as_bytes(batch.column(1)), texts):
-                split = [t.split() for t in texts]
+            texts, out = as_bytes(batch.column(1)), []
+            for some in text_chunks(texts):
+                split = [t.split() for t in texts[some]]
                 new = set().union(*split).difference(cache)
                 cache.learn([w for w in new if len(w) <= LONGEST_CACHED])
                 out += [cache.text(words, end) for words in split]

@@ -3,16 +3,80 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from deckmill.catalog.common import Catalog
-from deckmill.llm import huffman
+from deckmill.llm import hamming, huffman, mixing, pairwise
 from deckmill.llm.common import table
 
 CATALOG = Catalog()
 WORD_TOKENIZER = "word_bpe_49k.json"
 
 
+MIX_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS hash
+  FROM documents),
+sources AS (
+  SELECT source, sum(size) AS source_size, 3.0 * sum(size) AS c,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END AS w
+  FROM sized GROUP BY source),
+levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(c) OVER (ORDER BY c / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(w) OVER (ORDER BY c / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources),
+targets AS (
+  SELECT source, CAST(source_size AS BIGINT) AS source_size,
+         coalesce(least(c, w * (SELECT arg_min(level, c / w) FROM levels WHERE level * w <= c)), 0) AS target
+  FROM levels),
+rests AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets),
+groups AS (
+  SELECT s.source, s.hash, sum(s.size) AS words FROM sized s GROUP BY s.source, s.hash),
+running AS (
+  SELECT g.*, sum(words) OVER (PARTITION BY source ORDER BY hash) AS upto FROM groups g),
+extra AS (
+  SELECT r.source, r.hash, CASE
+           WHEN upto <= target - whole * source_size THEN 1
+           WHEN upto - words > target - whole * source_size THEN 0
+           WHEN words = 0 THEN 0
+           WHEN upto - (target - whole * source_size) < (target - whole * source_size) - (upto - words) THEN 1 ELSE 0 END AS more
+  FROM running r JOIN rests t ON r.source IS NOT DISTINCT FROM t.source)
+SELECT s.doc_id, s.size, t.source_size, CAST(t.target AS DOUBLE) AS target,
+       CAST((t.whole + e.more) * s.size AS BIGINT) AS taken, CAST(t.whole + e.more AS BIGINT) AS copies
+FROM sized s JOIN rests t ON s.source IS NOT DISTINCT FROM t.source
+JOIN extra e ON s.source IS NOT DISTINCT FROM e.source AND s.hash = e.hash
+"""
+
+
+def crc_of_id(column: str = "doc_id") -> Column:
+    return F.crc32(F.col(column).cast("string"))
+
+
+@CATALOG.add("op2_mix_sources", MIX_SQL)
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources mixed by weights 5, 2, 1 in turn, none above three times its size."""
+    return mixing.mix(table(spark, sf_dir, "documents"), (5, 2, 1), 3.0)
+
+
+@CATALOG.add("op6_hamming_near_duplicates")
+def op6_hamming_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked at a five-word shingle similarity of 0.75, with the least id of each group kept."""
+    return hamming.near_duplicates(table(spark, sf_dir, "documents"), percent=75)
+
+
+@CATALOG.add("op9_pairwise_quality")
+def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text, ranked by preference pairs of labels of four fifths of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(crc_of_id() % 5 != 0)
+    ranking = pairwise.train(docs, labels, most_labelled=20_000, threshold=0.3)
+    scored = docs.select("doc_id", (crc_of_id() % 5 == 0).alias("held_out"), pairwise.score(F.col("text"), ranking).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @CATALOG.add("op10_huffman_ids")
 def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as ids in an id file, read back: doc_id, start, n_tokens, ids_crc32."""
