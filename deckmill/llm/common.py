@@ -35,6 +35,14 @@ def by_value(function: Callable) -> Callable:
     return function
 
 
+def kept(key: tuple, make: Callable):
+    """A value that a Python worker makes once and keeps for its later tasks, such as a cache."""
+    store = sys.__dict__.setdefault("_deckmill_kept", {})
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     return df.mapInArrow(by_value(function), schema)
 

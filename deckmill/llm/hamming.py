@@ -212,3 +212,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_column: str = "doc_id
     placed_docs = scale.attach(signed.select("doc_id", *keys), named, keys, "rows", ["doc_id"])
     out = placed_docs.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = 75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stand for their group: those of its least id, and once where rows repeat id and text.
+    Rows without an id stay."""
+    found = near_duplicates(docs, percent, id_column, text_column)
+    gone = stored(found.where("NOT kept").select("doc_id").distinct(), "duplicates")
+    left = docs.join(small_or_shuffled(gone), docs[id_column].cast("long") == gone["doc_id"], "left_anti")
+    repeated = stored(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if not repeated.take(1):
+        return left
+    # only rows whose id repeats go through a shuffle
+    again = left.join(small_or_shuffled(repeated), left[id_column].cast("long") == repeated["doc_id"], "left_semi")
+    once = left.join(small_or_shuffled(repeated), left[id_column].cast("long") == repeated["doc_id"], "left_anti")
+    return once.unionAll(again.dropDuplicates([id_column, text_column]))

@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from deckmill.llm.common import as_bytes, id_text, map_arrow, stored, text_chunks
+from deckmill.llm.common import as_bytes, id_text, kept, map_arrow, stored, text_chunks
 from deckmill.session import scratch_path
 
 SEGMENT = 256
 BLOCK_IDS = 1 << 15
 MAX_BITS = 18
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_000_000
 LONGEST_CACHED = 64
 
 
@@ -41,19 +41,35 @@ class WordIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.width = Tokenizer.from_file(path), width
-
-    def learn(self, words: list[bytes]) -> None:
-        if len(self) + len(words) > CACHED_WORDS:
+        special = [(i, t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
+        self.mark_id, self.mark = special[-1] if special else (None, b"")
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Many words in one text, with a special token between them, by whose id the ids are cut."""
+        plain = [w for w in words if self.mark and self.mark[:1] not in w]
+        found = {w: np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, self.width).tobytes()
+                 for w in set(words).difference(plain)}
+        groups = [plain[i:i + 64] for i in range(0, len(plain), 64)]
+        for group, coded in zip(groups, self.tokenizer.encode_batch_fast([self.mark.join(g).decode() for g in groups], add_special_tokens=False)):
+            ids = np.array(coded.ids, self.width)
+            ends = (np.flatnonzero(ids == self.mark_id) * ids.itemsize).tolist()
+            raw, starts = ids.tobytes(), [0, *[e + ids.itemsize for e in ends]]
+            found.update(zip(group, [raw[s:e] for s, e in zip(starts, [*ends, len(raw)])]))
+        return [found[w] for w in words]
+
+    def texts(self, texts: list[bytes], end: bytes) -> list[bytes]:
+        """The ids of texts. New words of all of them are encoded together."""
+        split = [t.split() for t in texts]
+        coded = [list(map(self.get, words)) for words in split]
+        open_texts = [i for i, ids in enumerate(coded) if None in ids]
+        new = list({w for i in open_texts for w, ids in zip(split[i], coded[i]) if ids is None})
+        ids_of = dict(zip(new, self.encode(new)))
+        for i in open_texts:
+            coded[i] = [ids_of[w] if ids is None else ids for w, ids in zip(split[i], coded[i])]
+        if len(self) + len(new) > CACHED_WORDS:
             self.clear()
-        new = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        self.update(zip(words, [np.array(e.ids, self.width).tobytes() for e in new]))
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        return np.array(ids, self.width).tobytes()
-
-    def text(self, words: list[bytes], end: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, words)) + end
+        self.update((w, ids) for w, ids in ids_of.items() if len(w) <= LONGEST_CACHED)
+        return [b"".join(ids) + end for ids in coded]
 
 
 def id_width(path: str) -> str:
@@ -70,14 +86,11 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1, width: str | None
     end = np.array([end_id], width).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordIds(tokenizer, width)
+        cache = kept(("word ids", tokenizer, width), lambda: WordIds(tokenizer, width))
         for batch in batches:
             texts, out = as_bytes(batch.column(1)), []
             for some in text_chunks(texts):
-                split = [t.split() for t in texts[some]]
-                new = set().union(*split).difference(cache)
-                cache.learn([w for w in new if len(w) <= LONGEST_CACHED])
-                out += [cache.text(words, end) for words in split]
+                out += cache.texts(texts[some], end)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "ids"])
 
     return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, ids binary")
@@ -88,11 +101,10 @@ def count_ids(rows: DataFrame, width: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                found = np.bincount(np.frombuffer(ids, width))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-                total[:len(found)] += found
+            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), width))
+            if len(found) > len(total):
+                total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
+            total[:len(found)] += found
         symbols = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(symbols, pa.int64()), pa.array(total[symbols], pa.int64())], ["symbol", "n"])
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deckmill.catalog.common import Catalog
-from deckmill.llm import hamming, huffman, mixing, pairwise
+from deckmill.llm import hamming, huffman, latent, mixing, pairwise
 from deckmill.llm.common import table
 
 CATALOG = Catalog()
@@ -61,6 +61,17 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), (5, 2, 1), 3.0)
 
 
+@CATALOG.add("op4_latent_decontamination")
+def op4_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, copied or reworded, with the closest item and how close it is."""
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", latent.leaks(docs, table(spark, sf_dir, "benchmark")).alias("found")).where(F.size("found") > 0)
+    best = F.element_at("found", 1)
+    return found.select("doc_id", best["item_id"].alias("item_id"), best["cosine"].alias("cosine"), best["lcs"].alias("lcs"),
+                        best["lcs_share"].alias("lcs_share"), best["answer_share"].alias("answer_share"),
+                        F.transform("found", lambda m: m["item_id"]).alias("item_ids"), F.lit(True).alias("contaminated"))
+
+
 @CATALOG.add("op6_hamming_near_duplicates")
 def op6_hamming_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked at a five-word shingle similarity of 0.75, with the least id of each group kept."""
