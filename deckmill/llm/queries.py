@@ -7,13 +7,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deckmill.catalog.common import Catalog
-from deckmill.llm import hamming, huffman, latent, mixing, pairwise
+from deckmill.llm import hamming, huffman, latent, mixing, pairwise, pii
 from deckmill.llm.common import table
 
 CATALOG = Catalog()
 WORD_TOKENIZER = "word_bpe_49k.json"
 
 
+@CATALOG.add("op1_crf_personal_data")
+def op1_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every whole text: base patterns, and what a field over word shapes adds."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
 MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
