@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deckmill.catalog.common import Catalog
-from deckmill.llm import hamming, huffman, latent, mixing, pairwise, pii
+from deckmill.llm import hamming, huffman, latent, mixing, pairwise, pii, revisits, url_words
 from deckmill.llm.common import table
 
 CATALOG = Catalog()
@@ -68,6 +68,70 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), (5, 2, 1), 3.0)
 
 
+def fetch_records(pages: DataFrame) -> DataFrame:
+    """Crawl records of the pages: a full response at the time of the page's number, except for every thirteenth page, and
+    up to a thousand ticks later a not-modified revisit of the same URL, some with another tag or none."""
+    n, tag = F.col("page_id"), F.concat(F.lit('"'), F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 16), F.lit('"'))
+    modified = F.concat(F.lit("t"), (n % 97).cast("string"))
+    later = n + n % 1000 + 1
+    response = pages.where(n % 13 != 0).select(
+        (2 * n).alias("record_id"), "url", n.alias("fetched_at"), F.lit("response").alias("kind"), tag.alias("etag"), modified.alias("last_modified"),
+        F.create_map(F.lit("content-type"), F.lit("text/html"), F.lit("content-length"), F.coalesce(F.length("html"), F.lit(0)).cast("string"),
+                     F.lit("etag"), tag, F.lit("cache-control"), F.lit("max-age=60")).alias("headers"))
+    own = F.when(n % 11 == 0, F.lit('"other"')).when(n % 7 == 0, F.lit(None)).when(n % 5 == 0, F.concat(F.lit("W/"), tag)).otherwise(tag)
+    revisit = pages.select(
+        (2 * n + 1).alias("record_id"), "url", later.alias("fetched_at"), F.lit("revisit").alias("kind"), own.alias("etag"),
+        F.when(n % 17 == 0, F.lit("other")).when(n % 3 == 0, F.lit(None)).otherwise(modified).alias("last_modified"),
+        F.create_map(F.lit("content-length"), F.lit("0"), F.lit("date"), later.cast("string"),
+                     F.lit("cache-control"), F.concat(F.lit("max-age="), (n % 600).cast("string"))).alias("headers"))
+    return response.unionAll(revisit)
+
+
+REVISIT_SQL = r"""
+WITH base AS (
+  SELECT page_id AS n, url, html, '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag, 't' || CAST(page_id % 97 AS VARCHAR) AS modified,
+         regexp_replace(regexp_replace(url, '#.*', '', 's'), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest
+  FROM pages),
+keyed AS (
+  SELECT *, regexp_replace(lower(regexp_extract(rest, '^[^/?]*', 0)), ':(80|443)$', '') AS host,
+         regexp_replace(regexp_replace(regexp_extract(rest, '^[^/?]*(.*)$', 1, 's'), '([?&])utm_[^&]*(&|$)', '\1', 'g'), '[?&]+$', '') AS tail
+  FROM base),
+urls AS (SELECT *, host || CASE WHEN tail = '' THEN '/' ELSE tail END AS url_key FROM keyed),
+records AS (
+  SELECT 2 * n AS record_id, url_key, n AS fetched_at, tag AS etag, modified AS last_modified, n AS response_page,
+         coalesce(length(html), 0) AS size, n FROM urls WHERE n % 13 <> 0
+  UNION ALL
+  SELECT 2 * n + 1, url_key, n + n % 1000 + 1,
+         CASE WHEN n % 11 = 0 THEN '"other"' WHEN n % 7 = 0 THEN NULL WHEN n % 5 = 0 THEN 'W/' || tag ELSE tag END,
+         CASE WHEN n % 17 = 0 THEN 'other' WHEN n % 3 = 0 THEN NULL ELSE modified END, NULL, NULL, n FROM urls),
+found AS (
+  SELECT *, last_value(CASE WHEN response_page IS NOT NULL THEN record_id END IGNORE NULLS) OVER (
+    PARTITION BY url_key ORDER BY fetched_at, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM records),
+checked AS (
+  SELECT r.n, r.url_key, r.fetched_at, r.etag, o.response_page, o.etag AS old_tag, o.size,
+         CASE WHEN r.etag IS NOT NULL THEN regexp_replace(r.etag, '^W/', '') = o.etag
+              WHEN r.last_modified IS NOT NULL THEN r.last_modified = o.last_modified END AS agrees
+  FROM found r LEFT JOIN records o ON o.record_id = r.before AND r.url_key IS NOT NULL
+  WHERE r.response_page IS NULL)
+SELECT n AS page_id, url_key, coalesce(response_page, -1) AS response_page,
+       CASE WHEN response_page IS NULL THEN 'no_response' WHEN agrees IS NULL THEN 'unverified' WHEN agrees THEN 'resolved' ELSE 'mismatch' END AS status,
+       CASE WHEN response_page IS NOT NULL AND agrees THEN
+         'cache-control=max-age=' || CAST(n % 600 AS VARCHAR) || ';content-length=' || CAST(size AS VARCHAR) || ';content-type=text/html;date='
+         || CAST(fetched_at AS VARCHAR) || ';etag=' || old_tag END AS headers
+FROM checked
+"""
+
+
+@CATALOG.add("op3_revisit_resolution", REVISIT_SQL)
+def op3_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revisit of every page with the page whose response it stands for (-1: none), its status and the merged headers."""
+    found = revisits.resolve(fetch_records(table(spark, sf_dir, "pages")))
+    pair = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.select(((F.col("record_id") - 1) / 2).cast("long").alias("page_id"), "url_key", F.coalesce((F.col("response_id") / 2).cast("long"), F.lit(-1)).alias("response_page"),
+                        "status", F.when(F.col("headers").isNotNull(), F.array_join(pair, ";")).alias("headers"))
+
+
 @CATALOG.add("op4_latent_decontamination")
 def op4_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold a benchmark item, copied or reworded, with the closest item and how close it is."""
@@ -85,6 +149,14 @@ def op6_hamming_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.near_duplicates(table(spark, sf_dir, "documents"), percent=75)
 
 
+@CATALOG.add("op8_host_words")
+def op8_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by the rules, or else by naive Bayes over the words of host and path."""
+    pages = table(spark, sf_dir, "pages")
+    words = url_words.word_model(url_words.word_frequencies(pages), url_words.LABELLED)
+    return url_words.judge(pages, url_words.train(words, url_words.LABELLED), url_words.RULES)
+
+
 @CATALOG.add("op9_pairwise_quality")
 def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole text, ranked by preference pairs of labels of four fifths of the ids."""
