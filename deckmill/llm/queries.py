@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deckmill.catalog.common import Catalog
-from deckmill.llm import hamming, huffman, latent, mixing, pairwise, pii, revisits, url_words
+from deckmill.llm import bloom_lookup, hamming, huffman, latent, mixing, pairwise, pii, revisits, url_words
 from deckmill.llm.common import table
 
 CATALOG = Catalog()
@@ -143,6 +143,12 @@ def op4_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.transform("found", lambda m: m["item_id"]).alias("item_ids"), F.lit(True).alias("contaminated"))
 
 
+@CATALOG.add("op5_bloom_lookup_fingerprints")
+def op5_bloom_lookup_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text and its edited form as subtractable sketches, and how much they share."""
+    return bloom_lookup.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @CATALOG.add("op6_hamming_near_duplicates")
 def op6_hamming_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked at a five-word shingle similarity of 0.75, with the least id of each group kept."""
