@@ -8,13 +8,17 @@ differences. Candidates are compared on their whole sets.
 
 With 72 symbols of 8 bits in 12 chunks and one error the guarantee holds up to 23 differences. A pair at similarity 0.75
 differs in 18 symbols on average and shares no key with probability 0.0001; it differs in more than 40 with
-probability below 1e-8.
+probability below 1e-7.
 
 No group becomes all its pairs:
 
 1. Documents of one shingle set are one node.
-2. Members of a key are tied to its least node only; links so confirmed form components.
-3. Only keys whose members lie in several components are joined again, across components.
+2. Members of a key are tied to its least node where their signatures are near; the components are families. The hub of
+   a family is the member nearest to its most frequent chunk values, which is the original of many copies. Every member is
+   compared with the hub on full sets, and linked to it or left over.
+3. A left-over member u can be linked with another one v of the family only if they share a shingle that the hub lacks,
+   or if the part of the hub that both could share, min(|u & hub|, |v & hub|), reaches the overlap that the similarity
+   asks for. Only such pairs are compared, and those that share a key across families.
 
 Edge cases: null or blank texts have no shingle, link with nothing and are kept; a text of fewer than five words is one
 shingle, its whole sequence; rows that repeat an id are linked with whatever any text of the id is linked with; rows
@@ -172,6 +176,40 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
 
 
+def _hubs(placed: DataFrame) -> DataFrame:
+    """(family, hub) of (node, family, chunks): the member nearest to the most frequent value of each chunk."""
+    values = placed.select("family", F.posexplode("chunks").alias("at", "value")).groupBy("family", "at", "value").agg(F.count("*").alias("n"))
+    usual = values.groupBy("family", "at").agg(F.max(F.struct("n", "value"))["value"].alias("value")) \
+        .groupBy("family").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda c: c["value"]).alias("usual"))
+    return placed.join(usual, "family").groupBy("family").agg(F.min(F.struct(_differences(F.col("chunks"), F.col("usual")).alias("d"), "node"))["node"].alias("hub"))
+
+
+def _possible(members: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different parts that may be linked: members are (node, family, part, hub, n, inside, own, chunks),
+    keys (key, node, family)."""
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"{c}_{name}") for c in df.columns])
+
+    near = _differences(F.col("chunks_u"), F.col("chunks_v")) <= VERIFY_SYMBOLS
+    apart = (F.col("part_u") != F.col("part_v")) & near
+    facts = members.select("node", "family", "part", "n", "inside", "chunks")
+    loose = members.where("part <> hub")
+    left = side(loose.select(facts.columns), "u")
+    # what they share of the hub may do
+    enough = (100 + percent) * F.least("inside_u", "inside_v") >= percent * (F.col("n_u") + F.col("n_v"))
+    of_hub = left.join(side(facts, "v"), (F.col("family_u") == F.col("family_v")) & enough & apart)
+    # or they share something else
+    others = side(loose.select(*facts.columns, F.explode("own").alias("shingle")), "u")
+    own = side(members.select(*facts.columns, F.explode("own").alias("shingle")), "v")
+    of_own = others.join(own, (F.col("family_u") == F.col("family_v")) & (F.col("shingle_u") == F.col("shingle_v")) & apart)
+    # or only a key
+    split = keys.groupBy("key").agg(F.min("family").alias("p"), F.max("family").alias("q")).where("p <> q").select("key")
+    across = keys.join(split, "key").join(members.select("node", "chunks"), "node")
+    of_key = side(across, "u").join(side(across, "v"), (F.col("key_u") == F.col("key_v")) & (F.col("family_u") < F.col("family_v")) & near)
+    return scale.union_all([p.select(F.least("node_u", "node_v").alias("a"), F.greatest("node_u", "node_v").alias("b")) for p in (of_hub, of_own, of_key)]) \
+        .where("a <> b").distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document."""
     texts = id_text(docs, id_column, text_column)
@@ -180,37 +218,32 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_column: str = "doc_id
     classes = signed.where("n_shingles > 0").groupBy("n_shingles", "set_a", "set_b").agg(
         F.min("doc_id").alias("node"), F.count("*").alias("rows"), F.first("chunks").alias("chunks"))
     nodes = stored(classes.where("node IS NOT NULL"), "nodes")
+    marks = nodes.select("node", "chunks")
     keyed = nodes.select("node", F.explode(_keys(F.col("chunks"))).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
-    members = stored(keyed.join(shared, "key").select("key", "node", "least"), "members")
-    marks = nodes.select("node", "chunks")
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        near = pairs.join(marks.select(F.col("node").alias("a"), F.col("chunks").alias("ca")), "a") \
-            .join(marks.select(F.col("node").alias("b"), F.col("chunks").alias("cb")), "b")
-        return near.where(_differences(F.col("ca"), F.col("cb")) <= VERIFY_SYMBOLS).select("a", "b")
-
-    stars = stored(compared(members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()), "pairs")
-    # full sets of all nodes that share a key with another one
-    wanted = small_or_shuffled(stored(members.select("node").distinct(), "wanted"))
-    sets = stored(full_sets(texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi")), "sets")
-    links = stored(_confirmed(stars, sets, percent), "links")
-    parts = stored(components(links), "components")
-    # the pairs that stars leave out: members of a key in different components
-    placed = members.select("key", "node").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    split = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("key")
-    rest = stored(placed.join(split, "key").join(marks, "node").select("key", "node", "part", "chunks"), "rest")
-    left, right = (rest.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "part", "chunks")]) for side in "ab")
-    across = left.join(right, (left["key"] == right["key"]) & (left["node_a"] < right["node_b"]) & (left["part_a"] != right["part_b"])
-                       & (_differences(left["chunks_a"], right["chunks_b"]) <= VERIFY_SYMBOLS))
-    new = across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = stored(_confirmed(new, sets, percent), "links")
-    parts = stored(components(links.unionByName(more)), "components") if more.take(1) else parts
+    keys = stored(keyed.join(shared, "key").select("key", "node", "least"), "keys")
+    stars = keys.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct() \
+        .join(marks.select(F.col("node").alias("a"), F.col("chunks").alias("ca")), "a").join(marks.select(F.col("node").alias("b"), F.col("chunks").alias("cb")), "b") \
+        .where(_differences(F.col("ca"), F.col("cb")) <= VERIFY_SYMBOLS).select("a", "b")
+    families = stored(components(stars), "families")
+    wanted = stored(keys.select("node").distinct(), "wanted")
+    sets = stored(full_sets(texts.join(small_or_shuffled(wanted), texts["doc_id"] == wanted["node"], "left_semi")), "sets")
+    placed = stored(wanted.join(families, "node", "left").join(marks, "node")
+                    .select("node", F.coalesce("component", "node").alias("family"), "chunks"), "placed")
+    hubs = placed.join(_hubs(placed), "family").select("node", "family", "hub", "chunks")
+    joined = hubs.join(sets.select("node", F.col("shingles").alias("sn")), "node").join(sets.select(F.col("node").alias("hub"), F.col("shingles").alias("sh")), "hub")
+    inside = F.size(F.array_intersect("sn", "sh"))
+    linked = 100 * inside >= percent * (F.size("sn") + F.size("sh") - inside)
+    members = stored(joined.select("node", "family", "hub", "chunks", F.size("sn").alias("n"), inside.alias("inside"),
+                                   F.when(linked, F.col("hub")).otherwise(F.col("node")).alias("part"), F.array_except("sn", "sh").alias("own")), "family-members")
+    pairs = stored(_possible(members, keys.join(placed.select("node", "family"), "node"), percent), "pairs")
+    links = members.where("part <> node").select(F.col("part").alias("a"), F.col("node").alias("b")).unionByName(_confirmed(pairs, sets, percent))
+    parts = components(links)
     named = nodes.join(parts, "node", "left").select(
         "n_shingles", "set_a", "set_b", "rows", F.coalesce("component", "node").alias("component_id"))
-    keys = ["n_shingles", "set_a", "set_b"]
-    placed_docs = scale.attach(signed.select("doc_id", *keys), named, keys, "rows", ["doc_id"])
-    out = placed_docs.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    class_of = ["n_shingles", "set_a", "set_b"]
+    out = scale.attach(signed.select("doc_id", *class_of), named, class_of, "rows", ["doc_id"]) \
+        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
