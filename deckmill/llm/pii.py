@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deckmill.llm.common import id_text, map_arrow
+from deckmill.llm.common import id_text, map_arrow, sampled
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = ("O", *(f"{place}-{kind}" for kind in KINDS for place in "BI"))
@@ -296,10 +296,9 @@ def examples(text: str) -> list[tuple[list[str], list[int]]]:
 
 
 def train(docs: DataFrame, train_documents: int = 4000, most_windows: int = 2000, id_column: str = "doc_id", text_column: str = "text") -> Field:
-    """Fit on windows of a bounded sample of the documents with a digit or ``@``, those of least hash."""
-    texts = id_text(docs, id_column, text_column)
-    sample = texts.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("doc_id", "text").alias("h")) \
-        .orderBy("h").limit(train_documents).select("text")
+    """Fit on windows of a bounded sample of the documents with a digit or ``@``, drawn by hash."""
+    texts = id_text(docs, id_column, text_column).where(F.col("text").rlike("[0-9@]"))
+    sample = sampled(texts, ["doc_id", "text"], train_documents).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

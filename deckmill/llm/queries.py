@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deckmill.catalog.common import Catalog
-from deckmill.llm import bloom_lookup, hamming, huffman, latent, mixing, pairwise, pii, revisits, url_words
+from deckmill.llm import bloom_lookup, context_mixing, hamming, huffman, latent, mixing, pairwise, pii, revisits, url_words
 from deckmill.llm.common import table
 
 CATALOG = Catalog()
@@ -155,6 +155,12 @@ def op6_hamming_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.near_duplicates(table(spark, sf_dir, "documents"), percent=75)
 
 
+@CATALOG.add("op7_context_mixing_scores")
+def op7_context_mixing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scored by a model of six sevenths of the ids, beside add-one unigrams."""
+    return context_mixing.score(table(spark, sf_dir, "documents"), crc_of_id() % 7 == 2)
+
+
 @CATALOG.add("op8_host_words")
 def op8_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by the rules, or else by naive Bayes over the words of host and path."""
