@@ -1,9 +1,9 @@
 """Document fingerprints that subtract: invertible Bloom lookup sketches of paragraph digests, with DataFrame functions only.
 
 A paragraph is a line, or a run of PIECE characters of a longer line from its start. A sketch holds TABLES tables of
-cells; each distinct paragraph digest goes to one cell of each table, which keeps a count, the exclusive or of the digests
-and that of their check sums. Two sketches of one size subtract cell by cell: what both hold is gone. A cell with a
-count of one in size and a fitting check sum names a digest of one side; taking it out of its other cells frees further
+cells; each distinct paragraph digest goes to one cell of each table, which keeps the sum of count and digests, packed
+into one long (KEY_BITS of the digest with a check sum in them, COUNT_BITS of count). Two sketches of one size subtract
+cell by cell: what both hold is gone. A cell with a count of one in size and a fitting check sum names a digest of one side; taking it out of its other cells frees further
 ones (peeling). If cells are left over, the sketch was too small: it is made again, twice the size and with other hashes.
 
 Long texts are compared in parts by digest (PART and BUCKET digests on average), one sketch each, so that the work
@@ -18,6 +18,8 @@ a null id comes first; a single document is its own next one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +29,11 @@ from deckmill.operators import scale
 PIECE = 200
 TABLES = 3
 CELLS = 8
-PART, BUCKET = 512, 12
-FIRST_CELLS = 8
+PART, BUCKET = 512, 6
+FIRST_CELLS = 5
 ATTEMPTS = 7
-ROUNDS = 24
+ROUNDS = 8
+KEY_BITS, CHECK_BITS, COUNT_BITS = 49, 17, 8
 
 
 def digests(text: Column) -> Column:
@@ -39,17 +42,21 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 
-def _elements(keys: Column, cells: Column, sign: int) -> Column:
-    """Digests with their sign, check sum and one cell in each table."""
-    def place(d: Column) -> Column:
-        h = F.xxhash64(d, cells)
-        return F.struct(d.alias("d"), F.lit(sign).alias("s"), h.alias("h"), *[
-            (F.pmod(F.shiftrightunsigned(h, 21 * t).bitwiseAND(F.lit(0x1FFFFF)), cells) + t * cells).cast("int").alias(f"c{t}") for t in range(TABLES)])
-    return F.transform(keys, place)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
 
+def _key(d: Column) -> Column:
+    """KEY_BITS of a digest, the last CHECK_BITS of them a check sum of the others."""
+    high = F.shiftrightunsigned(d, 64 - KEY_BITS + CHECK_BITS)
+    return F.shiftleft(high, CHECK_BITS) + F.xxhash64(high).bitwiseAND(F.lit((1 << CHECK_BITS) - 1))
 
-def _add(cell: Column, e: Column, sign: Column) -> Column:
-    return F.struct((cell["n"] + sign).alias("n"), cell["d"].bitwiseXOR(e["d"]).alias("d"), cell["h"].bitwiseXOR(e["h"]).alias("h"))
+
+def _place(key: Column, cells: Column) -> list[Column]:
+    """The cell of a key in each table."""
+    h = F.xxhash64(key, cells)
+    return [(F.pmod(F.shiftrightunsigned(h, 21 * t).bitwiseAND(F.lit(0x1FFFFF)), cells) + t * cells).cast("int").alias(f"c{t}") for t in range(TABLES)]
 
 
 def _in_cell(e: Column, at: Column) -> Column:
@@ -59,73 +66,91 @@ def _in_cell(e: Column, at: Column) -> Column:
     return hit
 
 
-def _zero(at: Column | None = None) -> Column:
-    zero = [F.lit(0).alias("n"), F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("h")]
-    return F.struct(*zero)
+def _elements(keys: Column, cells: Column, sign: int) -> Column:
+    """What keys add to their cells: one long of the key above and a count of one below, with their sign."""
+    return F.transform(keys, lambda k: F.struct(((F.shiftleft(k, COUNT_BITS) + 1) * sign).alias("v"), *_place(k, cells)))
 
 
 def _sketch(elements: Column, cells: Column) -> Column:
-    return F.transform(F.sequence(F.lit(0), (TABLES * cells - 1).cast("int")), lambda at: F.aggregate(
-        elements, _zero(), lambda cell, e: F.when(_in_cell(e, at), _add(cell, e, e["s"])).otherwise(cell)))
+    return _let(elements, lambda own: F.transform(F.sequence(F.lit(0), (TABLES * cells - 1).cast("int")), lambda at: F.aggregate(
+        own, F.lit(0).cast("long"), lambda cell, e: F.when(_in_cell(e, at), cell + e["v"]).otherwise(cell))))
 
 
 def _peel(sketch: Column, cells: Column) -> Column:
-    """Struct of the cells left and the number of digests recovered; one round takes out all that can be read at once."""
-    def place(cell: Column) -> Column:
-        return F.struct(cell["d"].alias("d"), F.lit(1).alias("s"), cell["h"].alias("h"), cell["n"].alias("n"), *[
-            (F.pmod(F.shiftrightunsigned(cell["h"], 21 * t).bitwiseAND(F.lit(0x1FFFFF)), cells) + t * cells).cast("int").alias(f"c{t}") for t in range(TABLES)])
+    """Struct of the cells left and the signed keys recovered; one round takes out all that can be read at once."""
+    def pure(cell: Column) -> Column:
+        size = F.abs(cell)
+        key = F.shiftrightunsigned(size, COUNT_BITS)
+        check = F.xxhash64(F.shiftrightunsigned(key, CHECK_BITS)).bitwiseAND(F.lit((1 << CHECK_BITS) - 1))
+        return (size.bitwiseAND(F.lit((1 << COUNT_BITS) - 1)) == 1) & (key.bitwiseAND(F.lit((1 << CHECK_BITS) - 1)) == check)
 
-    def round_(state: Column, _: Column) -> Column:
-        pure = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (F.xxhash64(c["d"], cells) == c["h"]))
-        found = F.array_distinct(F.transform(pure, place))
+    def read(cell: Column) -> Column:
+        return F.struct(cell.alias("v"), *_place(F.shiftrightunsigned(F.abs(cell), COUNT_BITS), cells))
+
+    def taken_out(state: Column, found: Column) -> Column:
         left = F.transform(state["cells"], lambda c, at: F.aggregate(
-            found, c, lambda cell, e: F.when(_in_cell(e, at), _add(cell, e, -e["n"])).otherwise(cell)))
-        after = F.struct(left.alias("cells"), (state["found"] + F.size(found)).alias("found"), (F.size(found) > 0).alias("on"))
-        return F.when(state["on"], after).otherwise(state)
+            found, c, lambda cell, e: F.when(_in_cell(e, at), cell - e["v"]).otherwise(cell)))
+        return F.struct(left.alias("cells"), F.concat(state["found"], F.transform(found, lambda e: e["v"])).alias("found"), F.lit(True).alias("on"))
+
+    def round_(state: Column, _: Column) -> Column:
+        ended = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(False).alias("on"))
+        readable = F.transform(F.array_distinct(F.filter(state["cells"], pure)), read)
+        go_on = _let(readable, lambda found: F.when(F.size(found) > 0, taken_out(state, found)).otherwise(ended))
+        return F.when(state["on"], go_on).otherwise(state)
 
-    start = F.struct(sketch.alias("cells"), F.lit(0).alias("found"), F.lit(True).alias("on"))
+    start = F.struct(sketch.alias("cells"), F.array().cast("array<bigint>").alias("found"), F.lit(True).alias("on"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_)
 
 
 def _recovered(x: Column, y: Column) -> Column:
     """How many digests one of two small sets holds and the other does not, from the difference of their sketches; a
     failed attempt is made again at twice the size. Null where all fail."""
+    def tried(cells: Column) -> Column:
+        def result(left: Column) -> Column:
+            return F.when(~F.exists(left["cells"], lambda c: c != 0),
+                          # a key read in error comes back with the other sign
+                          F.size(F.array_except(left["found"], F.transform(left["found"], lambda v: -v))))
+        return _let(_peel(_sketch(F.concat(_elements(x, cells, 1), _elements(y, cells, -1)), cells), cells), result)
+
     def attempt(state: Column, i: Column) -> Column:
-        cells = F.expr(f"CAST({FIRST_CELLS} AS INT)") * F.pow(F.lit(2), i).cast("int")
-        difference = _sketch(F.concat(_elements(x, cells, 1), _elements(y, cells, -1)), cells)
-        left = _peel(difference, cells)
-        empty = ~F.exists(left["cells"], lambda c: (c["n"] != 0) | (c["d"] != 0))
-        return F.when(state.isNotNull(), state).when(empty, left["found"])
+        return F.when(state.isNotNull(), state).otherwise(_let(F.pow(F.lit(2), i).cast("int") * FIRST_CELLS, tried))
     return F.aggregate(F.sequence(F.lit(0), F.lit(ATTEMPTS - 1)), F.lit(None).cast("int"), attempt)
 
 
-def _split(x: Column, y: Column, parts: Column, of_part) -> Column:
+def _split(x: Column, y: Column, parts: Column, of_part: Callable[[Column, Column], Column]) -> Column:
     """Sum of ``of_part`` over the parts of both sets by digest."""
-    def own(keys: Column, p: Column) -> Column:
-        return F.filter(keys, lambda d: F.pmod(d, parts) == p)
-    whole = of_part(x, y)
-    summed = F.aggregate(F.sequence(F.lit(0), (parts - 1).cast("int")), F.lit(0), lambda total, p: total + of_part(own(x, p), own(y, p)))
-    del whole
-    return summed
+    def own(keys: Column, p: Column, n: Column) -> Column:
+        return F.when(n == 1, keys).otherwise(F.filter(keys, lambda d: F.pmod(d, n) == p))
+
+    def summed(n: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), lambda total, p: total + _let(own(x, p, n), lambda a: _let(own(y, p, n), lambda b: of_part(a, b))))
+    return _let(parts, summed)
 
 
 def likeness(x: Column, y: Column) -> Column:
     """Shared part of the paragraphs of two texts, by their digests: (|x| + |y| - d) / (|x| + |y| + d) for d differing ones."""
     def buckets(a: Column, b: Column) -> Column:
         n = F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / BUCKET)).cast("int")
-        return _split(F.transform(a, lambda d: F.xxhash64(d)), F.transform(b, lambda d: F.xxhash64(d)), n, _recovered)
+        # other digests, as those of one part agree in their remainder
+        again = [F.transform(keys, lambda d: _key(F.xxhash64(d))) for keys in (a, b)]
+        return _let(again[0], lambda p: _let(again[1], lambda q: _split(p, q, n, _recovered)))
 
     both = F.size(x) + F.size(y)
     parts = F.greatest(F.lit(1), F.ceil(both / PART)).cast("int")
     differing = _split(x, y, parts, buckets)
-    return F.when(both == 0, F.lit(1.0)).otherwise((both - differing) / (both + differing)).cast("double")
+    return F.when(both == 0, F.lit(1.0)).otherwise(_let(differing, lambda d: (both - d) / (both + d))).cast("double")
 
 
 def fingerprint(keys: Column) -> Column:
-    """Text form of the sketch of CELLS cells a table: count, digests and check sums of each cell, in hexadecimal."""
+    """Text form of the sketch of CELLS cells a table over all digests: count and exclusive or of each cell, in hexadecimal."""
     cells = F.lit(CELLS)
-    cell = lambda c: F.concat(F.lower(F.lpad(F.hex(c["n"]), 4, "0")), F.lower(F.lpad(F.hex(c["d"]), 16, "0")), F.lower(F.lpad(F.hex(c["h"].bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")))
-    return F.array_join(F.transform(_sketch(_elements(keys, cells, 1), cells), cell), "")
+    elements = F.transform(keys, lambda d: F.struct(d.alias("d"), *_place(d, cells)))
+
+    def cell(own: Column, at: Column) -> Column:
+        return _let(F.filter(own, lambda e: _in_cell(e, at)), lambda inside: F.concat(
+            F.lpad(F.lower(F.hex(F.size(inside))), 4, "0"),
+            F.lpad(F.lower(F.hex(F.aggregate(inside, F.lit(0).cast("long"), lambda total, e: total.bitwiseXOR(e["d"])))), 16, "0")))
+    return F.array_join(_let(elements, lambda own: F.transform(F.sequence(F.lit(0), F.lit(TABLES * CELLS - 1)), lambda at: cell(own, at))), "")
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
