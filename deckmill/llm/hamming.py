@@ -237,9 +237,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_column: str = "doc_id
     members = stored(joined.select("node", "family", "hub", "chunks", F.size("sn").alias("n"), inside.alias("inside"),
                                    F.when(linked, F.col("hub")).otherwise(F.col("node")).alias("part"), F.array_except("sn", "sh").alias("own")), "family-members")
     pairs = stored(_possible(members, keys.join(placed.select("node", "family"), "node"), percent), "pairs")
-    links = members.where("part <> node").select(F.col("part").alias("a"), F.col("node").alias("b")).unionByName(_confirmed(pairs, sets, percent))
-    parts = components(links)
-    named = nodes.join(parts, "node", "left").select(
+    # parts joined by confirmed pairs, named by their least node
+    part_of = members.select("node", "part")
+    links = _confirmed(pairs, sets, percent).join(part_of.select(F.col("node").alias("a"), F.col("part").alias("pa")), "a") \
+        .join(part_of.select(F.col("node").alias("b"), F.col("part").alias("pb")), "b").select(F.col("pa").alias("a"), F.col("pb").alias("b"))
+    wholes = part_of.join(components(links).withColumnRenamed("node", "part"), "part", "left").select("node", F.coalesce("component", "part").alias("whole"))
+    least = wholes.groupBy("whole").agg(F.min("node").alias("component"))
+    named = nodes.join(wholes.join(least, "whole").select("node", "component"), "node", "left").select(
         "n_shingles", "set_a", "set_b", "rows", F.coalesce("component", "node").alias("component_id"))
     class_of = ["n_shingles", "set_a", "set_b"]
     out = scale.attach(signed.select("doc_id", *class_of), named, class_of, "rows", ["doc_id"]) \

@@ -91,9 +91,10 @@ def test_signature_keys_cover_all_errors(spark):
 
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 5)]
-    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert all(found[i] == 0 for i in range(301)) and all(found[1000 + i] == 1000 for i in range(50))
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    for local_edges in (0, 1000):  # in rounds, and in one task
+        found = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), local_edges=local_edges).collect()}
+        assert all(found[i] == 0 for i in range(301)) and all(found[1000 + i] == 1000 for i in range(50))
+        assert components(spark.createDataFrame([], "a long, b long"), local_edges=local_edges).count() == 0
 
 
 def targets(sizes, weights=(5, 2, 1), most=3):
