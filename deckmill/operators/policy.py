@@ -33,7 +33,7 @@ class DomainPolicy:
     @classmethod
     def from_table(cls, policy: DataFrame, exclude_us: bool = True) -> "DomainPolicy | None":
         """Read a ``(rule, value)`` table; None when it is too long for literals."""
-        rows = scale.small_table(policy.select("rule", F.lower("value").alias("value")).distinct())
+        rows = scale.small_table(policy.select("rule", F.lower("value").alias("value")).where("value <> ''").distinct())
         if rows is None:
             return None
         lists: dict[str, list[str]] = {}
@@ -65,15 +65,25 @@ def block_reason(url: Column, policy: DomainPolicy, strip_port: bool = False) ->
     return reason
 
 
+def completed(policy: DataFrame) -> DataFrame:
+    """The policy without empty values, and with the built-in suffixes and institutions where it lists none."""
+    listed = policy.select("rule", "value").where(F.col("value") != "")
+    defaults = {"tld": fv.DEFAULT_US_TLDS, "institution": fv.DEFAULT_US_INSTITUTIONS}
+    own = {r.rule for r in listed.where(F.col("rule").isin(list(defaults))).select("rule").distinct().collect()}
+    rows = [(rule, value) for rule, values in defaults.items() if rule not in own for value in values]
+    return listed.unionByName(policy.sparkSession.createDataFrame(rows, "rule string, value string")) if rows else listed
+
+
 def with_block_reason(df: DataFrame, url_col: str, policy: DomainPolicy | DataFrame,
                       spread_on: Sequence[str] | None = None, exclude_us: bool = True,
                       name: str = "block_reason") -> DataFrame:
     """Add the blocking rule of each URL.
 
     A ``(rule, value)`` table below the small-set limit is turned into literal
-    sets; a longer one is joined.
+    sets; a longer one is joined. Built-in lists stand in for missing ones either way.
     """
     if isinstance(policy, DataFrame):
+        policy = completed(policy)
         literal = DomainPolicy.from_table(policy, exclude_us)
         if literal is None:
             return block_reason_by_join(df, url_col, policy, spread_on or [url_col], exclude_us, name)

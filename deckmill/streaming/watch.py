@@ -1,8 +1,10 @@
 """Incremental runs as Structured Streaming jobs.
 
 A file source with a checkpoint replaces the polling loop: a file is seen once.
-Each micro-batch writes its tables under its own part, so that a repeated
-micro-batch replaces what it wrote before and nothing is counted twice.
+Each micro-batch writes its tables under its own part, named by the query's id
+(which its checkpoint keeps) and the micro-batch, so that a repeated micro-batch
+replaces what it wrote before, nothing is counted twice, and no job writes over
+what another one wrote.
 """
 
 from __future__ import annotations
@@ -49,16 +51,23 @@ def watch_table(spark: SparkSession, folder: str, schema: T.StructType | str, pa
     return reader.load(folder)
 
 
-def _written(spark: SparkSession, path: str, schema: str, before: int) -> DataFrame:
-    """Rows earlier micro-batches wrote; nothing yet gives an empty table."""
-    reader = spark.read.schema(f"{schema}, part_id bigint").option("basePath", path).option("ignoreMissingFiles", "true")
+def _part(spark: SparkSession, epoch: int) -> str:
+    """Name of a micro-batch's part: a restart from one checkpoint has the same query id, any other job another one."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{epoch}" if query else str(epoch)
+
+
+def _written(spark: SparkSession, path: str, schema: str, part: str) -> DataFrame:
+    """All rows written so far, in whatever way, but for the part that is being repeated; nothing yet gives an empty table."""
+    # Files beside the parts would be ignored if the parts were read as partitions.
+    reader = spark.read.schema(schema).option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
     try:
         rows = reader.parquet(path)
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
         return spark.createDataFrame([], schema)
-    return rows.where(F.col("part_id") < before).drop("part_id")
+    return rows.where(~F.contains(F.col("_metadata.file_path"), F.lit(f"/part_id={part}/")))
 
 
 def delivery_batch(out: str, batch: str, now: Column, sidecars: DataFrame | None = None) -> Batch:
@@ -66,8 +75,9 @@ def delivery_batch(out: str, batch: str, now: Column, sidecars: DataFrame | None
 
     def run(files: DataFrame, epoch: int) -> None:
         spark = files.sparkSession
-        delivered = _written(spark, f"{out}/ledger", "filename string, status string", epoch)
-        given = _written(spark, f"{out}/numbers", "batch_id string, sequence_number bigint", epoch)
+        part = _part(spark, epoch)
+        delivered = _written(spark, f"{out}/ledger", "filename string, status string", part)
+        given = _written(spark, f"{out}/numbers", "batch_id string, sequence_number bigint", part)
         last = curate.numbering.last_used(given, batch)
         parsed = decks.parse_decks(files, ["path", "name", "extension", "file_size"])
         facts = curate.deck_facts(parsed).drop("parts")
@@ -79,7 +89,6 @@ def delivery_batch(out: str, batch: str, now: Column, sidecars: DataFrame | None
             from deckmill.sources.tables import CATALOGUE_SIDECAR_SCHEMA
 
             facts = facts.withColumn("sidecar", F.lit(None).cast(CATALOGUE_SIDECAR_SCHEMA))
-        part = str(epoch)
         # Facts are stored first, so that the decks are parsed once per micro-batch.
         sinks.append_parquet(facts, f"{out}/facts", part)
         stored = spark.read.schema(facts.schema).parquet(f"{out}/facts/part_id={part}")
@@ -101,13 +110,14 @@ def dedup_batch(out: str, keys: Sequence[str], order: Sequence[str], key_types:
     """
 
     def run(rows: DataFrame, epoch: int) -> None:
-        known = _written(rows.sparkSession, f"{out}/ledger", key_types, epoch)
+        part = _part(rows.sparkSession, epoch)
+        known = _written(rows.sparkSession, f"{out}/ledger", key_types, part)
         first = dedup.keep_one(rows, list(keys), list(order))
         fresh = ledger.drop_seen(first, known, list(keys), list(keys))
         fresh = keep(fresh) if keep else fresh
-        sinks.append_parquet(fresh, f"{out}/accepted", str(epoch))
-        written = rows.sparkSession.read.schema(fresh.schema).parquet(f"{out}/accepted/part_id={epoch}")
-        sinks.append_ledger(written, f"{out}/ledger", keys, str(epoch))
+        sinks.append_parquet(fresh, f"{out}/accepted", part)
+        written = rows.sparkSession.read.schema(fresh.schema).parquet(f"{out}/accepted/part_id={part}")
+        sinks.append_ledger(written, f"{out}/ledger", keys, part)
 
     return run
 
@@ -121,7 +131,7 @@ def publish_batch(out: str, rows: Callable[[DataFrame], DataFrame]) -> Batch:
     """Micro-batch that publishes metadata or audit rows; one part per micro-batch."""
 
     def run(batch: DataFrame, epoch: int) -> None:
-        sinks.append_json(rows(batch), out, str(epoch))
+        sinks.append_json(rows(batch), out, _part(batch.sparkSession, epoch))
 
     return run
 

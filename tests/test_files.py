@@ -278,3 +278,30 @@ def test_dedup_micro_batch_can_be_repeated(spark, tmp_path):
 def test_quarantine_dry_run_writes_nothing(spark, tmp_path):
     df = spark.createDataFrame([("a", "Duplicate of b"), ("c", None)], "name string, reason string")
     assert sinks.quarantine(df, str(tmp_path / "q")).count() == 1 and not (tmp_path / "q").exists()
+
+
+def test_policy_defaults_hold_for_lists_of_any_length(spark):
+    urls_ = spark.createDataFrame([(1, "https://x.gov/a"), (2, "https://mit.edu/b"), (3, "https://ok.example/c"), (4, "https://p7.example/d")], "id long, url string")
+    for n in (10, policy.scale.SMALL_ROWS + 1):
+        listed = spark.range(n).selectExpr("'pirate' AS rule", "concat('p', id, '.example') AS value").unionAll(spark.createDataFrame([("tld", ""), ("corporate", None)], "rule string, value string"))
+        found = {r.id: r.block_reason for r in policy.with_block_reason(urls_, "url", listed, ["id"]).collect()}
+        assert found == {1: "tld", 2: "institution", 3: None, 4: "pirate"}
+
+
+def test_two_jobs_share_one_ledger(spark, tmp_path):
+    """A second job with its own checkpoint, and rows of a ledger written without a part, are neither lost nor ignored."""
+    from deckmill.sinks import tables as sinks
+    from deckmill.streaming import watch
+
+    out = f"{tmp_path}/out"
+    sinks.append_ledger(spark.createDataFrame([("z",)], "key string"), f"{out}/ledger", ["key"])
+    for job, keys in enumerate((["a", "b", "z"], ["a", "c", "z"])):
+        folder = f"{tmp_path}/in{job}"
+        spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key string, n long").write.parquet(folder)
+        stream = watch.watch_table(spark, folder, "key string, n long")
+        query = watch.start(stream, watch.dedup_batch(out, ["key"], ["n"], "key string"), f"{tmp_path}/checkpoint{job}")
+        query.awaitTermination()
+        assert query.exception() is None
+    ledger_rows = sorted(r.key for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/ledger").collect())
+    accepted = sorted(r.key for r in spark.read.parquet(f"{out}/accepted").collect())
+    assert ledger_rows == ["a", "b", "c", "z"] and accepted == ["a", "b", "c"]
