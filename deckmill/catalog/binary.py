@@ -39,18 +39,43 @@ _FRAME = ('<p:graphicFrame><a:graphic><a:graphicData uri="http://schemas.openxml
           "</a:graphicData></a:graphic></p:graphicFrame>")
 
 
-def ole_file(streams: list[str]) -> bytes:
-    """Smallest compound file with the given directory names (512-byte sectors)."""
-    entries = b"".join((n.encode("utf-16-le").ljust(64, b"\0") + struct.pack("<H", 2 * len(n) + 2)).ljust(128, b"\0") for n in ["Root Entry", *streams])
-    sectors = -(-len(entries) // 512)
-    fat = [0xFFFFFFFD] + [i + 2 for i in range(sectors - 1)] + [0xFFFFFFFE]
+def ole_file(streams: list[str], allocation_sectors: int = 1) -> bytes:
+    """Compound file with the given streams below its root (512-byte sectors).
+
+    With many allocation sectors the file is as long as a large deck, and its directory lies at the end, in a sector
+    whose chain is listed beyond the header.
+    """
+    none, last = 0xFFFFFFFF, 0xFFFFFFFE
+    names_ = ["Root Entry", *streams]
+    entries = b"".join(
+        (n.encode("utf-16-le").ljust(64, b"\0") + struct.pack("<HBBIII", 2 * len(n) + 2, 2 if i else 5, 1, none,
+                                                              i + 1 if 0 < i < len(streams) else none, 1 if not i and streams else none)).ljust(128, b"\0")
+        for i, n in enumerate(names_))
+    directory = -(-len(entries) // 512)
+    extra = -(-max(0, allocation_sectors - 109) // 127)
+    first = 128 * allocation_sectors - directory  # the directory ends where the allocation table does
+    if allocation_sectors == 1:
+        first = 1
+    lists = list(range(allocation_sectors, allocation_sectors + extra))
+    fat = [none] * (128 * allocation_sectors)
+    fat[:allocation_sectors] = [0xFFFFFFFD] * allocation_sectors
+    for n in lists:
+        fat[n] = 0xFFFFFFFC
+    fat[first:first + directory] = [*range(first + 1, first + directory), last]
     header = bytearray(512)
     header[:8] = bytes.fromhex("D0CF11E0A1B11AE1")
     struct.pack_into("<H", header, 30, 9)
-    struct.pack_into("<I", header, 44, 1)
-    struct.pack_into("<I", header, 48, 1)
-    struct.pack_into("<109I", header, 76, 0, *[0xFFFFFFFF] * 108)
-    return bytes(header) + struct.pack("<128I", *fat, *[0xFFFFFFFF] * (128 - len(fat))) + entries.ljust(sectors * 512, b"\0")
+    struct.pack_into("<II", header, 44, allocation_sectors, first)
+    struct.pack_into("<II", header, 68, lists[0] if lists else last, extra)
+    own = list(range(allocation_sectors))
+    struct.pack_into("<109I", header, 76, *(own[:109] + [none] * 109)[:109])
+    body = bytearray(512 * (first + directory))
+    struct.pack_into(f"<{len(fat)}I", body, 0, *fat)
+    for k, n in enumerate(lists):
+        part = own[109 + 127 * k:109 + 127 * (k + 1)]
+        struct.pack_into("<128I", body, 512 * n, *(part + [none] * 127)[:127], lists[k + 1] if k + 1 < len(lists) else last)
+    body[512 * first:512 * first + len(entries)] = entries
+    return bytes(header + body)
 
 
 def build_deck(doc_id: int, text: str, lang: str, source: str) -> bytes:

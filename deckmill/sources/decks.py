@@ -74,20 +74,53 @@ def is_deck_item(mime: Column, name: Column) -> Column:
 
 
 def ole_stream_names(data: bytes) -> list[str]:
-    """Names in the directory of a compound file."""
+    """Paths of the streams of a compound file, storages before a slash. A chain that is broken raises ValueError."""
     size = 1 << struct.unpack_from("<H", data, 30)[0]
     per_sector = size // 4
+    none = 0xFFFFFFF0
+
+    def sector(number: int) -> int:
+        if (number + 2) * size > len(data):
+            raise ValueError("sector beyond the end of the file")
+        return (number + 1) * size
+
+    # the allocation table: 109 of its sectors are listed in the header, the others in a chain of sectors
+    listed = list(struct.unpack_from("<109I", data, 76))
+    more, seen = struct.unpack_from("<I", data, 68)[0], set()
+    while more < none:
+        if more in seen:
+            raise ValueError("the list of allocation sectors runs in a circle")
+        seen.add(more)
+        *entries, more = struct.unpack_from(f"<{per_sector}I", data, sector(more))
+        listed += entries
     fat: list[int] = []
-    for sector in struct.unpack_from("<109I", data, 76):
-        if sector < 0xFFFFFFF0:
-            fat += struct.unpack_from(f"<{per_sector}I", data, (sector + 1) * size)
-    found, sector, steps = [], struct.unpack_from("<I", data, 48)[0], 0
-    while sector < len(fat) and steps <= len(fat):
-        for at in range((sector + 1) * size, (sector + 2) * size, 128):
-            length = struct.unpack_from("<H", data, at + 64)[0]
-            if length >= 2:
-                found.append(data[at:at + length - 2].decode("utf-16-le", "ignore"))
-        sector, steps = fat[sector], steps + 1
+    for number in listed:
+        if number < none:
+            fat += struct.unpack_from(f"<{per_sector}I", data, sector(number))
+    entries, at, seen = [], struct.unpack_from("<I", data, 48)[0], set()
+    while at < none:
+        if at in seen or at >= len(fat):
+            raise ValueError("the directory chain is broken")
+        seen.add(at)
+        start = sector(at)
+        for entry in range(start, start + size, 128):
+            length, kind = struct.unpack_from("<HB", data, entry + 64)
+            left, right, child = struct.unpack_from("<III", data, entry + 68)
+            entries.append((data[entry:entry + max(0, length - 2)].decode("utf-16-le", "ignore"), kind, left, right, child))
+        at = fat[at]
+    # streams below the root; siblings form a tree of their own
+    found, todo, met = [], [(entries[0][4], "")] if entries else [], set()
+    while todo:
+        number, folder = todo.pop()
+        if number >= len(entries) or number in met:
+            continue
+        met.add(number)
+        name, kind, left, right, child = entries[number]
+        todo += [(left, folder), (right, folder)]
+        if kind == 2:
+            found.append(folder + name)
+        elif kind == 1:
+            todo.append((child, f"{folder}{name}/"))
     return found
 
 
@@ -116,7 +149,7 @@ def parse_deck(content: bytes) -> dict:
     if row["is_ole"]:
         try:
             row["slide_members"] = max(sum("slide" in n.lower() for n in ole_stream_names(content)), 1)
-        except (struct.error, IndexError) as error:
+        except (struct.error, IndexError, ValueError) as error:
             row["read_error"] = f"OLE error: {error}"
         return row
     if not zipfile.is_zipfile(io.BytesIO(content)):

@@ -305,3 +305,17 @@ def test_two_jobs_share_one_ledger(spark, tmp_path):
     ledger_rows = sorted(r.key for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/ledger").collect())
     accepted = sorted(r.key for r in spark.read.parquet(f"{out}/accepted").collect())
     assert ledger_rows == ["a", "b", "c", "z"] and accepted == ["a", "b", "c"]
+
+
+def test_compound_directories_of_long_files():
+    """The directory of a file above 7 MB lies behind allocation sectors that the header does not list."""
+    from deckmill.sources import decks
+
+    small = ole_file(["Slide 1", "other", "slide 2"])
+    large = ole_file(["Slide 1", "other", "slide 2"], 130)
+    assert len(large) > 7_000_000
+    assert sorted(decks.ole_stream_names(small)) == sorted(decks.ole_stream_names(large))
+    assert decks.parse_deck(small)["slide_members"] == decks.parse_deck(large)["slide_members"] == 2
+    broken = bytearray(large)
+    broken[68:72] = (10 ** 6).to_bytes(4, "little")
+    assert "OLE error" in decks.parse_deck(bytes(broken))["read_error"]
