@@ -297,18 +297,18 @@ def archive_payloads(spark, d):
 
 
 _WORDS = ["/fr/", "tiontion"]
-_INGEST = f"""c AS (SELECT page_id, url, CASE WHEN page_id % 16 = 0 THEN '' ELSE 'w' END AS filename, strlen(html) AS size, sha256(substr(html, 1, 110)) AS h,
+_INGEST = f"""c AS (SELECT page_id, url, CASE WHEN page_id % 16 = 0 THEN '' ELSE 'w' END AS filename, strlen(html) AS size, sha256(html) AS h,
     page_id % 9 <> 0 AS magic, page_id % 12 = 5 AS lost, len(regexp_extract_all(html, '[éèê]')) AS dense FROM pages),
 j AS (SELECT *, CASE WHEN filename = '' THEN 'incomplete' WHEN page_id % 8 = 3 THEN 'dup' WHEN {sql_any('lower(url)', _WORDS)} THEN 'blocked'
     WHEN page_id % 3 = 0 AND size < 4000 THEN 'small' WHEN lost THEN 'error' WHEN size < 4000 THEN 'small'
-    WHEN h IN (SELECT sha256(substr(html, 1, 110)) FROM pages WHERE page_id % 20 = 1) THEN 'dup' WHEN NOT magic THEN 'invalid' WHEN dense > 300 THEN 'china' END AS r FROM c),
+    WHEN h IN (SELECT sha256(html) FROM pages WHERE page_id % 20 = 1) THEN 'dup' WHEN NOT magic THEN 'invalid' WHEN dense > 300 THEN 'china' END AS r FROM c),
 x AS (SELECT *, CASE WHEN r IS NOT NULL THEN r WHEN row_number() OVER (PARTITION BY r IS NULL, h ORDER BY page_id) > 1 THEN 'dup' END AS reason FROM j),
 y AS (SELECT page_id, CASE WHEN reason IS NULL AND count(CASE WHEN reason IS NULL THEN 1 END) OVER (ORDER BY page_id) > 30 THEN 'beyond_target' ELSE reason END AS reason FROM x)"""
 
 
 def ingested(spark, d):
     i = F.col("page_id")
-    h = F.sha2(F.substring("html", 1, 110), 256)
+    h = F.sha2("html", 256)
     p = table(spark, d, "pages")
     c = p.select("page_id", "url", F.when(i % 16 == 0, "").otherwise("w").alias("filename"), F.octet_length("html").alias("length"),
                  F.when(i % 3 == 0, F.octet_length("html").cast("string")).otherwise("?").alias("declared_length"),
@@ -334,7 +334,7 @@ def ingest_ledgers(spark, d):
     return spark.read.schema("tag string").parquet(path)
 
 
-_DATASET = f"""c AS (SELECT page_id, strlen(html) AS size, substr(sha1(substr(html, 1, 90)), 1, 10) AS tag, sha256(html) AS h, {sql_any('lower(url)', _WORDS)} AS blocked,
+_DATASET = f"""c AS (SELECT page_id, strlen(html) AS size, substr(sha1(html), 1, 10) AS tag, sha256(html) AS h, {sql_any('lower(url)', _WORDS)} AS blocked,
     page_id % 9 <> 0 AS magic FROM pages),
 k AS (SELECT *, CASE WHEN blocked THEN 'blocked' WHEN tag IN (SELECT tag FROM c WHERE page_id % 40 = 3) THEN 'dup' WHEN size < 4000 THEN 'small'
     WHEN h IN (SELECT h FROM c WHERE page_id % 20 = 1) THEN 'dup' WHEN NOT magic THEN 'invalid' END AS r FROM c),
@@ -344,7 +344,7 @@ f AS (SELECT tag, min(page_id) AS first FROM k WHERE r IS NULL GROUP BY tag)"""
 @CATALOG.add("ingest_dataset_route", f"""WITH {_DATASET}
 SELECT page_id, CASE WHEN page_id > first AND coalesce(r, '') <> 'blocked' THEN 'dup' ELSE r END AS reason FROM k LEFT JOIN f USING (tag)""")
 def ingest_dataset_route(spark, d):
-    tag = F.substring(F.sha1(F.encode(F.substring("html", 1, 90), "UTF-8")), 1, 10)
+    tag = F.substring(F.sha1(F.encode("html", "UTF-8")), 1, 10)
     p = table(spark, d, "pages").select("page_id", "url", F.col("url").alias("title"), F.lit("").alias("category"), tag.alias("tag"),
                                         F.lit("").alias("declared_length"), F.octet_length("html").alias("file_size"),
                                         (F.col("page_id") % 9 != 0).alias("magic_ok"), F.sha2("html", 256).alias("file_hash"), F.array("url").alias("parts"))

@@ -98,10 +98,6 @@ def legacy_safe_name(name: Column) -> Column:
                     F.when(ext.isin(".ppt", ".pptx"), ext).otherwise(F.lit(".pptx")))
 
 
-def iso_z(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
-
 def zero_padded(number: Column, width: int) -> Column:
     """Zero padding that never cuts a number wider than ``width``."""
     text = number.cast("string")
@@ -144,10 +140,6 @@ def titled_name(source: str, record_id: Column, title: Column, extension: Column
                     title_slug(title, 80), extension)
 
 
-def item_name(identifier: Column, name: Column) -> Column:
-    return F.concat(F.lit("ia_"), identifier, F.lit("_"), F.regexp_replace(name, NOT_WORD_DOT_DASH, "_"))
-
-
 def work_name(work_id: Column, title: Column) -> Column:
     return F.concat(F.lit("core_"), work_id, F.lit("_"), with_deck_suffix(title_slug(title, 100)))
 

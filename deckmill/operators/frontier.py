@@ -123,11 +123,6 @@ def sample_frontier(domains: DataFrame, topics: Sequence[str], n_topics: int = 2
     return plain.unionByName(topical)
 
 
-def disciplines(spark: SparkSession, names: Sequence[str] = tuple(fv.ACADEMIC_DISCIPLINES)) -> DataFrame:
-    """Discipline list with positions, repeats kept."""
-    return spark.createDataFrame(list(enumerate(names)), "position int, discipline string")
-
-
 def keyword_queries(disciplines: DataFrame, tokens: Sequence[str] = tuple(fv.PRESENTATION_TOKENS),
                     site_prefix: str = "site:edu ", site_first: int = 20) -> DataFrame:
     """Disciplines with each token, alone, and the first ones under a site prefix.
@@ -177,8 +172,3 @@ def select_candidates(results: DataFrame, links: DataFrame, seen_tags: DataFrame
     linked = ledger.drop_seen(linked, seen_tags, ["tag"], ["candidate", *order]).drop("tag")
     return dedup.keep_one(own.unionByName(linked), ["candidate"], [*order, "hop"]).withColumn(
         "tag", urls.url_tag(F.col("candidate")))
-
-
-def without_done(candidates: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Work units, such as crawl and domain, that no earlier run completed."""
-    return ledger.drop_seen(candidates, done, keys, candidates.columns)

@@ -68,8 +68,3 @@ def tags_to_requeue(listing: DataFrame, rename_map: DataFrame, name: str = "name
     """Original tags of empty files, to be harvested again."""
     empty = listing.where(F.col(size) == 0).select(F.col(name).alias("new_name")).distinct()
     return rename_tags(rename_map).join(empty, "new_name", "left_semi").select("tag").distinct()
-
-
-def delivered_entries(processed: DataFrame, name: str = "filename", status: str = "status") -> DataFrame:
-    """Ledger rows of one delivery run; skipped files are entered too, with their status."""
-    return processed.select(F.col(name).alias("filename"), F.col(status).alias("status"))

@@ -90,7 +90,3 @@ def corpus_size(files: DataFrame, size: str = "file_size") -> DataFrame:
 def ledger_count(lines: DataFrame, value: str = "value") -> DataFrame:
     """Non-blank ledger lines; repeats count."""
     return lines.where(tx.strip(F.col(value)) != "").agg(F.count("*").alias("entries"))
-
-
-def marker_source_from_path(path: Column) -> Column:
-    return source_of_name(names.base_name(path))

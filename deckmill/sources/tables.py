@@ -125,12 +125,13 @@ def dataset_shards(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 
 def binary_column(df: DataFrame, min_bytes: int = 1000) -> str | None:
-    """Name of the first column whose value in the first row is a payload."""
+    """Name of the first column that holds a payload in any row. One aggregate over lengths; the rule looked at one row, but
+    a null or short first payload says nothing about the others."""
     candidates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.BinaryType)]
     if not candidates:
         return None
-    row = df.select(*[F.octet_length(f"`{c}`").alias(c) for c in candidates]).head()
-    return next((c for c in candidates if row is not None and (row[c] or 0) > min_bytes), None)
+    longest = df.agg(*[F.max(F.octet_length(f"`{c}`")).alias(c) for c in candidates]).first()
+    return next((c for c in candidates if (longest[c] or 0) > min_bytes), None)
 
 
 def ledger_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -229,7 +230,3 @@ def sitemap_urls(spark: SparkSession, paths: str) -> DataFrame:
     """Page addresses of plain or gzip sitemaps."""
     return spark.read.format("xml").option("rowTag", "url").schema("loc string").load(paths).where(
         F.col("loc").isNotNull()).select(F.col("loc").alias("url"))
-
-
-def disk_tags(listing: DataFrame, name: str = "name") -> DataFrame:
-    return listing.select(names.tag_of_name(F.col(name)).alias("tag")).where(F.col("tag").isNotNull()).distinct()
