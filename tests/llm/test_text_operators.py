@@ -135,6 +135,22 @@ def test_copied_and_reworded_items_are_found(spark, docs):
     assert latent.decontaminated(table, benchmark.limit(0)).count() == len(rows) + 2
 
 
+def test_items_of_common_words_and_short_items_are_found(spark, docs):
+    rng = random.Random(4)
+    hot, short, pair, one = " ".join(f"hot{k}" for k in range(30)), "the of and", "lone pair", "single"
+
+    def prose():
+        return " ".join(rng.choice(["the", "of", "and"]) if k % 3 == 0 else f"w{rng.randrange(3000)}" for k in range(80))
+    rows = [(i, f"{prose()} {hot} {prose()}" if i % 3 == 0 else prose(), "a") for i in range(150)]  # a third of all rows
+    rows += [(201, f"{prose()} The (of) and; {prose()}", "a"), (202, f"lone pair. {prose()}", "a"),
+             (203, f"{prose()} Single", "a"), (204, f"pair lone singled {prose()}", "a")]
+    benchmark = spark.createDataFrame([(1, hot), (2, short), (3, pair), (4, one)], "item_id long, text string")
+    table = docs(rows)
+    found = {r["doc_id"]: [m["item_id"] for m in r["f"]] for r in table.select("doc_id", latent.leaks(table, benchmark).alias("f")).collect()}
+    held = {i: [1] for i in range(0, 150, 3)} | {201: [2], 202: [3], 203: [4]}
+    assert {i: f for i, f in found.items() if f} == held
+
+
 def test_common_subsequence():
     rng = random.Random(1)
     space = latent.Space(np.ones(latent.FEATURES, np.float32))
