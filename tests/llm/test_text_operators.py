@@ -151,6 +151,30 @@ def test_items_of_common_words_and_short_items_are_found(spark, docs):
     assert {i: f for i, f in found.items() if f} == held
 
 
+def test_every_match_of_the_word_check_is_found():
+    rng = np.random.default_rng(8)
+    space = latent.Space(np.ones(latent.FEATURES, np.float32), rng.standard_normal((latent.FEATURES, latent.RANK)).astype(np.float16))
+    texts = {i: [f"i{i}x{k}" for k in range(n)] for i, n in enumerate([4, 9, 15, 24, 39, 59, 90])}
+    items = latent.make_items([(i, " ".join(words)) for i, words in texts.items()], space, 4)
+    search = latent.Search(space, items).prepared()
+    for i, words in texts.items():
+        for copy in (words, words[:-(-len(words) // 2)], [w if k % 2 == 0 else f"other{k}" for k, w in enumerate(words)]):
+            for before in (0, 5, 17, 100, (1 << 14) - 20):
+                text = [f"b{k}" for k in range(before)] + copy + [f"a{k}" for k in range(200)]
+                columns = latent.Features().of(" ".join(text).encode())
+                reference = set()
+                for start, end in zip(*latent.bounds(len(columns))):
+                    for item in items:
+                        half = len(item.columns) // 2 + 1
+                        segment = columns[max(0, start - half):end + half].tolist()
+                        share = latent.common_subsequence(segment, item) / len(item.columns)
+                        answer = len(set(segment) & item.answers) / len(item.answers)
+                        if share >= 0.75 or share >= 0.5 and answer >= 0.5:
+                            reference.add(item.item_id)
+                assert {m["item_id"] for m in search.matches(columns)} == reference
+                assert copy is not words or i in reference
+
+
 def test_common_subsequence():
     rng = random.Random(1)
     space = latent.Space(np.ones(latent.FEATURES, np.float32))
