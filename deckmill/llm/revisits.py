@@ -33,7 +33,7 @@ def canonical_url(url: Column) -> Column:
     rest = F.regexp_replace(F.regexp_replace(url, r"(?s)#.*", ""), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     host = F.regexp_replace(F.lower(F.regexp_extract(rest, r"^[^/?]*", 0)), r":(80|443)$", "")
     tail = F.regexp_extract(rest, r"(?s)^[^/?]*(.*)$", 1)
-    tail = F.regexp_replace(tail, r"([?&])utm_[^&]*(&|$)", "$1")
+    tail = F.regexp_replace(tail, r"(?<=[?&])utm_[^&]*(&|$)", "")  # looking back: the next one may follow at once
     tail = F.regexp_replace(tail, r"[?&]+$", "")
     return F.concat(host, F.when(tail == "", F.lit("/")).otherwise(tail))
 

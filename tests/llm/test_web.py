@@ -11,6 +11,16 @@ def records(spark, rows):
     return spark.createDataFrame([(*r, "k", "b") for r in rows], RECORDS)
 
 
+def test_tracking_parameters_in_a_row(spark):
+    rest = {"utm_source=a&utm_medium=b": "", "utm_a=1&utm_b=2&utm_c=3&k=v": "?k=v", "k=v&utm_a=1&utm_b=2": "?k=v",
+            "k=v&utm_a=1&utm_b=2&l=w": "?k=v&l=w", "utm_a=1": "", "xutm_a=1": "?xutm_a=1"}
+    urls = spark.createDataFrame([(f"http://a.com/x?{q}", f"a.com/x{left}") for q, left in rest.items()], "url string, expected string")
+    for row in urls.select(revisits.canonical_url(urls["url"]).alias("key"), "expected").collect():
+        assert row["key"] == row["expected"]
+    rows = [(0, "https://a.com/x", 1, "response", '"a"', None, None), (1, "https://a.com/x?utm_source=a&utm_medium=b", 2, "revisit", '"a"', None, None)]
+    assert [(r["response_id"], r["status"]) for r in revisits.resolve(records(spark, rows)).collect()] == [(0, "resolved")]
+
+
 def test_revisits(spark):
     rows = [
         (1, "http://A.com:80/x?utm_source=f#t", 10, "response", '"a"', "m1", {"etag": '"a"', "content-length": "9", "date": "1"}),
