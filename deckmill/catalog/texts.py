@@ -128,6 +128,18 @@ def topical_density(spark, d):
                                  screens.topically_dense(parts).alias("us_dense"))
 
 
+@CATALOG.add("topical_density_whole", f"""WITH {SLIDES},
+txt AS (SELECT doc_id, string_agg(lower(text), '' ORDER BY slide_number) AS t FROM slides GROUP BY doc_id)
+SELECT doc_id, {sql_count('t', _TERMS)} AS hits, {sql_count('t', _TERMS)} >= 3 AS dense,
+       {sql_count('t', fv.US_CONTENT_TERMS)} >= 3 AS us_dense FROM txt""")
+def topical_density_whole(spark, d):
+    """The same over the whole text."""
+    parts = lines(F.col("text"))
+    hits = screens.topical_hits(parts, _TERMS, None)
+    return docs(spark, d).select("doc_id", hits.alias("hits"), (hits >= 3).alias("dense"),
+                                 screens.topically_dense(parts, stop_after=None).alias("us_dense"))
+
+
 # ---- compliance ---------------------------------------------------------------
 _COMPLIANCE = f"""comp AS (
   SELECT f.doc_id, f.source_url, c.e, c.s, c.p,

@@ -120,11 +120,13 @@ def cjk_dense(parts: Column, threshold: int = 50, pattern: str = fv.CJK_PATTERN,
     return F.coalesce(tx.max_pattern_count(parts, pattern), F.lit(0)) > threshold
 
 
-def topical_hits(parts: Column, terms: Sequence[str] = tuple(fv.US_CONTENT_TERMS), stop_after: int = 50_000) -> Column:
-    """How many terms the joined slide text contains; joining stops once it is long enough."""
+def topical_hits(parts: Column, terms: Sequence[str] = tuple(fv.US_CONTENT_TERMS), stop_after: int | None = 50_000) -> Column:
+    """How many terms the joined slide text contains; joining stops once it is long enough, or never for None."""
+    if stop_after is None:
+        return tx.count_contained(F.array_join(F.transform(parts, F.lower), ""), terms)
     return tx.count_contained(tx.bounded_concat(F.transform(parts, F.lower), stop_after), terms)
 
 
 def topically_dense(parts: Column, terms: Sequence[str] = tuple(fv.US_CONTENT_TERMS),
-                    needed: int = 3, stop_after: int = 50_000) -> Column:
+                    needed: int = 3, stop_after: int | None = 50_000) -> Column:
     return topical_hits(parts, terms, stop_after) >= needed

@@ -260,3 +260,11 @@ def test_frontier_draw_is_repeatable(spark):
     df = spark.range(2000).select(F.lit("c").alias("country"), F.concat(F.lit("site:"), F.col("id").cast("string")).alias("domain"))
     first, again = [frontier.build_frontier(df, ["x"], seed=4).where("query like '%filetype:ppt %'").count() for _ in range(2)]
     assert first == again and 300 < first < 500
+
+
+def test_topical_terms_late_in_a_text(spark):
+    late = spark.createDataFrame([(["x" * 60_000, "Alpha beta", "gamma"],)], "parts array<string>")
+    row = late.select(screens.topical_hits(late["parts"], ["alpha", "beta", "gamma"]).alias("limited"),
+                      screens.topical_hits(late["parts"], ["alpha", "beta", "gamma"], None).alias("hits"),
+                      screens.topically_dense(late["parts"], ["alpha", "beta", "gamma"], stop_after=None).alias("dense")).first()
+    assert (row["limited"], row["hits"], row["dense"]) == (0, 3, True)
