@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deckmill.catalog.common import Catalog
-from deckmill.llm import bloom_lookup, context_mixing, hamming, huffman, latent, mixing, pairwise, pii, revisits, url_words
-from deckmill.llm.common import table
+from deckmill.llm import (bloom_lookup, context_mixing, hamming, huffman, latent, mixing, pairwise, periodic_runs, pii, revisits, spelling_variants,
+                          url_words)
+from deckmill.llm.common import WORD, table
 
 CATALOG = Catalog()
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -183,3 +184,39 @@ def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as ids in an id file, read back: doc_id, start, n_tokens, ids_crc32."""
     return huffman.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), end_id=1)
+
+
+@CATALOG.add("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of six letters and five occurrences, some misprinted by hash, each with its near words, form and root."""
+    counts = spelling_variants.count_words(table(spark, sf_dir, "documents"), shortest=6, least=5, misprint_every=199)
+    return spelling_variants.variants(counts, ratio=5)
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """Every tenth text by the hash of its id repeats from some word on, by a period of a third of the rest or less. Other
+    texts stay as they are."""
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    sized = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words")).withColumn("n", F.coalesce(F.size("words"), F.lit(0)))
+    placed = sized.withColumn("a", F.when(F.col("n") > 0, g % F.col("n")).cast("int"))
+    placed = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    repeated = F.slice(F.flatten(F.array_repeat(period, F.ceil(rest / F.col("p")).cast("int"))), 1, rest)
+    text = F.array_join(F.concat(F.slice("words", 1, F.col("a")), repeated), " ")
+    return placed.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+@CATALOG.add("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of every whole text, the strongest one, and digests of all runs and of the collapsed text."""
+    found = periodic_runs.find_runs(with_repeats(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    best = periodic_runs.strongest(F.col("runs"))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "runs", "collapsed", best.alias("best")).select(
+        "doc_id", "n_runs", F.col("best.start").alias("start"), F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
