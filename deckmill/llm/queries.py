@@ -7,12 +7,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deckmill.catalog.common import Catalog
-from deckmill.llm import (bloom_lookup, context_mixing, hamming, huffman, latent, mixing, pairwise, periodic_runs, pii, revisits, spelling_variants,
-                          url_words)
+from deckmill.llm import (bloom_lookup, byte_bpe, context_mixing, hamming, huffman, latent, mixing, pairwise, periodic_runs, pii, revisits,
+                          spelling_variants, url_words)
 from deckmill.llm.common import WORD, table
 
 CATALOG = Catalog()
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 @CATALOG.add("op1_crf_personal_data")
@@ -193,6 +194,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(counts, ratio=5)
 
 
+@CATALOG.add("op12_byte_transducer")
+def op12_byte_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as byte-level ids, and digests of the ids and of what they decode to."""
+    ranks = public_tokenizers.path(BYTE_RANKS)
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.decode(ids, ranks).select(
+        "doc_id", F.expr("length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def with_repeats(docs: DataFrame) -> DataFrame:
     """Every tenth text by the hash of its id repeats from some word on, by a period of a third of the rest or less. Other
     texts stay as they are."""
