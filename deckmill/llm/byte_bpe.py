@@ -39,9 +39,9 @@ from pyspark.sql import DataFrame
 
 from deckmill.llm.common import as_bytes, id_text, kept, map_arrow, text_chunks
 
-MOST_STATES = 150_000
-FEW_BELOW = 12
-REMEMBERED = 150_000
+MOST_STATES = 100_000
+FEW_BELOW = 8
+REMEMBERED = 100_000
 LONGEST_REMEMBERED = 48
 DECODED_AT_ONCE = 1 << 16
 LAST = 1 << 62
@@ -90,8 +90,8 @@ class Merges:
             if below[node] is not None and self.token_at[node] >= 0:
                 below[node] = [*rest, self.token_at[node]]
         self.below = below
-        self.right_edge = {t: self._edge(t, halves, 1) for t in self.tokens}
-        self.left_edge = {t: self._edge(t, halves, 0) for t in self.tokens}
+        self.halves = halves
+        self.edges: tuple[dict, dict] = ({}, {})  # of the tokens that were met: from the left, from the right
         self.known: dict[int, bool] = {}
         self.following: dict[tuple[int, int], frozenset[int]] = {}
 
@@ -105,14 +105,16 @@ class Merges:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def _edge(self, token: int, halves: dict[int, tuple[int, int]], side: int) -> list[tuple[bytes, int, int]]:
+    def _edge(self, whole: int, side: int) -> list[tuple[bytes, int, int]]:
         """The outermost parts of a token over time, first the single byte: (part, from which rank on, up to which)."""
-        out, until = [], LAST
-        while True:
-            out.append((self.tokens[token], token if token in halves else 0, until))
-            if token not in halves:
-                return out[::-1]
-            token, until = halves[token][side], token
+        out = self.edges[side].get(whole)
+        if out is None:
+            out, token, until = [], whole, LAST
+            while token in self.halves:
+                out.append((self.tokens[token], token, until))
+                token, until = self.halves[token][side], token
+            out = self.edges[side][whole] = [(self.tokens[token], 0, until), *out[::-1]]
+        return out
 
     def neighbours(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both tokens leaves these two tokens."""
@@ -135,7 +137,7 @@ class Merges:
         return found
 
     def _neighbours(self, left: int, right: int) -> bool:
-        lefts, rights, joint_rank = iter(self.right_edge[left]), iter(self.left_edge[right]), self.ranks.get
+        lefts, rights, joint_rank = iter(self._edge(left, 1)), iter(self._edge(right, 0)), self.ranks.get
         a, a_from, a_until = next(lefts)
         b, b_from, b_until = next(rights)
         while True:
@@ -322,6 +324,23 @@ class Decoder:
         return out
 
 
+def decoded(ids: bytes, vocabulary: Vocabulary) -> tuple[bytes, bool]:
+    """The bytes of an id array, decoded in chunks, and whether they are UTF-8."""
+    decoder, numbers = Decoder(vocabulary), np.frombuffer(ids, "<u4")
+    parts = [decoder.feed(numbers[i:i + DECODED_AT_ONCE].tolist()) for i in range(0, len(numbers), DECODED_AT_ONCE)]
+    return b"".join([*parts, decoder.close()]), decoder.valid
+
+
+ROW = "doc_id long, ids binary, decoded binary, valid boolean"
+
+
+def _row_batch(doc_ids: pa.Array, ids: list[bytes | None] | pa.Array, vocabulary: Vocabulary) -> pa.RecordBatch:
+    ids = pa.array(ids, pa.binary())
+    found = [(None, None) if i is None else decoded(i, vocabulary) for i in ids.to_pylist()]
+    return pa.RecordBatch.from_arrays([doc_ids, ids, pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.bool_())],
+                                      ["doc_id", "ids", "decoded", "valid"])
+
+
 def encode(docs: DataFrame, ranks: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, ids) of every whole text; ids are little-endian unsigned 32-bit integers in a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,17 +359,20 @@ def decode(rows: DataFrame, ranks: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = kept(("byte vocabulary", ranks), lambda: Vocabulary(read_ranks(ranks)))
         for batch in batches:
-            found, valid = [], []
-            for ids in batch.column(1).to_pylist():
-                if ids is None:
-                    found.append(None)
-                    valid.append(None)
-                    continue
-                decoder, numbers = Decoder(vocabulary), np.frombuffer(ids, "<u4")
-                parts = [decoder.feed(numbers[i:i + DECODED_AT_ONCE].tolist()) for i in range(0, len(numbers), DECODED_AT_ONCE)]
-                found.append(b"".join([*parts, decoder.close()]))
-                valid.append(decoder.valid)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary()), pa.array(valid, pa.bool_())],
-                                             ["doc_id", "ids", "decoded", "valid"])
-
-    return map_arrow(rows.select("doc_id", "ids"), run, "doc_id long, ids binary, decoded binary, valid boolean")
+            yield _row_batch(batch.column(0), batch.column(1), vocabulary)
+
+    return map_arrow(rows.select("doc_id", "ids"), run, ROW)
+
+
+def round_trip(docs: DataFrame, ranks: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, ids, decoded, valid) of every whole text: ``encode`` and ``decode`` in one pass, in the same workers."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = kept(("byte bpe", ranks, pattern), lambda: Encoder(read_ranks(ranks), pattern))
+        vocabulary = kept(("byte vocabulary", ranks), lambda: Vocabulary(encoder.transducer.merges.ranks))
+        for batch in batches:
+            texts = as_bytes(batch.column(1))
+            for some in text_chunks(texts):
+                ids = [encoder.encode(t.decode()) for t in texts[some]]
+                yield _row_batch(batch.column(0)[some.start:some.stop], ids, vocabulary)
+
+    return map_arrow(id_text(docs, id_column, text_column), run, ROW)

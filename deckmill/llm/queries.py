@@ -197,9 +197,8 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.add("op12_byte_transducer")
 def op12_byte_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as byte-level ids, and digests of the ids and of what they decode to."""
-    ranks = public_tokenizers.path(BYTE_RANKS)
-    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.decode(ids, ranks).select(
+    rows = byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
+    return rows.select(
         "doc_id", F.expr("length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
