@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from deckmill.catalog.common import Catalog, deck_files, table
+from deckmill.operators.ledger_index import LedgerIndex
 from deckmill.session import scratch_path
 from deckmill.streaming import watch
 
@@ -29,6 +30,21 @@ def stream_dedup_ledger(spark, d):
     return spark.read.schema("file_hash string, doc_id bigint").option("basePath", f"{out}/accepted").parquet(f"{out}/accepted").select("file_hash", "doc_id")
 
 
+@CATALOG.add("stream_dedup_index", """
+SELECT file_hash, min_by(doc_id, doc_id % 3 * 1000000000 + doc_id) AS doc_id FROM (SELECT sha256(text) AS file_hash, doc_id FROM documents) t
+WHERE file_hash IS NOT NULL GROUP BY 1""")
+def stream_dedup_index(spark, d):
+    """Three files arrive one after the other; each micro-batch meets the index of those before it."""
+    out = scratch_path(spark, "stream-index")
+    hashed = table(spark, d, "documents").select(F.sha2("text", 256).alias("file_hash"), "doc_id").where(F.col("file_hash").isNotNull())
+    for wave in range(3):
+        hashed.where(F.col("doc_id") % 3 == wave).write.mode("append").parquet(f"{out}/arriving")
+        index = LedgerIndex(spark, f"{out}/index", "file_hash string", buckets=32)
+        arriving = watch.watch_table(spark, f"{out}/arriving", "file_hash string, doc_id bigint")
+        watch.start(arriving, watch.indexed_dedup_batch(out, index, ["doc_id"]), f"{out}/checkpoint").awaitTermination()
+    return spark.read.schema("file_hash string, doc_id bigint").option("basePath", f"{out}/accepted").parquet(f"{out}/accepted").select("file_hash", "doc_id")
+
+
 @CATALOG.add("stream_source_counters", """
 SELECT source, count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM documents GROUP BY 1""")
 def stream_source_counters(spark, d):

@@ -8,6 +8,8 @@ from deckmill import fixed_values as fv
 from deckmill.catalog.common import (AUTHORITY, Catalog, q, sql_any, sql_ends, sql_list, sql_under, table)
 from deckmill.functions import names, urls
 from deckmill.operators import batches, dedup, frontier, integrity, ledger, policy, scale
+from deckmill.operators.ledger_index import LedgerIndex
+from deckmill.session import scratch_path
 
 CATALOG = Catalog()
 
@@ -350,6 +352,18 @@ def unseen_candidates_large_ledger(spark, d):
     return ledger.drop_seen(e, seen, ["user_id"], ["event_id"], small_rows=0).select("event_id")
 
 
+@CATALOG.add("unseen_candidates_indexed_ledger", """
+SELECT page_id FROM pages WHERE substr(sha1(url), 1, 10) NOT IN (
+  SELECT substr(sha1(url), 1, 10) FROM pages WHERE page_id % 3 = 0 OR page_id % 7 = 1)""")
+def unseen_candidates_indexed_ledger(spark, d):
+    """The ledger of two earlier runs as a stored index, asked for every page."""
+    tagged = pages(spark, d).withColumn("tag", urls.url_tag(F.col("url")))
+    index = LedgerIndex(spark, scratch_path(spark, "ledger-index"), "tag string", buckets=64)
+    index.append(tagged.where(F.col("page_id") % 3 == 0), "first")
+    index.add_new(tagged.where(F.col("page_id") % 7 == 1), "second")
+    return index.drop_seen(tagged, ["page_id"]).select("page_id")
+
+
 @CATALOG.add("completed_units", """
 SELECT event_type, user_id, count(*) AS n FROM events WHERE (event_type, user_id) NOT IN (
   SELECT event_type, user_id FROM events WHERE value > 60) GROUP BY ALL""")

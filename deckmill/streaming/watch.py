@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from deckmill.operators import dedup, ledger
+from deckmill.operators.ledger_index import LedgerIndex
 from deckmill.plans import curate
 from deckmill.sinks import tables as sinks
 from deckmill.sources import decks
@@ -122,6 +123,20 @@ def dedup_batch(out: str, keys: Sequence[str], order: Sequence[str], key_types:
     return run
 
 
+def indexed_dedup_batch(out: str, index: LedgerIndex, order: Sequence[str]) -> Batch:
+    """Micro-batch of cross-run dedup against a stored index: only the buckets its sketches let through are read, however
+    long the ledger has grown. The micro-batch is a run of the index, so a repeated one replaces itself."""
+
+    def run(rows: DataFrame, epoch: int) -> None:
+        part = _part(rows.sparkSession, epoch)
+        first = dedup.keep_one(rows, index.keys, list(order))
+        fresh = index.drop_seen(first, index.keys, without_run=part)
+        sinks.append_parquet(fresh, f"{out}/accepted", part)
+        index.append(rows.sparkSession.read.schema(fresh.schema).parquet(f"{out}/accepted/part_id={part}"), part)
+
+    return run
+
+
 def dedup_within(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """Bounded-state variant where an event time exists."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
