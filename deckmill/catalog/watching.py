@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from deckmill.catalog.common import Catalog, deck_files, table
 from deckmill.operators.ledger_index import LedgerIndex
 from deckmill.session import scratch_path
+from deckmill.sources import shards
 from deckmill.streaming import watch
 
 CATALOG = Catalog()
@@ -85,3 +86,20 @@ def stream_dedup_within_watermark(spark, d):
              .trigger(availableNow=True).start())
     query.awaitTermination()
     return spark.read.schema("user_id bigint, event_type string").parquet(f"{out}/rows")
+
+
+@CATALOG.add("stream_shard_rows", "SELECT event_id, event_type, CAST(1 AS BIGINT) AS times_read FROM events")
+def stream_shard_rows(spark, d):
+    """Shards harvested in two waves that part in the middle of a shard; a third one finds nothing left."""
+    shards.register(spark)
+    out = scratch_path(spark, "stream-shards")
+    events = table(spark, d, "events").select("event_id", "event_type")
+    events.repartitionByRange(5, "event_id").write.parquet(f"{out}/shards")
+    first_wave = events.count() * 3 // 5 + 1
+    for _ in range(3):
+        rows = (spark.readStream.format("shard_rows").option("path", f"{out}/shards").option("cursor", f"{out}/cursor.json")
+                .option("rows_per_batch", str(first_wave)).load())
+        (rows.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint")
+         .trigger(availableNow=True).start().awaitTermination())
+    got = spark.read.schema("event_id bigint, event_type string").parquet(f"{out}/rows")
+    return got.groupBy("event_id", "event_type").agg(F.count("*").alias("times_read"))
