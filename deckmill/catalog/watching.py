@@ -12,7 +12,7 @@ from deckmill.catalog.common import Catalog, deck_files, table
 from deckmill.operators.ledger_index import LedgerIndex
 from deckmill.session import scratch_path
 from deckmill.sources import shards
-from deckmill.streaming import watch
+from deckmill.streaming import expiring, watch
 
 CATALOG = Catalog()
 
@@ -103,3 +103,31 @@ def stream_shard_rows(spark, d):
          .trigger(availableNow=True).start().awaitTermination())
     got = spark.read.schema("event_id bigint, event_type string").parquet(f"{out}/rows")
     return got.groupBy("event_id", "event_type").agg(F.count("*").alias("times_read"))
+
+
+@CATALOG.add("stream_dedup_expiring", """
+WITH RECURSIVE e AS (SELECT user_id, event_type, epoch_us(ts) AS at_us FROM events WHERE ts IS NOT NULL),
+passed AS (
+  SELECT user_id, event_type, min(at_us) AS at_us FROM e GROUP BY ALL
+  UNION ALL
+  SELECT e.user_id, e.event_type, min(e.at_us) FROM passed p JOIN e ON e.user_id = p.user_id AND e.event_type = p.event_type
+    AND e.at_us >= p.at_us + 3 * 86400000000 GROUP BY ALL)
+SELECT user_id, event_type, at_us FROM passed""")
+def stream_dedup_expiring(spark, d):
+    """A user's event of one kind is held back for three days after the last one that passed. Three waves arrive in order of time."""
+    out = scratch_path(spark, "stream-expiring")
+    events = table(spark, d, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    first, last = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    wave = F.least(F.lit(2), F.floor((F.unix_micros("ts") - F.lit(first)) * 3 / F.lit(max(1, (last or 0) - (first or 0)))))
+    before = expiring.use_rocksdb(spark)
+    try:
+        for number in range(3):
+            events.where(wave == number).write.mode("append").parquet(f"{out}/arriving")
+            arriving = watch.watch_table(spark, f"{out}/arriving", events.schema)
+            rows = expiring.first_per_period(arriving, ["user_id", "event_type"], "ts", 3 * 86400, "1 hour", ["event_id"])
+            (rows.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint")
+             .trigger(availableNow=True).start().awaitTermination())
+    finally:
+        spark.conf.unset(expiring.PROVIDER) if before is None else spark.conf.set(expiring.PROVIDER, before)
+    got = spark.read.schema("user_id bigint, event_type string, ts timestamp").parquet(f"{out}/rows")
+    return got.select("user_id", "event_type", F.unix_micros("ts").alias("at_us"))
