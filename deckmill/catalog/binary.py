@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 from deckmill.catalog.common import FILES, SLIDES, Catalog, heavy_files, longs, sql_any, sql_under, table
 from deckmill.config import DeliveryRules, IntegrityRules, QualityRules
 from deckmill.functions import names
-from deckmill.operators import dedup, quality
+from deckmill.operators import dedup, quality, scale
 from deckmill.operators.policy import DomainPolicy
 from deckmill.plans import curate, ingest
 from deckmill.session import cut_lineage, scratch_path
 from deckmill.sinks import tables as sinks
-from deckmill.sources import decks
+from deckmill.sources import archives, decks
 from deckmill.sources.tables import CATALOGUE_SIDECAR_SCHEMA
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -296,6 +296,23 @@ def archive_payloads(spark, d):
     return stored.select("page_id", F.sha2(decks.archive_payload(F.col("record")), 256).alias("payload"))
 
 
+@CATALOG.add("archive_records", """
+SELECT CAST(page_id AS VARCHAR) AS record_id, url, CASE WHEN html <> '' THEN sha256(html) END AS by_scan, CASE WHEN html <> '' THEN sha256(html) END AS by_index,
+       CAST(1 AS BIGINT) AS times
+FROM pages""")
+def archive_records(spark, d):
+    """Every page as a response record of an archive file, half of them chunked, read back by scan and by index."""
+    path = scratch_path(spark, "archive")
+    rows = table(spark, d, "pages").select(
+        F.col("page_id").cast("string").alias("record_id"), "url", F.lit("2024-01-01T00:00:00Z").alias("archived_at"), F.lit("text/html").alias("mime"),
+        F.encode("html", "UTF-8").alias("payload"), (F.col("page_id") % 2 == 0).alias("chunked"))
+    archives.write(scale.spread(rows, ["record_id"]), path)
+    digest = F.sha2("payload", 256)
+    scanned = archives.scan(spark, path).where(F.col("error") == "").groupBy("record_id", "url").agg(F.max(digest).alias("by_scan"), F.count("*").alias("times"))
+    fetched = archives.read_index(archives.index(spark, path), path).where(F.col("error") == "").select("record_id", digest.alias("by_index"))
+    return scanned.join(fetched, "record_id").select("record_id", "url", "by_scan", "by_index", "times")
+
+
 _WORDS = ["/fr/", "tiontion"]
 _INGEST = f"""c AS (SELECT page_id, url, CASE WHEN page_id % 16 = 0 THEN '' ELSE 'w' END AS filename, strlen(html) AS size, sha256(html) AS h,
     page_id % 9 <> 0 AS magic, page_id % 12 = 5 AS lost, len(regexp_extract_all(html, '[éèê]')) AS dense FROM pages),
