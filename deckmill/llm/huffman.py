@@ -9,13 +9,14 @@ decodes. An id file is a folder of two tables, written by Spark and read by any
   bit offsets of every SEGMENT-th id of the block. A block or a segment can be decoded without any other.
 
 Edge cases: null texts are empty and hold the end id alone; a null doc_id stands before all others; rows that repeat a
-doc_id stay separate, in order of their ids; an empty table writes an empty codebook and no block.
+doc_id stay separate, in order of a hash of their ids; an empty table writes an empty codebook and no block.
 """
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +29,20 @@ from deckmill.session import scratch_path
 SEGMENT = 256
 BLOCK_IDS = 1 << 15
 MAX_BITS = 18
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 200_000
 LONGEST_CACHED = 64
 
 
-class WordIds(dict):
+class WordIds:
     """Word -> its ids as little-endian bytes. A word-level tokenizer that drops white space cuts at it too, so a text's
-    ids are those of its words in turn."""
+    ids are those of its words in turn.
+
+    Words are remembered in two generations of ``CACHED_WORDS`` each: a full one becomes the old one, from which words in use come
+    back. Where the tokenizer lower-cases and cuts letters from punctuation (``_plain``), a word is its letters and the marks
+    after them, so that only the letters are encoded, once for all their spellings.
+    """
+
+    MARKS = b".,;:!?"
 
     def __init__(self, path: str, width: str):
         import os
@@ -43,32 +51,94 @@ class WordIds(dict):
         self.tokenizer, self.width = Tokenizer.from_file(path), width
         special = [(i, t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
         self.mark_id, self.mark = special[-1] if special else (None, b"")
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.tails: dict[bytes, bytes] = {b"": b""}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None
+        if suffix and self._plain():
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _plain(self) -> bool:
+        """Whether letters are lower-cased and cut from marks: asked of the tokenizer, for every mark."""
+        same = all(self._alone("aB" + m + n) == self._alone("ab") + self._alone(m + n) for m in self.MARKS.decode() for n in ("", "!", "."))
+        return same and self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("AZ") == "az"
+
+    def _alone(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.width).tobytes()
+
+    def _cut(self, group: list[bytes], joint: bytes, is_end: Callable[[np.ndarray], np.ndarray], keep: int) -> list[bytes]:
+        """The ids of words in groups of 64, cut after (``keep`` 1) or before and after (0) the ids that end a word."""
+        groups = [group[i:i + 64] for i in range(0, len(group), 64)]
+        found = []
+        for some, coded in zip(groups, self.tokenizer.encode_batch_fast([joint.join(g).decode() for g in groups], add_special_tokens=False)):
+            ids = np.array(coded.ids, self.width)
+            ends = np.flatnonzero(is_end(ids))
+            if len(ends) + 1 - keep != len(some):
+                found += [self._bytes(self._alone(w.decode())) for w in some]
+                continue
+            raw, size = ids.tobytes(), ids.itemsize
+            starts = [0, *((ends + 1) * size).tolist()]
+            found += [raw[s:e] for s, e in zip(starts[:len(some)], [*((ends + keep) * size).tolist(), len(raw)])]
+        return found
+
+    def _letters(self, word: bytes) -> tuple[bytes, bytes] | None:
+        """Letters in lower case and the marks after them; None for other words."""
+        stem = word.rstrip(self.MARKS)
+        if stem.isascii():
+            return (stem.lower(), word[len(stem):]) if stem.isalpha() else None
+        text = stem.decode()
+        # letters that normal form or lower case takes apart are left to the tokenizer
+        whole = text.isalpha() and text.lower().isalpha() and unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", text.lower())
+        return (stem, word[len(stem):]) if whole else None
 
     def encode(self, words: list[bytes]) -> list[bytes]:
-        """Many words in one text, with a special token between them, by whose id the ids are cut."""
-        plain = [w for w in words if self.mark and self.mark[:1] not in w]
-        found = {w: np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, self.width).tobytes()
-                 for w in set(words).difference(plain)}
-        groups = [plain[i:i + 64] for i in range(0, len(plain), 64)]
-        for group, coded in zip(groups, self.tokenizer.encode_batch_fast([self.mark.join(g).decode() for g in groups], add_special_tokens=False)):
-            ids = np.array(coded.ids, self.width)
-            ends = (np.flatnonzero(ids == self.mark_id) * ids.itemsize).tolist()
-            raw, starts = ids.tobytes(), [0, *[e + ids.itemsize for e in ends]]
-            found.update(zip(group, [raw[s:e] for s, e in zip(starts, [*ends, len(raw)])]))
-        return [found[w] for w in words]
+        """Many words at once, each by itself."""
+        split = [self._letters(w) if self.ends is not None else None for w in words]
+        wanted = {p[0] for p in split if p is not None}
+        found = {s: ids for s in wanted if (ids := self.young.get(s) or self.old.get(s)) is not None}
+        # a word of letters is one piece, whose last token alone carries the end mark
+        stems = list(wanted.difference(found))
+        found.update(zip(stems, self._cut(stems, b" ", lambda ids: self.ends[ids], 1)))
+        self.young.update((s, ids) for s, ids in found.items() if len(s) <= LONGEST_CACHED)
+        others = list({w for w, p in zip(words, split) if p is None})
+        joined = [w for w in others if self.mark and self.mark[:1] not in w]
+        apart = dict(zip(joined, self._cut(joined, self.mark, lambda ids: ids == self.mark_id, 0)))
+        for word in set(others).difference(apart):
+            apart[word] = self._bytes(self._alone(word.decode()))
+        out = []
+        for word, parts in zip(words, split):
+            if parts is None:
+                out.append(apart[word])
+                continue
+            stem, tail = parts
+            ids = self.tails.get(tail)
+            if ids is None:
+                ids = self._bytes(self._alone(tail.decode()))
+                if len(tail) <= 4:
+                    self.tails[tail] = ids
+            out.append(found[stem] + ids)
+        return out
 
     def texts(self, texts: list[bytes], end: bytes) -> list[bytes]:
         """The ids of texts. New words of all of them are encoded together."""
         split = [t.split() for t in texts]
-        coded = [list(map(self.get, words)) for words in split]
+        coded = [list(map(self.young.get, words)) for words in split]
         open_texts = [i for i, ids in enumerate(coded) if None in ids]
-        new = list({w for i in open_texts for w, ids in zip(split[i], coded[i]) if ids is None})
-        ids_of = dict(zip(new, self.encode(new)))
+        wanted = {w for i in open_texts for w, ids in zip(split[i], coded[i]) if ids is None}
+        ids_of = {w: self.old[w] for w in wanted if w in self.old}
+        new = list(wanted.difference(ids_of))
+        ids_of.update(zip(new, self.encode(new)))
         for i in open_texts:
             coded[i] = [ids_of[w] if ids is None else ids for w, ids in zip(split[i], coded[i])]
-        if len(self) + len(new) > CACHED_WORDS:
-            self.clear()
-        self.update((w, ids) for w, ids in ids_of.items() if len(w) <= LONGEST_CACHED)
+        self.young.update((w, ids) for w, ids in ids_of.items() if len(w) <= LONGEST_CACHED)
+        if len(self.young) >= CACHED_WORDS:
+            self.old, self.young = self.young, {}
         return [b"".join(ids) + end for ids in coded]
 
 
@@ -231,7 +301,9 @@ def write_ids(rows: DataFrame, path: str, width: str = "<u2", max_bits: int = MA
         if docs:
             yield block()
 
-    ordered = rows.select("doc_id", "ids").repartitionByRange("doc_id", "ids").sortWithinPartitions("doc_id", "ids")
+    # the sample that range bounds are drawn from goes to the driver: it holds a hash of the ids, not the ids of long texts
+    order = ["doc_id", F.xxhash64("ids")]
+    ordered = rows.select("doc_id", "ids").repartitionByRange(*order).sortWithinPartitions(*order)
     map_arrow(ordered, run, "part int, first long, doc_ids array<long>, counts array<long>, checkpoints binary, payload binary") \
         .write.parquet(f"{path}/blocks")
 
