@@ -151,28 +151,69 @@ def test_items_of_common_words_and_short_items_are_found(spark, docs):
     assert {i: f for i, f in found.items() if f} == held
 
 
-def test_every_match_of_the_word_check_is_found():
+def word_check(columns, items):
+    """Items that the word check finds among all passages."""
+    out = set()
+    for start, end in zip(*latent.bounds(len(columns))):
+        for item in items:
+            half = len(item.columns) // 2 + 1
+            segment = columns[max(0, start - half):end + half].tolist()
+            share = latent.common_subsequence(segment, item) / len(item.columns)
+            answer = len(set(segment) & item.answers) / len(item.answers)
+            if share >= 0.75 or share >= 0.5 and answer >= 0.5:
+                out.add(item.item_id)
+    return out
+
+
+def test_recall_of_the_latent_search_against_all_pairs():
     rng = np.random.default_rng(8)
-    space = latent.Space(np.ones(latent.FEATURES, np.float32), rng.standard_normal((latent.FEATURES, latent.RANK)).astype(np.float16))
-    texts = {i: [f"i{i}x{k}" for k in range(n)] for i, n in enumerate([4, 9, 15, 24, 39, 59, 90])}
-    items = latent.make_items([(i, " ".join(words)) for i, words in texts.items()], space, 4)
-    search = latent.Search(space, items).prepared()
+    directions = (rng.standard_normal((latent.FEATURES, latent.RANK)) / 12).astype(np.float16)
+    space = latent.Space(np.ones(latent.FEATURES, np.float32), directions)
+    texts = {i: [f"i{i}x{k}" for k in range(n)] for i, n in enumerate([9, 15, 24, 39, 59, 90] * 3)}
+    usual, common = latent.make_items([(i, " ".join(words)) for i, words in texts.items()] + [(99, ""), (98, None)], space, 4)
+    assert len(usual) == 18 and not common
+    finder, hashing = latent.Finder(space, usual, common).prepared(), latent.Hashing()
+    found, wanted = {}, {}
     for i, words in texts.items():
-        for copy in (words, words[:-(-len(words) // 2)], [w if k % 2 == 0 else f"other{k}" for k, w in enumerate(words)]):
-            for before in (0, 5, 17, 100, (1 << 14) - 20):
-                text = [f"b{k}" for k in range(before)] + copy + [f"a{k}" for k in range(200)]
-                columns = latent.Features().of(" ".join(text).encode())
-                reference = set()
-                for start, end in zip(*latent.bounds(len(columns))):
-                    for item in items:
-                        half = len(item.columns) // 2 + 1
-                        segment = columns[max(0, start - half):end + half].tolist()
-                        share = latent.common_subsequence(segment, item) / len(item.columns)
-                        answer = len(set(segment) & item.answers) / len(item.answers)
-                        if share >= 0.75 or share >= 0.5 and answer >= 0.5:
-                            reference.add(item.item_id)
-                assert {m["item_id"] for m in search.matches(columns)} == reference
-                assert copy is not words or i in reference
+        kinds = {"verbatim": words, "third": [w if k % 3 else f"o{k}" for k, w in enumerate(words)], "stretch": words[:round(0.6 * len(words))],
+                 "kept": [w if rng.random() < 0.65 else f"o{k}" for k, w in enumerate(words)]}
+        for kind, copy in kinds.items():
+            for before in (0, 5, 17, 100, 3000):
+                text = " ".join([f"b{k}" for k in range(before)] + copy + [f"a{k}" for k in range(200)]).encode()
+                reference = word_check(hashing.of(text), usual)
+                got = {m["item_id"]: m for m in finder.matches([b"other text", text], hashing)[1]}
+                assert set(got) <= reference
+                wanted[kind] = wanted.get(kind, 0) + len(reference)
+                found[kind] = found.get(kind, 0) + len(set(got) & reference)
+                if kind == "verbatim":
+                    assert got[i]["verbatim"] and got[i]["cosine"] > 0.3 and got[i]["lcs_share"] == 1.0
+    assert min(wanted.values()) > 30 and all(found[k] >= 0.9 * wanted[k] for k in wanted), (found, wanted)
+    assert found["verbatim"] == wanted["verbatim"]
+
+
+def test_common_items_alone_see_common_words():
+    weights = np.ones(latent.FEATURES, np.float32)
+    hashing = latent.Hashing()
+    lost = hashing.of(b"the of and")
+    weights[lost] = 0
+    seen = np.ones(latent.FEATURES, np.float32)
+    space = latent.Space(weights, np.ones((latent.FEATURES, 4), np.float16), seen)
+    usual, common = latent.make_items([(1, "the of and the of and rare word"), (2, "one two three the of four five six")], space, 4)
+    assert [i.item_id for i in common] == [1] and len(common[0].columns) == 8
+    assert [i.item_id for i in usual] == [2] and len(usual[0].columns) == 6
+
+
+def test_words_hash_alike_in_any_place():
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choice("abcXé中,.\n") for _ in range(rng.randrange(0, 9))) for _ in range(rng.randrange(0, 40))).encode() for _ in range(60)]
+    texts += [b"", b" ", b"\0 \0\0", b"x" * 5000]
+    whole, pieces = latent.Hashing(), latent.Hashing()
+    pieces.PIECE = 50
+    for got, small, text in zip(whole.of_texts(texts), pieces.of_texts(texts), texts):
+        words = latent.words_of(text)
+        assert got.tolist() == small.tolist() == [int(whole.of(w)[0]) for w in words]
+    assert len({int(whole.of(b"w%d" % i)[0]) for i in range(3000)}) > 2800
+    assert whole.of_texts([]) == []
 
 
 def test_common_subsequence():
