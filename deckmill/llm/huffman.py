@@ -14,6 +14,7 @@ doc_id stay separate, in order of a hash of their ids; an empty table writes an
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
@@ -29,8 +30,10 @@ from deckmill.session import scratch_path
 SEGMENT = 256
 BLOCK_IDS = 1 << 15
 MAX_BITS = 18
-CACHED_WORDS = 200_000
+CACHED_WORDS = 300_000
 LONGEST_CACHED = 64
+# Letters in lower case and normal form that most new words consist of; others are looked at one by one.
+LATIN = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+").fullmatch
 
 
 class WordIds:
@@ -56,7 +59,10 @@ class WordIds:
         self.tails: dict[bytes, bytes] = {b"": b""}
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = None
+        self.letters = Tokenizer.from_file(path)
         if suffix and self._plain():
+            # letters in normal form and lower case already
+            self.letters.normalizer = None
             vocabulary = self.tokenizer.get_vocab()
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
@@ -72,11 +78,11 @@ class WordIds:
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.width).tobytes()
 
-    def _cut(self, group: list[bytes], joint: bytes, is_end: Callable[[np.ndarray], np.ndarray], keep: int) -> list[bytes]:
+    def _cut(self, tokenizer, group: list[bytes], joint: bytes, is_end: Callable[[np.ndarray], np.ndarray], keep: int) -> list[bytes]:
         """The ids of words in groups of 64, cut after (``keep`` 1) or before and after (0) the ids that end a word."""
         groups = [group[i:i + 64] for i in range(0, len(group), 64)]
         found = []
-        for some, coded in zip(groups, self.tokenizer.encode_batch_fast([joint.join(g).decode() for g in groups], add_special_tokens=False)):
+        for some, coded in zip(groups, tokenizer.encode_batch_fast([joint.join(g).decode() for g in groups], add_special_tokens=False)):
             ids = np.array(coded.ids, self.width)
             ends = np.flatnonzero(is_end(ids))
             if len(ends) + 1 - keep != len(some):
@@ -87,59 +93,60 @@ class WordIds:
             found += [raw[s:e] for s, e in zip(starts[:len(some)], [*((ends + keep) * size).tolist(), len(raw)])]
         return found
 
-    def _letters(self, word: bytes) -> tuple[bytes, bytes] | None:
-        """Letters in lower case and the marks after them; None for other words."""
-        stem = word.rstrip(self.MARKS)
-        if stem.isascii():
-            return (stem.lower(), word[len(stem):]) if stem.isalpha() else None
-        text = stem.decode()
-        # letters that normal form or lower case takes apart are left to the tokenizer
-        whole = text.isalpha() and text.lower().isalpha() and unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", text.lower())
-        return (stem, word[len(stem):]) if whole else None
+    def _letters(self, words: list[bytes]) -> tuple[list[bytes], list[bytes | None]]:
+        """For each word its letters, A-Z in lower case, and the marks after them; None in place of the marks for other words."""
+        stems = [w.rstrip(self.MARKS) for w in words]
+        tails: list[bytes | None] = [w[len(s):] for w, s in zip(words, stems)]
+        stems = [s.lower() if s.isascii() else s for s in stems]
+        for i in [i for i, s in enumerate(stems) if not s.isalpha() and not LATIN(s)]:  # of bytes: ASCII letters only
+            # lower case letter by letter, whatever stands around; letters that normal form takes apart are left to the tokenizer
+            text = "".join(map(str.lower, stems[i].decode()))
+            if text.isalpha() and unicodedata.is_normalized("NFC", stems[i].decode()) and unicodedata.is_normalized("NFC", text):
+                stems[i] = text.encode()
+            else:
+                tails[i] = None
+        return stems, tails
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         """Many words at once, each by itself."""
-        split = [self._letters(w) if self.ends is not None else None for w in words]
-        wanted = {p[0] for p in split if p is not None}
-        found = {s: ids for s in wanted if (ids := self.young.get(s) or self.old.get(s)) is not None}
+        stems, tails = self._letters(words) if self.ends is not None else (words, [None] * len(words))
+        known: dict[bytes, bytes] = {}
+        wanted = {s for s, tail in zip(stems, tails) if tail is not None}
+        for stem in wanted:
+            ids = self.young.get(stem) or self.old.get(stem)
+            if ids is not None:
+                known[stem] = ids
         # a word of letters is one piece, whose last token alone carries the end mark
-        stems = list(wanted.difference(found))
-        found.update(zip(stems, self._cut(stems, b" ", lambda ids: self.ends[ids], 1)))
-        self.young.update((s, ids) for s, ids in found.items() if len(s) <= LONGEST_CACHED)
-        others = list({w for w, p in zip(words, split) if p is None})
+        new = list(wanted.difference(known))
+        known.update(zip(new, self._cut(self.letters, new, b" ", lambda ids: self.ends[ids], 1)))
+        self.young.update((s, ids) for s, ids in known.items() if len(s) <= LONGEST_CACHED)
+        others = list({w for w, tail in zip(words, tails) if tail is None})
         joined = [w for w in others if self.mark and self.mark[:1] not in w]
-        apart = dict(zip(joined, self._cut(joined, self.mark, lambda ids: ids == self.mark_id, 0)))
+        apart = dict(zip(joined, self._cut(self.tokenizer, joined, self.mark, lambda ids: ids == self.mark_id, 0)))
         for word in set(others).difference(apart):
             apart[word] = self._bytes(self._alone(word.decode()))
-        out = []
-        for word, parts in zip(words, split):
-            if parts is None:
-                out.append(apart[word])
-                continue
-            stem, tail = parts
-            ids = self.tails.get(tail)
-            if ids is None:
-                ids = self._bytes(self._alone(tail.decode()))
-                if len(tail) <= 4:
-                    self.tails[tail] = ids
-            out.append(found[stem] + ids)
-        return out
+        if len(self.tails) > 1000:
+            self.tails = {b"": b""}
+        for tail in set(tails).difference(self.tails, [None]):
+            self.tails[tail] = self._bytes(self._alone(tail.decode()))
+        marks = self.tails
+        return [apart[w] if tail is None else known[s] + marks[tail] for w, s, tail in zip(words, stems, tails)]
 
     def texts(self, texts: list[bytes], end: bytes) -> list[bytes]:
         """The ids of texts. New words of all of them are encoded together."""
         split = [t.split() for t in texts]
-        coded = [list(map(self.young.get, words)) for words in split]
-        open_texts = [i for i, ids in enumerate(coded) if None in ids]
-        wanted = {w for i in open_texts for w, ids in zip(split[i], coded[i]) if ids is None}
-        ids_of = {w: self.old[w] for w in wanted if w in self.old}
-        new = list(wanted.difference(ids_of))
-        ids_of.update(zip(new, self.encode(new)))
-        for i in open_texts:
-            coded[i] = [ids_of[w] if ids is None else ids for w, ids in zip(split[i], coded[i])]
-        self.young.update((w, ids) for w, ids in ids_of.items() if len(w) <= LONGEST_CACHED)
+        words = set().union(*split)
         if len(self.young) >= CACHED_WORDS:
             self.old, self.young = self.young, {}
-        return [b"".join(ids) + end for ids in coded]
+        missing = list(words.difference(self.young))
+        new = [w for w in missing if w not in self.old]
+        ids_of = {w: self.old[w] for w in missing if w in self.old}
+        ids_of.update(zip(new, self.encode(new)))
+        self.young.update(ids_of)
+        out = [b"".join(map(self.young.__getitem__, s)) + end for s in split]
+        for word in [w for w in new if len(w) > LONGEST_CACHED]:
+            del self.young[word]
+        return out
 
 
 def id_width(path: str) -> str:
