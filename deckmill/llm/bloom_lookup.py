@@ -4,7 +4,8 @@ A paragraph is a line, or a run of PIECE characters of a longer line from its st
 cells; each distinct paragraph digest goes to one cell of each table, which keeps the sum of count and digests, packed
 into one long (KEY_BITS of the digest with a check sum in them, COUNT_BITS of count). Two sketches of one size subtract
 cell by cell: what both hold is gone. A cell with a count of one in size and a fitting check sum names a digest of one side; taking it out of its other cells frees further
-ones (peeling). If cells are left over, the sketch was too small: it is made again, twice the size and with other hashes.
+ones (peeling). If cells are left over, or what was recovered does not account for the exclusive or of both sides, the sketch failed: it is made
+again, twice the size and with other key bits. After ATTEMPTS failures the two sets of the part are compared as they are.
 
 Long texts are compared in parts by digest (PART and BUCKET digests on average), one sketch each, so that the work
 grows with the text and not with its square. All of it is expressions on one row; no digest leaves its row.
@@ -102,19 +103,41 @@ def _peel(sketch: Column, cells: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_)
 
 
+def _exclusive_or(keys: Column) -> Column:
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda total, d: total.bitwiseXOR(d))
+
+
 def _recovered(x: Column, y: Column) -> Column:
-    """How many digests one of two small sets holds and the other does not, from the difference of their sketches; a
-    failed attempt is made again at twice the size. Null where all fail."""
-    def tried(cells: Column) -> Column:
-        def result(left: Column) -> Column:
-            return F.when(~F.exists(left["cells"], lambda c: c != 0),
-                          # a key read in error comes back with the other sign
-                          F.size(F.array_except(left["found"], F.transform(left["found"], lambda v: -v))))
-        return _let(_peel(_sketch(F.concat(_elements(x, cells, 1), _elements(y, cells, -1)), cells), cells), result)
+    """How many digests one of two small sets holds and the other does not, from the difference of their sketches.
+
+    Each attempt takes other key bits of the digests and twice the size of the one before. It counts if nothing is left over
+    and the recovered digests account for the exclusive or of both sets, so that two digests with the same key bits, which
+    never peel on one side and cancel on two, are told apart by the next attempt. Where all attempts fail, the sets are compared."""
+    def tried(cells: Column, salt: Column) -> Column:
+        def keyed(digests: Column) -> Column:
+            return F.transform(digests, lambda d: F.struct(d.alias("d"), _key(F.xxhash64(d, salt)).alias("k")))
+
+        def elements(own: Column, sign: int) -> Column:
+            return _elements(F.transform(own, lambda e: e["k"]), cells, sign)
+
+        def accounted(own: Column, found: Column, sign: int) -> Column:
+            return _exclusive_or(F.transform(F.filter(own, lambda e: F.array_contains(found, (F.shiftleft(e["k"], COUNT_BITS) + 1) * sign)), lambda e: e["d"]))
+
+        def result(p: Column, q: Column, left: Column) -> Column:
+            # a key read in error comes back with the other sign
+            found = F.array_except(left["found"], F.transform(left["found"], lambda v: -v))
+            return _let(found, lambda f: F.when(
+                ~F.exists(left["cells"], lambda c: c != 0)
+                & (accounted(p, f, 1).bitwiseXOR(accounted(q, f, -1)) == _exclusive_or(x).bitwiseXOR(_exclusive_or(y))), F.size(f)))
+
+        return _let(keyed(x), lambda p: _let(keyed(y), lambda q: _let(
+            _peel(_sketch(F.concat(elements(p, 1), elements(q, -1)), cells), cells), lambda left: result(p, q, left))))
 
     def attempt(state: Column, i: Column) -> Column:
-        return F.when(state.isNotNull(), state).otherwise(_let(F.pow(F.lit(2), i).cast("int") * FIRST_CELLS, tried))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ATTEMPTS - 1)), F.lit(None).cast("int"), attempt)
+        return F.when(state.isNotNull(), state).otherwise(_let(F.pow(F.lit(2), i).cast("int") * FIRST_CELLS, lambda cells: tried(cells, i)))
+
+    peeled = F.aggregate(F.sequence(F.lit(0), F.lit(ATTEMPTS - 1)), F.lit(None).cast("int"), attempt)
+    return _let(peeled, lambda n: F.when(n.isNotNull(), n).otherwise(F.size(F.array_except(x, y)) + F.size(F.array_except(y, x))))
 
 
 def _split(x: Column, y: Column, parts: Column, of_part: Callable[[Column, Column], Column]) -> Column:
@@ -132,7 +155,7 @@ def likeness(x: Column, y: Column) -> Column:
     def buckets(a: Column, b: Column) -> Column:
         n = F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / BUCKET)).cast("int")
         # other digests, as those of one part agree in their remainder
-        again = [F.transform(keys, lambda d: _key(F.xxhash64(d))) for keys in (a, b)]
+        again = [F.transform(keys, lambda d: F.xxhash64(d)) for keys in (a, b)]
         return _let(again[0], lambda p: _let(again[1], lambda q: _split(p, q, n, _recovered)))
 
     both = F.size(x) + F.size(y)
