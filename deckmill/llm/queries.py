@@ -96,7 +96,7 @@ WITH base AS (
   FROM pages),
 keyed AS (
   SELECT *, regexp_replace(lower(regexp_extract(rest, '^[^/?]*', 0)), ':(80|443)$', '') AS host,
-         regexp_replace(regexp_replace(regexp_extract(rest, '^[^/?]*(.*)$', 1, 's'), '([?&])utm_[^&]*(&|$)', '\1', 'g'), '[?&]+$', '') AS tail
+         regexp_replace(regexp_replace(regexp_extract(rest, '^[^/?]*(.*)$', 1, 's'), '([?&])(utm_[^&]*(&|$))+', '\1', 'g'), '[?&]+$', '') AS tail
   FROM base),
 urls AS (SELECT *, host || CASE WHEN tail = '' THEN '/' ELSE tail END AS url_key FROM keyed),
 records AS (

@@ -67,3 +67,20 @@ def test_rules_and_words(spark):
     assert (found[13]["host"], found[13]["path"]) == ("y", "/de/")
     empty = pages.where(F.lit(False))
     assert url_words.word_frequencies(empty) == {} and url_words.judge(empty, model).count() == 0
+
+
+def test_tracking_parameters_in_a_row_go_in_operator_and_sql(spark, tmp_path):
+    import duckdb
+
+    from deckmill.llm.queries import REVISIT_SQL, op3_revisit_resolution
+
+    urls = ["http://a.org/p", "http://a.org/p?utm_source=a&utm_medium=b", "http://A.org:80/p?utm_a=1&x=2&utm_b=3&utm_c=4#f", "http://a.org/p?x=2", "a.org/?utm_x"]
+    rows = [(i, urls[i % len(urls)], f"<p>{i % 7}</p>") for i in range(1, 400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = op3_revisit_resolution(spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({REVISIT_SQL})").fetchall()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got.collect())
+    assert {r[got.columns.index("url_key")] for r in want} == {"a.org/p", "a.org/p?x=2", "a.org/"}
