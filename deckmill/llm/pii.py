@@ -3,8 +3,9 @@
 Base spans are leftmost, not overlapping within a kind, and always stay. The field tags the tokens of windows around
 tokens with a digit or an ``@``, with B- and I- tags for each kind; features are the shapes of a token and of its
 neighbours, with every letter and digit abstracted away, so that it finds what the patterns drop: a phone and a card
-number with one space between them, a number without its country prefix, an address with a letter outside ASCII. It is
-trained by gradient steps on the conditional likelihood and decoded by Viterbi over all windows of a batch at once.
+number with one space between them, a number without its country prefix, an address with a letter outside ASCII. Long
+windows are decoded in parts that overlap by the longest entity, and tokens end where a script without spaces begins. The
+field is trained by gradient steps on the conditional likelihood and decoded by Viterbi over all windows of a batch at once.
 
 The labelled table is made from at most ``train_documents`` documents: windows tagged by the base patterns, copies of
 them with the entity written in ways the patterns do not know, and copies with plain numbers in its place, tagged as
@@ -19,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +38,8 @@ FEATURES = 1 << 13
 CONTEXT = 2
 LONGEST_TOKEN = 64
 MOST_TOKENS = 48
+# A card of 19 digits with a space after each is the entity of most tokens.
+MARGIN = 20
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -44,7 +48,11 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
-SPACE = " \t\n\r\x0b\x0c"
+# Thai, Lao, Burmese, Khmer, and all from the CJK radicals to Hangul, with their wide forms: written without spaces, or
+# joined to digits without one
+WIDE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ud7ff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
+RUN = re.compile(f"[{WIDE}]+|[^{WIDE} \\t\\n\\r\\x0b\\x0c]+")
+PIECE = re.compile(r"[^,;:|\"'<>\[\]{}=&/\\]+")
 
 
 def luhn(digits: str) -> bool:
@@ -84,47 +92,45 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def tokens_around(text: str) -> list[list[tuple[int, int]]]:
-    """Windows of tokens (start, end): tokens with a digit or ``@`` and CONTEXT tokens on either side, on the same line or
-    not; windows that touch are one. Brackets and closing punctuation are no part of a token, but of its shape's neighbours."""
-    windows: list[list[tuple[int, int]]] = []
-    at, reached = 0, 0
-    while hit := TRIGGER.search(text, at):
-        start = end = hit.start()
-        while start > reached and text[start - 1] not in SPACE:
-            start -= 1
-        while end < len(text) and text[end] not in SPACE:
-            end += 1
-        before, edge = [], start
-        for _ in range(CONTEXT):
-            stop = edge
-            while stop > reached and text[stop - 1] in SPACE:
-                stop -= 1
-            begin = stop
-            while begin > reached and text[begin - 1] not in SPACE and stop - begin < LONGEST_TOKEN:
-                begin -= 1
-            if begin < stop:
-                before.insert(0, (begin, stop))
-            edge = begin
-        touching = bool(windows) and (not before or before[0][0] <= windows[-1][-1][1] + 1) and len(windows[-1]) < MOST_TOKENS
-        own = [*before, (start, end)]
-        if touching:
-            windows[-1].extend(t for t in own if t[0] >= windows[-1][-1][1])
+def tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Runs between ASCII white space, cut where a script without spaces begins or ends; runs of more than LONGEST_TOKEN
+    characters are cut at separators too."""
+    for run in RUN.finditer(text):
+        if run.end() - run.start() <= LONGEST_TOKEN:
+            yield run.span()
         else:
-            windows.append(own)
-        at = reached = end
-    for i, window in enumerate(windows):  # what follows, up to the next window
-        edge, limit = window[-1][1], windows[i + 1][0][0] if i + 1 < len(windows) else len(text)
-        for _ in range(CONTEXT):
-            while edge < limit and text[edge] in SPACE:
-                edge += 1
-            stop = edge
-            while stop < limit and text[stop] not in SPACE and stop - edge < LONGEST_TOKEN:
-                stop += 1
-            if edge < stop:
-                window.append((edge, stop))
-            edge = stop
-    return windows
+            yield from (piece.span() for piece in PIECE.finditer(text, *run.span()))
+
+
+def windows_around(text: str, margin: int = 0) -> Iterator[tuple[list[tuple[int, int]], int, int]]:
+    """Windows (tokens, first, end) of tokens with a digit or ``@`` and CONTEXT tokens on either side; windows that touch
+    are one. A window of more than MOST_TOKENS is cut in parts that overlap by ``margin`` tokens on either side; tokens from
+    ``first`` to ``end`` belong to the part, so each token belongs to one."""
+    if not TRIGGER.search(text):
+        return
+    window: list[tuple[int, int]] = []
+    waiting: list[tuple[int, int]] = []
+    first, after = 0, CONTEXT
+    for token in tokens(text):
+        if TRIGGER.search(text, *token):
+            window += [*waiting, token]
+            waiting, after = [], 0
+        elif after < CONTEXT:
+            window.append(token)
+            after += 1
+        else:
+            waiting.append(token)
+            if len(waiting) > CONTEXT:
+                del waiting[0]
+                if len(window) > first:
+                    yield window, first, len(window)
+                window, first = [], 0
+        while len(window) >= first + MOST_TOKENS + margin + CONTEXT:
+            end = first + MOST_TOKENS
+            yield window[:end + margin], first, end
+            window, first = window[end - margin:], margin
+    if len(window) > first:
+        yield window, first, len(window)
 
 
 def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
@@ -141,7 +147,7 @@ SHAPE = str.maketrans({**{chr(c): "9" for c in range(48, 58)}, **{chr(c): "A" fo
 def shape(token: str) -> str:
     """Letters as a or A, digits as 9, runs with their length up to 16 digits; other letters as a."""
     if len(token) > LONGEST_TOKEN:
-        return "long"
+        return "long" if TRIGGER.search(token) else "a"
     flat = "".join("a" if ord(c) > 127 and c.isalpha() else c for c in token.translate(SHAPE))
     return re.sub(r"9+", lambda m: f"9{min(len(m.group()), 20)}", re.sub(r"([aA])[aA]*", r"\1", flat))
 
@@ -260,7 +266,7 @@ def tags_of(windows: list[tuple[int, int]], spans: list[tuple[str, int, int]]) -
 def examples(text: str) -> list[tuple[list[str], list[int]]]:
     """Labelled windows of one text, with rewritten copies. Draws follow from a checksum of the window."""
     spans, out = base_spans(text), []
-    for window in tokens_around(text):
+    for window, _, _ in windows_around(text):
         words, tags = [text[s:e] for s, e in window], tags_of(window, spans)
         rng = np.random.default_rng(zlib.crc32(" ".join(words).encode()))
         numbers = ["7", "42", "350", "2019", "48213", "730154", "3.14", "12:30", "2021-05-03", "1.2.3", "99%", "4,500", "v2.0", "10.5.", "(1998)", "1/2", "25-30", "#17"]
@@ -321,30 +327,58 @@ def fits(kind: str, text: str) -> bool:
     return "@" in text if kind == "email" else 7 <= len(digits) <= 15
 
 
-def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], field: Field) -> list[list[tuple[str, int, int]]]:
-    """Spans of the field that touch no base span."""
-    windows, owners = [], []
-    for i, text in enumerate(texts):
-        for window in tokens_around(text):
-            windows.append([trimmed(text, *t) for t in window])
-            owners.append(i)
+def apart(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the spans cover."""
+    starts, ends = [], []
+    for _, start, end in sorted(spans, key=lambda s: s[1]):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def spans_of(window: list[tuple[int, int]], tags: list[int], first: int, end: int) -> list[tuple[str, int, int]]:
+    """Spans that begin with one of the tokens from ``first`` to ``end``."""
+    spans: list[tuple[int, str, int, int]] = []
+    open_kind = None
+    for at, ((begin, stop), tag) in enumerate(zip(window, tags)):
+        kind = TAGS[tag][2:] if tag else None
+        if kind and (tag % 2 == 1 or kind != open_kind):
+            spans.append((at, kind, begin, stop))
+        elif kind:
+            spans[-1] = (*spans[-1][:3], stop)
+        open_kind = kind
+    return [span[1:] for span in spans if first <= span[0] < end]
+
+
+def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], field: Field, at_once: int = 2048) -> list[list[tuple[str, int, int]]]:
+    """Spans of the field that touch no base span, nor one before that begins in another part of their window. Windows are
+    decoded ``at_once``, so that work space does not follow the texts."""
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    if not windows:
-        return out
-    decoded = field.decode([features([texts[i][s:e] for s, e in w]) for w, i in zip(windows, owners)])
-    for window, i, tags in zip(windows, owners, decoded):
-        spans: list[list] = []
-        open_kind = None
-        for (start, end), tag in zip(window, tags):
-            kind = TAGS[tag][2:] if tag else None
-            if kind and (tag % 2 == 1 or kind != open_kind):
-                spans.append([kind, start, end])
-            elif kind:
-                spans[-1][2] = end
-            open_kind = kind
-        for kind, start, end in spans:
-            if start < end and fits(kind, texts[i][start:end]) and not any(s < end and start < e for _, s, e in base[i]):
-                out[i].append((kind, start, end))
+    covered = [apart(own) for own in base]
+
+    def decode(some: list[tuple[int, list[tuple[int, int]], int, int]]) -> None:
+        tagged = field.decode([features([texts[i][s:e] for s, e in window]) for i, window, _, _ in some])
+        for (i, window, first, end), tags in zip(some, tagged):
+            starts, ends = covered[i]
+            for kind, start, stop in spans_of(window, tags, first, end):
+                if start >= stop or not fits(kind, texts[i][start:stop]):
+                    continue
+                before = bisect_left(starts, stop) - 1
+                if (before < 0 or ends[before] <= start) and (not out[i] or out[i][-1][2] <= start):
+                    out[i].append((kind, start, stop))
+
+    waiting = []
+    for i, text in enumerate(texts):
+        for window, first, end in windows_around(text, MARGIN):
+            waiting.append((i, [trimmed(text, *t) for t in window], first, end))
+            if len(waiting) == at_once:
+                decode(waiting)
+                waiting = []
+    if waiting:
+        decode(waiting)
     return out
 
 

@@ -167,8 +167,7 @@ def op7_context_mixing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by the rules, or else by naive Bayes over the words of host and path."""
     pages = table(spark, sf_dir, "pages")
-    words = url_words.word_model(url_words.word_frequencies(pages), url_words.LABELLED)
-    return url_words.judge(pages, url_words.train(words, url_words.LABELLED), url_words.RULES)
+    return url_words.judge(pages, url_words.fit(pages), url_words.RULES)
 
 
 @CATALOG.add("op9_pairwise_quality")

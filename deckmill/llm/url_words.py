@@ -2,13 +2,21 @@
 
 Rules come first: the longest rule whose host is the URL's host or a parent of it and whose path starts the URL's path.
 Where none fits, the host's labels and the path are split into words: each run of letters is cut where the product of
-unigram probabilities is greatest (unknown pieces pay for each letter). A multinomial naive Bayes, trained on a small
-labelled table of names, scores these words; the verdict is block where the log odds pass ``odds``.
+unigram probabilities is greatest (unknown pieces pay for each letter). A multinomial naive Bayes scores these words; the
+verdict is block where the log odds pass ``odds``.
 
-Frequencies are counted over the text of all pages, and only the ``most_words`` most frequent words go to the tasks.
+The classifier learns from the URLs that a rule judges, with the rule's verdict as label, and from a small table of names.
+A word counts once for each host it stands with, so that one large site says no more than a small one. The words of the
+rules themselves are silent: the labels were made from them. The prior is a parameter, as the rules cover no fair share of
+the web: by default a URL is blocked on evidence only.
+
+Frequencies are counted over the text, hosts and paths of all pages. Words of up to 24 letters that occur 3 times or more
+are kept; where these are more than ``most_words``, those above a count that a histogram of the counts gives. Only kept
+words reach the driver and the tasks; other pieces say nothing.
 
 Edge cases: a null URL, or one without ``://``, has an empty host and path and is allowed (no word speaks against it);
-rows that repeat are judged alike; without pages only the labelled names are known words.
+rows that repeat are judged alike and learnt once; null texts are empty; without pages, or where no rule fits, only the
+labelled names are known.
 """
 
 from __future__ import annotations
@@ -23,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deckmill.llm.common import by_value, map_arrow
+from deckmill.llm.common import by_value, map_arrow, stored
 
 # fixed values: the labelled names
 BLOCKED_NAMES = """adult-video ad-server banner-ads bet-win bets-online bingo-win bonus-casino cash-loan
@@ -93,21 +101,30 @@ class Words:
         return out[::-1]
 
 
-def word_frequencies(pages: DataFrame, most_words: int = 50_000, text_column: str = "html") -> dict[str, int]:
-    """The most frequent words of the text of all pages; each task adds up its own before the shuffle."""
+def word_frequencies(pages: DataFrame, most_words: int = 50_000, text_column: str = "html", url_column: str = "url") -> dict[str, int]:
+    """The most frequent words of the text and the URLs of all pages; each task adds up its own before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
-            for html in batch.column(0).to_pylist():
-                counts.update(w for w in RUN.findall(TAGS.sub(" ", html).lower()) if len(w) <= LONGEST_WORD)
+            for html, host, path in zip(*(column.to_pylist() for column in batch.columns)):
+                counts.update(w for part in (TAGS.sub(" ", html), host, path) for w in RUN.findall(part.lower()) if len(w) <= LONGEST_WORD)
             if len(counts) > 500_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
                 counts.clear()
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
-    found = map_arrow(pages.select(F.coalesce(text_column, F.lit("")).alias("html")), run, "word string, n long")
-    rows = found.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= SMALLEST_COUNT).orderBy(F.desc("n"), "word").limit(most_words).toPandas()
-    return dict(zip(rows["word"], rows["n"].astype(int)))
+    host, path = host_and_path(pages[url_column])
+    found = map_arrow(pages.select(F.coalesce(pages[text_column], F.lit("")).alias("html"), host.alias("host"), path.alias("path")), run, "word string, n long")
+    counted = stored(found.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= SMALLEST_COUNT), "url-words")
+    level = F.floor(F.log2("n") * 8).cast("int")
+    taken, least = 0, None
+    for row in sorted(counted.groupBy(level.alias("level")).count().collect(), reverse=True):  # at most 8 levels a bit
+        taken += row["count"]
+        if taken > most_words:
+            break
+        least = row["level"]
+    kept = counted.where(level >= F.lit(least) if least is not None else F.lit(False)).toPandas()
+    return dict(zip(kept["word"], kept["n"].astype(int)))
 
 
 def word_model(counts: dict[str, int], labelled: Sequence[tuple[str, str]]) -> Words:
@@ -136,18 +153,63 @@ class Bayes:
         return self.prior + sum(self.odds.get(t, 0.0) for t in self.tokens(host, path))
 
 
-def train(words: Words, labelled: Sequence[tuple[str, str]], smoothing: float = 0.5, prior: float = -1.0) -> Bayes:
-    """Multinomial naive Bayes over the split words of the labelled names. A word of neither kind says nothing."""
+def rule_words(rules: Sequence[tuple[str, str, str]]) -> frozenset[str]:
+    return frozenset(w for name, start, _ in rules for w in RUN.findall(f"{name} {start}".lower()))
+
+
+def ruled_words(pages: DataFrame, words: Words, rules: Sequence[tuple[str, str, str]] = RULES, url_column: str = "url") -> dict[str, tuple[int, int]]:
+    """For each known word, the number of hosts that it stands with in blocked and in allowed URLs, as the rules judge them."""
+    silent, model = rule_words(rules), Bayes(words, 0.0, {})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = set()
+            for host, path, verdict in zip(*(column.to_pylist() for column in batch.columns)):
+                seen.update((w, host, verdict) for w in model.tokens(host, path) if w in words.logs and w not in silent)
+            rows = list(zip(*seen)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(column), pa.string()) for column in rows], ["word", "host", "verdict"])
+
+    host, path = host_and_path(pages[url_column])
+    parts = pages.select(host.alias("host"), path.alias("path"))
+    ruled = parts.select("host", "path", rule_of(F.col("host"), F.col("path"), rules)["verdict"].alias("verdict")).where(F.col("verdict").isNotNull())
+    per_host = map_arrow(ruled, run, "word string, host string, verdict string").distinct()
+    sums = per_host.groupBy("word").agg(F.count_if(F.col("verdict") == "block").alias("blocked"), F.count_if(F.col("verdict") == "allow").alias("allowed")).toPandas()
+    return {w: (int(b), int(a)) for w, b, a in zip(sums["word"], sums["blocked"], sums["allowed"])}
+
+
+def train(words: Words, labelled: Sequence[tuple[str, str]], smoothing: float = 0.5, prior: float = -1.0,
+          ruled: dict[str, tuple[int, int]] | None = None) -> Bayes:
+    """Multinomial naive Bayes over the split words of the labelled names and of the URLs that rules judge. A word of
+    neither kind says nothing."""
     model = Bayes(words, prior, {})
     counts = {"block": Counter(), "allow": Counter()}
     for name, kind in labelled:
         counts[kind].update(model.tokens(name, ""))
+    for word, (blocked, allowed) in (ruled or {}).items():
+        counts["block"][word] += blocked
+        counts["allow"][word] += allowed
     vocabulary = set(counts["block"]) | set(counts["allow"])
     totals = {kind: sum(c.values()) + smoothing * len(vocabulary) for kind, c in counts.items()}
     model.odds = {w: math.log((counts["block"][w] + smoothing) / totals["block"]) - math.log((counts["allow"][w] + smoothing) / totals["allow"]) for w in vocabulary}
     return model
 
 
+def fit(pages: DataFrame, labelled: Sequence[tuple[str, str]] = LABELLED, rules: Sequence[tuple[str, str, str]] = RULES, most_words: int = 50_000) -> Bayes:
+    """Words, and what the URLs judged by rules say about them, of all pages."""
+    words = word_model(word_frequencies(pages, most_words), labelled)
+    return train(words, labelled, ruled=ruled_words(pages, words, rules))
+
+
+def agreement(pages: DataFrame, labelled: Sequence[tuple[str, str]] = LABELLED, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
+    """(verdict, by_words, n): what the rules and the words say of the URLs of every fifth host, by checksum, when learning
+    from those of the other hosts."""
+    host, _ = host_and_path(pages["url"])
+    held_out = F.crc32(host) % 5 == 0
+    model = fit(pages.where(~held_out), labelled, rules)
+    judged = judge(pages.where(held_out), model, rules).where(F.col("rule").isNotNull())
+    return judged.groupBy("verdict", F.when(F.col("score") > 0, "block").otherwise("allow").alias("by_words")).agg(F.count("*").alias("n"))
+
+
 def judge(pages: DataFrame, model: Bayes, rules: Sequence[tuple[str, str, str]] = RULES, odds: float = 0.0,
           id_column: str = "page_id", url_column: str = "url") -> DataFrame:
     """(page_id, host, path, rule, verdict, score, words) of every URL. A batch splits each host once."""

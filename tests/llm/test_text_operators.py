@@ -1,6 +1,7 @@
 """Ids, personal data, decontamination, fingerprints, quality and language-model scores against brute force."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -108,6 +109,65 @@ def test_field_adds_what_patterns_drop(spark, docs):
     assert row["n_phone"] == 0 and {("phone", 9, 9 + len(phone)), ("card", 10 + len(phone), 10 + len(phone) + len(card))} == spans
 
 
+@pytest.fixture(scope="module")
+def personal_field(docs):
+    rng = random.Random(6)
+
+    def entity(kind):
+        number = rng.randrange(10**14, 10**15)
+        return {"phone": f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}", "card": next(f"{number}{d}" for d in range(10) if pii.luhn(f"{number}{d}")),
+                "ip": ".".join(str(rng.randrange(256)) for _ in range(4)), "email": f"ab.{rng.randrange(99)}@mail{rng.randrange(9)}.example.com"}[kind]
+    kinds = ["phone", "card", "ip", "email"]
+    return pii.train(docs([(i, f"the {rng.choice('abc')} of {entity(kinds[i % 4])} and in {rng.randrange(3000)} to", "a") for i in range(300)]))
+
+
+@pytest.mark.parametrize("before, after", [(" ".join(["x1"] * n) + " ", " x1 x1") for n in (0, 5, 44, 45, 46, 47, 48, 49, 67, 68, 94, 95, 96, 97, 143, 500)]
+                         + [("漢" * 80, "字" * 80), ("漢" * 80 + " ", " " + "字" * 80), ("ไทย" * 40, "ไทย" * 40), ("x" * 90 + ",", ";" + "y" * 90)])
+def test_spans_are_whole_wherever_windows_part(personal_field, before, after):
+    phone, card = "+1 (663) 555-6869", "4465758382889437"
+    text, at = f"{before}{phone} {card}{after}", len(before)
+    own = pii.base_spans(text)
+    found = pii.added_spans([text], [own], personal_field)[0]
+    assert {("phone", at, at + 17), ("card", at + 18, at + 34)} == {*own, *found}
+
+
+def test_window_parts_hold_each_token_once():
+    rng = random.Random(8)
+    for _ in range(300):
+        text = " ".join(rng.choice(["7", "a@b", "w", "word", "漢字9", "漢"]) if rng.random() < 0.6 else rng.choice(["w", "v", "u"]) for _ in range(rng.randrange(400)))
+        every = list(pii.tokens(text))
+        near = {j for i, t in enumerate(every) if pii.TRIGGER.search(text, *t) for j in range(max(0, i - pii.CONTEXT), min(len(every), i + pii.CONTEXT + 1))}
+        for margin in (0, pii.MARGIN):
+            parts = list(pii.windows_around(text, margin))
+            assert [t for window, first, end in parts for t in window[first:end]] == [every[j] for j in sorted(near)]
+            assert all(0 <= first <= margin and end - first <= pii.MOST_TOKENS + margin + pii.CONTEXT and len(window) - end <= margin for window, first, end in parts)
+
+
+def test_viterbi_and_gradient_equal_enumeration(monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(pii, "FEATURES", 6)
+    field = pii.Field(rng.normal(size=(6, pii.N_TAGS)), rng.normal(size=(pii.N_TAGS, pii.N_TAGS)), rng.normal(size=pii.N_TAGS))
+    windows = [rng.integers(0, 6, (n, 2)).tolist() for n in (1, 2, 3, 4, 4, 2)]
+
+    def score(field, window, path):
+        return sum(field.emit[f, t] for own, t in zip(window, path) for f in own) + field.first[path[0]] + sum(field.step[a, b] for a, b in zip(path, path[1:]))
+
+    for window, path in zip(windows, field.decode(windows)):
+        assert tuple(path) == max(itertools.product(range(pii.N_TAGS), repeat=len(window)), key=lambda p: score(field, window, p))
+    # One step of training from zero moves each weight by rate * slope / |slope|: its sign is that of the enumerated slope.
+    short, gold = windows[:4], [[1], [0, 3], [1, 2, 0], [0, 0, 5, 6]]
+    flat = pii.Field(np.zeros((6, pii.N_TAGS)), np.zeros((pii.N_TAGS, pii.N_TAGS)), np.zeros(pii.N_TAGS))
+    slope = np.zeros_like(flat.step)
+    for window, own in zip(short, gold):
+        for a, b in zip(own, own[1:]):
+            slope[a, b] += 1
+        paths = list(itertools.product(range(pii.N_TAGS), repeat=len(window)))
+        for path in paths:
+            for a, b in zip(path, path[1:]):
+                slope[a, b] -= 1 / len(paths)
+    assert (np.sign(pii.train_field(short, gold, rounds=1).step) == np.sign(slope)).all()
+
+
 # ---- benchmark items
 def test_copied_and_reworded_items_are_found(spark, docs):
     rng = random.Random(9)

@@ -1,5 +1,8 @@
 """Revisits and URL words."""
 
+import itertools
+import random
+
 from pyspark.sql import functions as F
 
 from deckmill.llm import revisits, url_words
@@ -69,6 +72,50 @@ def test_rules_and_words(spark):
     assert url_words.word_frequencies(empty) == {} and url_words.judge(empty, model).count() == 0
 
 
+def test_segmentation_equals_enumeration():
+    rng = random.Random(5)
+    logs = {"".join(rng.choice("abc") for _ in range(rng.randrange(1, 5))): -rng.random() * 9 for _ in range(40)}
+    words = url_words.Words(logs, -11.0, -1.5)
+
+    def log(word):
+        return logs.get(word, words.unknown + words.letter * len(word))
+    for _ in range(200):
+        run = "".join(rng.choice("abcd") for _ in range(rng.randrange(1, 10)))
+        cuts = [[0, *c, len(run)] for k in range(len(run)) for c in itertools.combinations(range(1, len(run)), k)]
+        best = max(sum(log(run[a:b]) for a, b in zip(c, c[1:])) for c in cuts)
+        found = words.split(run)
+        assert "".join(found) == run and abs(sum(map(log, found)) - best) < 1e-9
+
+
+def test_words_are_learnt_from_ruled_urls(spark):
+    rng = random.Random(2)
+    bad, good = ["zorvan", "quilpe", "drastol", "mirkut"], ["falden", "bromis", "tesluk", "wendor"]
+    rules = [("net", "/", "block"), ("edu", "/", "allow")]
+
+    def url(i, names, ends):
+        return f"https://{rng.choice(names)}{rng.choice(names)}{chr(97 + i % 26)}.{ends}/{rng.choice(names)}/{i}"
+    rows = [(i, url(i, bad, "net") if i % 2 else url(i, good, "edu"), f"<p>{bad[i % 4]} {good[i % 4]}") for i in range(300)]
+    rows += [(300 + i, "https://bromiswendor.net/", None) for i in range(400)]  # one large site says no more than a small one
+    rows += [(900, "https://quilpezorvan.org/", "x"), (901, "https://tesluk-falden.org/mirkut", None), (902, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"host": F.lit("h"), "word": F.lit("w"), "n": F.lit("n")})
+    model = url_words.fit(pages, [], rules)
+    verdicts = {r["page_id"]: (r["verdict"], r["words"]) for r in url_words.judge(pages, model, rules).where("page_id >= 900").collect()}
+    assert verdicts == {900: ("block", "quilpe zorvan org"), 901: ("allow", "tesluk falden org mirkut"), 902: ("allow", "")}
+    assert not {"net", "edu"} & set(model.odds)
+    # hosts per word, counted plainly
+    want = {}
+    for _, u, _ in rows[:-3]:
+        host, path = u[8:].split("/", 1)
+        for word in model.tokens(host, path):
+            if word in model.words.logs and word not in ("net", "edu"):
+                want.setdefault(word, (set(), set()))[u.split("/")[2].endswith("edu")].add(host)
+    assert url_words.ruled_words(pages, model.words, rules) == {w: (len(b), len(a)) for w, (b, a) in want.items()}
+    table = {(r["verdict"], r["by_words"]): r["n"] for r in url_words.agreement(pages.where("page_id < 300"), [], rules).collect()}
+    assert sum(n for (rule, own), n in table.items() if rule == own) >= 0.95 * sum(table.values()) > 0
+    few = url_words.word_frequencies(pages, most_words=5)
+    assert 0 < len(few) <= 5 and min(few.values()) >= 3
+
+
 def test_tracking_parameters_in_a_row_go_in_operator_and_sql(spark, tmp_path):
     import duckdb
 
