@@ -6,9 +6,10 @@ unigram probabilities is greatest (unknown pieces pay for each letter). A multin
 verdict is block where the log odds pass ``odds``.
 
 The classifier learns from the URLs that a rule judges, with the rule's verdict as label, and from a small table of names.
-A word counts once for each host it stands with, so that one large site says no more than a small one. The words of the
-rules themselves are silent: the labels were made from them. The prior is a parameter, as the rules cover no fair share of
-the web: by default a URL is blocked on evidence only.
+A word counts once for each host it stands with, so that one large site says no more than a small one. Nothing is learnt
+from the parts that rules look at (as many of the last labels and first path segments as the longest rule names), as the
+labels were made from them. The prior is a parameter, because the rules cover no fair share of the web: by default a URL is
+blocked on evidence only.
 
 Frequencies are counted over the text, hosts and paths of all pages. Words of up to 24 letters that occur 3 times or more
 are kept; where these are more than ``most_words``, those above a count that a histogram of the counts gives. Only kept
@@ -153,26 +154,30 @@ class Bayes:
         return self.prior + sum(self.odds.get(t, 0.0) for t in self.tokens(host, path))
 
 
-def rule_words(rules: Sequence[tuple[str, str, str]]) -> frozenset[str]:
-    return frozenset(w for name, start, _ in rules for w in RUN.findall(f"{name} {start}".lower()))
+def unseen_by_rules(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
+    """Host and path without as many last labels and first segments as the longest rule names."""
+    labels = max((name.count(".") + 1 for name, _, _ in rules), default=0)
+    segments = max((len([part for part in start.split("/") if part]) for _, start, _ in rules), default=0)
+    return F.regexp_replace(host, rf"(^|\.)[^.]*(\.[^.]*){{0,{labels - 1}}}$" if labels else r"$^", ""), F.regexp_replace(path, rf"^(/[^/]*){{0,{segments}}}", "")
 
 
 def ruled_words(pages: DataFrame, words: Words, rules: Sequence[tuple[str, str, str]] = RULES, url_column: str = "url") -> dict[str, tuple[int, int]]:
     """For each known word, the number of hosts that it stands with in blocked and in allowed URLs, as the rules judge them."""
-    silent, model = rule_words(rules), Bayes(words, 0.0, {})
+    model = Bayes(words, 0.0, {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = set()
-            for host, path, verdict in zip(*(column.to_pylist() for column in batch.columns)):
-                seen.update((w, host, verdict) for w in model.tokens(host, path) if w in words.logs and w not in silent)
+            for host, labels, path, verdict in zip(*(column.to_pylist() for column in batch.columns)):
+                seen.update((w, host, verdict) for w in model.tokens(labels, path) if w in words.logs)
             rows = list(zip(*seen)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(list(column), pa.string()) for column in rows], ["word", "host", "verdict"])
 
     host, path = host_and_path(pages[url_column])
     parts = pages.select(host.alias("host"), path.alias("path"))
-    ruled = parts.select("host", "path", rule_of(F.col("host"), F.col("path"), rules)["verdict"].alias("verdict")).where(F.col("verdict").isNotNull())
-    per_host = map_arrow(ruled, run, "word string, host string, verdict string").distinct()
+    labels, segments = unseen_by_rules(F.col("host"), F.col("path"), rules)
+    ruled = parts.select("host", labels.alias("labels"), segments.alias("path"), rule_of(F.col("host"), F.col("path"), rules)["verdict"].alias("verdict"))
+    per_host = map_arrow(ruled.where(F.col("verdict").isNotNull()), run, "word string, host string, verdict string").distinct()
     sums = per_host.groupBy("word").agg(F.count_if(F.col("verdict") == "block").alias("blocked"), F.count_if(F.col("verdict") == "allow").alias("allowed")).toPandas()
     return {w: (int(b), int(a)) for w, b, a in zip(sums["word"], sums["blocked"], sums["allowed"])}
 
@@ -194,10 +199,11 @@ def train(words: Words, labelled: Sequence[tuple[str, str]], smoothing: float =
     return model
 
 
-def fit(pages: DataFrame, labelled: Sequence[tuple[str, str]] = LABELLED, rules: Sequence[tuple[str, str, str]] = RULES, most_words: int = 50_000) -> Bayes:
+def fit(pages: DataFrame, labelled: Sequence[tuple[str, str]] = LABELLED, rules: Sequence[tuple[str, str, str]] = RULES,
+        most_words: int = 50_000, prior: float = -2.0) -> Bayes:
     """Words, and what the URLs judged by rules say about them, of all pages."""
     words = word_model(word_frequencies(pages, most_words), labelled)
-    return train(words, labelled, ruled=ruled_words(pages, words, rules))
+    return train(words, labelled, prior=prior, ruled=ruled_words(pages, words, rules))
 
 
 def agreement(pages: DataFrame, labelled: Sequence[tuple[str, str]] = LABELLED, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:

@@ -90,24 +90,29 @@ def test_segmentation_equals_enumeration():
 def test_words_are_learnt_from_ruled_urls(spark):
     rng = random.Random(2)
     bad, good = ["zorvan", "quilpe", "drastol", "mirkut"], ["falden", "bromis", "tesluk", "wendor"]
-    rules = [("net", "/", "block"), ("edu", "/", "allow")]
+    rules = [("net", "/a/", "block"), ("edu", "/", "allow")]
 
     def url(i, names, ends):
-        return f"https://{rng.choice(names)}{rng.choice(names)}{chr(97 + i % 26)}.{ends}/{rng.choice(names)}/{i}"
+        return f"https://{rng.choice(names)}{rng.choice(names)}{chr(97 + i % 26)}.{ends}/a/{rng.choice(names)}/{i}"
     rows = [(i, url(i, bad, "net") if i % 2 else url(i, good, "edu"), f"<p>{bad[i % 4]} {good[i % 4]}") for i in range(300)]
-    rows += [(300 + i, "https://bromiswendor.net/", None) for i in range(400)]  # one large site says no more than a small one
+    rows += [(300 + i, "https://bromiswendor.net/a/", None) for i in range(400)]  # one large site says no more than a small one
     rows += [(900, "https://quilpezorvan.org/", "x"), (901, "https://tesluk-falden.org/mirkut", None), (902, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"host": F.lit("h"), "word": F.lit("w"), "n": F.lit("n")})
     model = url_words.fit(pages, [], rules)
     verdicts = {r["page_id"]: (r["verdict"], r["words"]) for r in url_words.judge(pages, model, rules).where("page_id >= 900").collect()}
     assert verdicts == {900: ("block", "quilpe zorvan org"), 901: ("allow", "tesluk falden org mirkut"), 902: ("allow", "")}
     assert not {"net", "edu"} & set(model.odds)
+    parts = spark.createDataFrame([("b.c.net", "/a/de/f", "b.c", "/de/f"), ("net", "", "", ""), ("", "a/b", "", "a/b"), ("x.net", "/a", "x", "")], "host string, path string, h string, p string")
+    cut = url_words.unseen_by_rules(parts["host"], parts["path"], rules)
+    assert parts.where((cut[0] != parts["h"]) | (cut[1] != parts["p"])).count() == 0
+    two = url_words.unseen_by_rules(parts["host"], parts["path"], [("c.net", "/a/de/", "block")])
+    assert [tuple(r) for r in parts.select(*two).collect()] == [("b", "/f"), ("", ""), ("", "a/b"), ("", "")]
     # hosts per word, counted plainly
     want = {}
     for _, u, _ in rows[:-3]:
-        host, path = u[8:].split("/", 1)
-        for word in model.tokens(host, path):
-            if word in model.words.logs and word not in ("net", "edu"):
+        host, path = u[8:].split("/a/", 1)
+        for word in model.tokens(host[:-4], path):
+            if word in model.words.logs:
                 want.setdefault(word, (set(), set()))[u.split("/")[2].endswith("edu")].add(host)
     assert url_words.ruled_words(pages, model.words, rules) == {w: (len(b), len(a)) for w, (b, a) in want.items()}
     table = {(r["verdict"], r["by_words"]): r["n"] for r in url_words.agreement(pages.where("page_id < 300"), [], rules).collect()}
