@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["web", "texts", "copies", "feeds", "binary", "watching"]
+MODULES = ["web", "texts", "copies", "feeds", "binary", "watching", "folders"]
 
 
 def registered() -> dict:

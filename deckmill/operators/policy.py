@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deckmill import fixed_values as fv
+from deckmill.functions import terms
 from deckmill.functions import text as tx
 from deckmill.functions import urls
 from deckmill.operators import scale
@@ -103,9 +104,8 @@ def block_reason_by_join(df: DataFrame, url_col: str, policy: DataFrame, spread_
     staged = df.withColumn("__host", urls.authority(F.col(url_col)))
     hosts = staged.where(F.col("__host") != "").groupBy("__host").agg(F.count("*").alias("__n"))
     listed = policy.select("rule", F.lower("value").alias("value")).where(F.col("rule").isin(rules) & (F.col("value") != ""))
-    suffix_rows = scale.small_table(listed.where(F.col("rule") == "tld").select("value").distinct())
-    if suffix_rows is None:
-        raise ValueError("more suffixes than there are top-level domains: list them as domains")
+    suffixes = listed.where(F.col("rule") == "tld").select("value").distinct()
+    suffix_rows = scale.small_table(suffixes)
     entries = (listed.where(F.col("rule") != "tld").groupBy("value")
                .agg(F.min(F.element_at(order, F.col("rule"))).alias("__order")))
     labels = F.split(F.col("__host"), r"\.")
@@ -117,6 +117,8 @@ def block_reason_by_join(df: DataFrame, url_col: str, policy: DataFrame, spread_
     met = keys.groupBy("value").agg(F.count("*").alias("__m")).join(entries, "value")
     hits = (scale.attach(keys, met, ["value"], "__m", ["__host"]).where(F.col("__order").isNotNull())
             .select("__host", "__order"))
+    if suffix_rows is None:
+        hits = hits.unionByName(_hosts_ending_so(hosts, suffixes).select("__host", F.lit(rules.index("tld")).alias("__order")))
     tests = []
     if suffix_rows:
         tests.append((urls.ends_with_any(F.col("__host"), [r.value for r in suffix_rows]), "tld"))
@@ -130,6 +132,20 @@ def block_reason_by_join(df: DataFrame, url_col: str, policy: DataFrame, spread_
     return scale.attach(staged, facts, ["__host"], "__n", spread_on).drop("__host", "__n")
 
 
+def _hosts_ending_so(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """Hosts that end with one of many suffixes: equality on the ends of a host, for each length that suffixes have. A host
+    has no more ends than characters, so the lengths that matter are few."""
+    longest = hosts.agg(F.max(F.length("__host"))).first()[0] or 0
+    sized = suffixes.select("value", F.length("value").alias("__len")).where(F.col("__len") <= longest)
+    lengths = sorted(r[0] for r in sized.select("__len").distinct().collect())  # at most the length of a host
+    if not lengths:
+        return hosts.select("__host").limit(0)
+    ends = F.transform(F.array(*[F.lit(n) for n in lengths]), lambda n: F.when(n <= F.length("__host"), F.right(F.col("__host"), n)))
+    keys = hosts.select("__host", F.explode(F.array_compact(ends)).alias("value"))
+    met = keys.groupBy("value").agg(F.count("*").alias("__m")).join(sized.select("value", F.lit(True).alias("__hit")), "value")
+    return scale.attach(keys, met, ["value"], "__m", ["__host"]).where(F.col("__hit")).select("__host").distinct()
+
+
 def is_allowed(url: Column, policy: DomainPolicy) -> Column:
     return block_reason(url, policy).isNull()
 
@@ -155,8 +171,9 @@ def geo_allowed(lowered: Column, exclude_us: bool = True, require_english: bool
                 us_keywords: Sequence[str] = tuple(fv.US_KEYWORDS)) -> Column:
     """Jurisdiction and language rule on lower-cased title and abstract."""
     allowed = F.lit(True)
+    contains = tx.contains_any if len(set(us_keywords)) <= terms.FEW_TERMS else terms.contains_any_term
     if exclude_us:
-        allowed = allowed & ~tx.contains_any(lowered, us_keywords)
+        allowed = allowed & ~contains(lowered, us_keywords)
     if require_english:
         allowed = allowed & tx.looks_english(lowered)
     return allowed
@@ -164,11 +181,12 @@ def geo_allowed(lowered: Column, exclude_us: bool = True, require_english: bool
 
 def keyword_policy(df: DataFrame, columns: Sequence[str], keywords: Sequence[str],
                    name: str = "keyword_hit") -> DataFrame:
-    """Flag rows where any of the columns contains any keyword, ignoring case."""
+    """Flag rows where any of the columns contains any keyword, ignoring case. A long list is one automaton."""
+    contains = tx.contains_any if len(set(keywords)) <= terms.FEW_TERMS else terms.contains_any_term
     lowered = df.withColumns({f"__low_{c}": F.lower(F.coalesce(F.col(c), F.lit(""))) for c in columns})
     hit = F.lit(False)
     for c in columns:
-        hit = hit | tx.contains_any(F.col(f"__low_{c}"), keywords)
+        hit = hit | contains(F.col(f"__low_{c}"), keywords)
     return lowered.withColumn(name, hit).drop(*[f"__low_{c}" for c in columns])
 
 

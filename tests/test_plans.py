@@ -9,8 +9,8 @@ from deckmill.catalog import registered
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 QUERIES = {name: query for name, (query, _) in registered().items()}
-# Python runs only where bytes are parsed (or made from the given tables).
-PYTHON = {n for n in QUERIES if n.startswith(("deck_", "delivery_", "transfer_", "corpus_slide"))} | {"archive_payloads", "archive_records"}
+# Python runs only where bytes are parsed (or made from the given tables), and for the automaton of a long term list.
+PYTHON = {n for n in QUERIES if n.startswith(("deck_", "delivery_", "transfer_", "corpus_slide"))} | {"archive_payloads", "archive_records", "long_term_list"}
 
 
 def plan_of(df):
