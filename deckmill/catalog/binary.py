@@ -11,13 +11,14 @@ import io
 import struct
 import sys
 import zipfile
+from dataclasses import replace
 from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from deckmill.catalog.common import FILES, SLIDES, Catalog, heavy_files, longs, sql_any, sql_under, table
+from deckmill.catalog.common import FILES, SLIDES, Catalog, heavy_files, longs, sql_any, sql_count, sql_under, table
 from deckmill.config import DeliveryRules, IntegrityRules, QualityRules
 from deckmill.functions import names
 from deckmill.operators import dedup, quality, scale
@@ -383,3 +384,41 @@ def ingest_catalogue_route(spark, d):
     return ingest.ingest(p, none, known, ingest.catalogue_route(rules), ["page_id"]).select("page_id", "reason")
 
 
+_TOPIC = ("tiontion", "ing", "ouqu", "erung", "schaft", "ción")
+_CONTENT = f"""c AS (SELECT page_id, url, html, strlen(html) AS size, sha256(html) AS h, substr(sha1(html), 1, 10) AS tag, {sql_any('lower(url)', _WORDS)} AS words,
+    page_id % 9 <> 0 AS magic, len(regexp_extract_all(html, '[éèê]')) > 300 AS dense, {sql_count('lower(html)', _TOPIC)} >= 3 AS topical FROM pages)"""
+
+
+@CATALOG.add("ingest_dataset_contents", f"""WITH {_CONTENT},
+k AS (SELECT *, CASE WHEN words THEN 'blocked' WHEN tag IN (SELECT tag FROM c WHERE page_id % 40 = 3) THEN 'dup' WHEN size < 4000 THEN 'small'
+    WHEN h IN (SELECT h FROM c WHERE page_id % 20 = 1) THEN 'dup' WHEN NOT magic THEN 'invalid' WHEN dense THEN 'china' WHEN topical THEN 'blocked' END AS r FROM c),
+f AS (SELECT tag, min(page_id) AS first FROM k WHERE r IS NULL GROUP BY tag)
+SELECT page_id, CASE WHEN page_id > first AND coalesce(r, '') <> 'blocked' THEN 'dup' ELSE r END AS reason FROM k LEFT JOIN f USING (tag)""")
+def ingest_dataset_contents(spark, d):
+    """The dataset route over whole pages: contents are tagged, digested and screened for script and topic."""
+    p = _contents(spark, d).withColumn("tag", F.substring(F.sha1(F.encode("html", "UTF-8")), 1, 10)).drop("html")
+    route = ingest.IngestRoute(floor=4000, blocked_words=_WORDS, text_columns=("title", "category"), required=(), topic_terms=_TOPIC, tag="tag",
+                               cjk_pattern="[éèê]", cjk_limit=300)
+    seen = p.where(F.col("page_id") % 40 == 3).select("tag")
+    known = p.where(F.col("page_id") % 20 == 1).select("file_hash")
+    return ingest.ingest(p, seen, known, route, ["page_id"]).select("page_id", "reason")
+
+
+@CATALOG.add("ingest_catalogue_contents", f"""WITH {_CONTENT},
+k AS (SELECT *, CASE WHEN {sql_under("lower(split_part(url, '/', 3))", ['cheap-pills.example.com'])} OR ends_with(lower(split_part(url, '/', 3)), '.example.net') THEN 'blocked'
+  WHEN size < 4000 THEN 'small' WHEN NOT magic THEN 'invalid' WHEN h IN (SELECT h FROM c WHERE page_id % 20 = 1) THEN 'dup' WHEN dense THEN 'china' END AS r FROM c)
+SELECT page_id, CASE WHEN r IS NULL AND row_number() OVER (PARTITION BY r IS NULL, h ORDER BY page_id) > 1 THEN 'dup' ELSE r END AS reason FROM k""")
+def ingest_catalogue_contents(spark, d):
+    """The catalogue route over whole pages: equal contents count once, whatever their address."""
+    p = _contents(spark, d).drop("html")
+    rules = DomainPolicy(pirate=("cheap-pills.example.com",), tld=(".example.net",))
+    route = replace(ingest.catalogue_route(rules), floor=4000, cjk_pattern="[éèê]", cjk_limit=300)
+    known = p.where(F.col("page_id") % 20 == 1).select("file_hash")
+    none = p.where(F.lit(False)).select(F.col("url").alias("tag"))
+    return ingest.ingest(p, none, known, route, ["page_id"]).select("page_id", "reason")
+
+
+def _contents(spark, d):
+    return table(spark, d, "pages").select("page_id", "url", "html", F.col("url").alias("title"), F.lit("").alias("category"), F.lit("").alias("declared_length"),
+                                           F.octet_length("html").alias("file_size"), (F.col("page_id") % 9 != 0).alias("magic_ok"),
+                                           F.sha2("html", 256).alias("file_hash"), F.array("html").alias("parts"))

@@ -101,6 +101,19 @@ def flexible_dataset_columns(spark, d):
     return src.dataset_shards(spark, path).select("url", "record_id", "record_title", "record_category")
 
 
+@CATALOG.add("flexible_dataset_columns_all", """
+SELECT url, CASE WHEN page_id % 4 = 0 THEN 'f' || page_id ELSE CAST(page_id AS VARCHAR) END AS record_id,
+  CASE WHEN page_id % 3 = 0 THEN 'untitled' ELSE 'T' || page_id END AS record_title, lower(split_part(url, '/', 3)) AS record_category FROM pages""")
+def flexible_dataset_columns_all(spark, d):
+    """Every page, with a category column."""
+    path = scratch_path(spark, "shards")
+    i = F.col("page_id")
+    pages(spark, d).select("url", F.when(i % 4 != 0, i).alias("ID"), F.when(i % 4 == 0, F.concat(F.lit("f"), s("page_id"))).alias("file_id"),
+                           F.when(i % 3 == 0, "").otherwise(F.concat(F.lit("T"), s("page_id"))).alias("Title"),
+                           F.lower(F.split_part("url", F.lit("/"), F.lit(3))).alias("category")).write.parquet(path)
+    return src.dataset_shards(spark, path).select("url", "record_id", "record_title", "record_category")
+
+
 @CATALOG.add("dataset_row_numbers", "SELECT count(*) AS n, count(DISTINCT page_id) AS ids, 0 AS least FROM pages")
 def dataset_row_numbers(spark, d):
     got = src.dataset_shards(spark, f"{d}/pages.parquet")

@@ -325,6 +325,12 @@ def head_bytes_tag(spark, d):
     return table(spark, d, "pages").select("page_id", names.head_bytes_tag(F.encode(ascii_html, "UTF-8")).alias("tag"))
 
 
+@CATALOG.add("head_bytes_tag_raw", "SELECT page_id, substr(sha1(unhex(left(hex(encode(html)), 2000))), 1, 10) AS tag FROM pages")
+def head_bytes_tag_raw(spark, d):
+    """The first 1,000 bytes as they are, wherever a character is cut."""
+    return table(spark, d, "pages").select("page_id", names.head_bytes_tag(F.encode("html", "UTF-8")).alias("tag"))
+
+
 @CATALOG.add("safe_names", r"""
 SELECT doc_id, regexp_replace(substr(text, 1, 60), '[^\p{L}\p{N}_\-]', '_', 'g') AS slug,
   CASE WHEN length('dv_' || substr(text, 1, 240) || '.ppt') > 200 THEN substr('dv_' || substr(text, 1, 240) || '.ppt', 1, 190) || '.ppt'

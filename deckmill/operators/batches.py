@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deckmill.config import DeliveryRules
 from deckmill.functions import names
 from deckmill.operators import scale
+from deckmill.session import cut_lineage
 
 
 def medium_cap(high: int, rules: DeliveryRules = DeliveryRules()) -> int:
@@ -89,14 +90,16 @@ def source_quota(candidates: DataFrame, sources: Sequence[str], target: int, ord
                  source: str = "source") -> DataFrame:
     """Candidates kept under the per-source quota.
 
-    Only one count per listed source comes to the driver.
+    No source gives more than ``target`` rows, so the first ``target`` of each are taken in slices, in one pass over the
+    candidates; counts and numbers follow from these few rows. Only one count per listed source comes to the driver.
     """
     wanted = candidates.where(F.col(source).isin(list(sources)))
-    available = {r[source]: r["count"] for r in wanted.groupBy(source).count().collect()}
+    first = cut_lineage(scale.top_per_key(wanted, [source], order, target, order))
+    available = {r[source]: r["count"] for r in first.groupBy(source).count().collect()}
     taken = source_allocation(available, sources, target)
     cap = F.create_map(*[F.lit(x) for s in sources for x in (s, taken.get(s, 0))])
-    numbered = scale.number_in_group(wanted, [source], order, "source_seq", order)
-    return numbered.where(F.col("source_seq") <= F.element_at(cap, F.col(source)))
+    place = F.row_number().over(Window.partitionBy(source).orderBy(*order)).cast("bigint")  # over at most ``target`` rows
+    return first.withColumn("source_seq", place).where(F.col("source_seq") <= F.element_at(cap, F.col(source)))
 
 
 def cap_per_query(results: DataFrame, cap: int, order: Sequence[str | Column], spread_on: Sequence[str],
