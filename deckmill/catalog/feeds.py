@@ -193,6 +193,20 @@ def harvest_feed_links(spark, d):
     return src.harvest_links(pages(spark, d).select("page_id", body.alias("value")), keep=["page_id"])
 
 
+@CATALOG.add("harvest_dump_links", """
+SELECT unnest(['https://r.example.org/' || page_id || '.PPTX?seq=1', 'http://r.example.org/bitstream/1/' || page_id || '.pptx.txt']) AS link FROM pages WHERE page_id % 4 <> 0""")
+def harvest_dump_links(spark, d):
+    """All pages' records in few large responses, every fourth record malformed."""
+    path, i = scratch_path(spark, "harvest-dump"), s("page_id")
+    record = F.concat(
+        F.lit("<record><header><identifier>http://no.example.org/a.ppt</identifier></header>\n<metadata><oai:dc>\n<d:identifier> https://r.example.org/"), i,
+        F.lit(".PPTX?seq=1 </d:identifier><d:title>a &amp; b &lt;</d:title><d:relation>http://r.example.org/bitstream/1/"), i,
+        F.lit(".pptx.txt</d:relation><d:identifier>http://r.example.org/x.pdf</d:identifier><d:identifier>ftp://r/b.ppt</d:identifier>"),
+        F.when(F.col("page_id") % 4 == 0, "</oai:other>").otherwise("</oai:dc>"), F.lit("\n</metadata></record>"))
+    pages(spark, d).select(record).write.text(path)
+    return src.harvest_dump_links(spark, path)
+
+
 @CATALOG.add("sitemap_scan", "SELECT url FROM pages")
 def sitemap_scan(spark, d):
     path = scratch_path(spark, "sitemap")

@@ -212,6 +212,19 @@ def harvest_links(responses: DataFrame, xml: str = "value", keep: Sequence[str]
     return texts.where(is_harvest_link(F.col("link")))
 
 
+def harvest_dump_links(spark: SparkSession, paths: str | Sequence[str], record: str = "record") -> DataFrame:
+    """Deck links of harvest dumps of any size: files are split by records, so no task holds a whole response.
+
+    A malformed record is dropped, and the others of its file stay. Prefixes may be declared above the record.
+    """
+    ends = spark.read.option("lineSep", f"</{record}>").text(paths)
+    # A character that no XML text holds marks where records open, as other elements may begin with the same letters.
+    opened = F.regexp_replace("value", rf"<{record}(?=[\s>])", "\u0001")
+    records = ends.select(opened.alias("value")).where(F.contains("value", F.lit("\u0001")))
+    whole = F.concat(F.lit(f"<{record}"), F.substring_index("value", "\u0001", -1), F.lit(f"</{record}>"))
+    return harvest_links(records.select(whole.alias("value")))
+
+
 def is_harvest_link(text: Column) -> Column:
     low = F.lower(text)
     suffix = urls.ends_with_any(urls.without_query(low), fv.SHOW_SUFFIXES)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from deckmill.functions import terms
 from deckmill.functions import text as tx
-from deckmill.operators import policy, scale, suffixes
+from deckmill.operators import batches, policy, suffixes
 from deckmill.sinks import files
+from deckmill.sources import tables
 from deckmill.streaming import groups, watch
 
 RULES = ["com", "uk", "co.uk", "*.ck", "!www.ck", "*.kawasaki.jp", "!city.kawasaki.jp", "jp", "blogspot.com", " // nothing", "// more", ""]
@@ -117,3 +118,29 @@ def test_groups_are_full_whatever_arrives(spark, tmp_path):
     run(spark.createDataFrame([(1000, "y")] * 12, schema), 7)
     got = [r["group_no"] for r in groups.published(spark, out, schema).where("id = 1000").collect()]
     assert got == [7] * 10 and watch._part(spark, 3) == "3"
+
+
+def test_a_large_dump_is_split_by_record(spark, tmp_path):
+    good = "<record>\n<recordInfo/><metadata><dc><d:identifier>http://r.org/{}.pptx</d:identifier></dc></metadata></record>\n"
+    bad = "<record><metadata><dc><d:identifier>http://r.org/bad{}.pptx</d:identifier></metadata></record>\n"
+    text = "<OAI-PMH xmlns:d='e'><ListRecords>\n" + "".join((bad if i % 10 == 3 else good).format(i) + "<record id='1'><recordInfo>http://r.org/x.ppt</recordInfo></record><record/>" for i in range(3000)) + "</ListRecords></OAI-PMH>"
+    (tmp_path / "dump.xml").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "60000")
+    try:
+        found = tables.harvest_dump_links(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() >= 4
+        assert sorted(r.link for r in found.collect()) == sorted(f"http://r.org/{i}.pptx" for i in range(3000) if i % 10 != 3)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_source_quota_equals_counting_all(spark):
+    rng = random.Random(7)
+    for target in (1, 5, 20, 200):
+        rows = [(i, rng.choice(["a", "a", "a", "b", "c", None, "d"])) for i in range(120)]
+        df = spark.createDataFrame(rows, "path long, source string")
+        own = {s: [p for p, x in rows if x == s] for s in ("b", "a", "c")}
+        taken = batches.source_allocation({s: len(p) for s, p in own.items()}, ["b", "a", "c"], target)
+        got = batches.source_quota(df, ["b", "a", "c"], target, ["path"]).collect()
+        assert sorted((r.path, r.source_seq) for r in got) == sorted((p, n + 1) for s, k in taken.items() for n, p in enumerate(own[s][:k]))
