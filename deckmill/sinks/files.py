@@ -1,8 +1,10 @@
 """One file per row: sidecars beside their decks, or deck files themselves.
 
 A Python data source writer. Tasks write into a folder of the job's own; the files take their places only when all tasks are
-done, and a failed job leaves nothing behind. A task that ran twice wrote the same files twice under its own attempts, of
-which the finished one counts. A file that is there already is replaced, so that a repeated job leaves one copy.
+done, and a job with a failed task leaves nothing behind. A task that ran twice wrote the same files twice under its own
+attempts, of which the finished one counts. A file that is there already is replaced, so that a repeated job leaves one copy.
+Files are moved one by one: a driver lost while it moves them leaves some in place and the job's folder, whose name begins
+with an underscore, so that scans pass over it; the repeated job completes them.
 
 Rows are ``(name, content)``: a path below the folder, without ``..`` parts, and bytes; a null name is left out, a null
 content is an empty file. Of one name given twice within a job, any one row stays.
