@@ -18,7 +18,8 @@ CATALOG = Catalog()
 
 
 def stream_of(spark, d, name):
-    return watch.watch_table(spark, d, table(spark, d, name).schema, f"{name}.parquet")
+    """A table as arriving files, be it one file or a folder of parts: the braces make a pattern of the path, which may name either."""
+    return watch.watch_table(spark, f"{d.rstrip('/')}/{{{name}.parquet}}", table(spark, d, name).schema)
 
 
 @CATALOG.add("stream_dedup_ledger", """

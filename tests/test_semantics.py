@@ -268,3 +268,15 @@ def test_topical_terms_late_in_a_text(spark):
                       screens.topical_hits(late["parts"], ["alpha", "beta", "gamma"], None).alias("hits"),
                       screens.topically_dense(late["parts"], ["alpha", "beta", "gamma"], stop_after=None).alias("dense")).first()
     assert (row["limited"], row["hits"], row["dense"]) == (0, 3, True)
+
+
+def test_streams_take_tables_of_several_parts(spark, tmp_path):
+    """A table may be a folder of part files as well as one file, beside other tables of the same kind."""
+    from deckmill.catalog import watching
+
+    docs = spark.createDataFrame([(i, f"text {i % 7}", "en", f"s{i % 2}", 6) for i in range(20)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet.old")
+    assert watching.stream_dedup_ledger(spark, str(tmp_path)).count() == 7
+    assert sorted(tuple(r) for r in watching.stream_source_counters(spark, f"{tmp_path}/").collect()) == [("s0", 10, 60), ("s1", 10, 60)]
+    assert watching.stream_publish_metadata(spark, str(tmp_path)).count() == 18
