@@ -32,9 +32,21 @@ def start(stream: DataFrame, batch: Batch, checkpoint: str, every: str | None =
     return writer.start()
 
 
+def for_many_files(spark: SparkSession) -> SparkSession:
+    """A session like this one for streams over very many small files, for which a stream asks the session it was read with:
+    a micro-batch looks each of its files up once more, by Spark a task for each file, and reads them as if each were megabytes long."""
+    wanted = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism),
+              "spark.sql.files.openCostInBytes": str(64 << 10)}
+    session = spark.newSession()
+    for key, value in {**spark.conf.getAll, **wanted}.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    return session
+
+
 def watch_decks(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
     """Arriving deck files with their bytes."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.{ppt,pptx}").option("recursiveFileLookup", "true")
+    reader = for_many_files(spark).readStream.format("binaryFile").option("pathGlobFilter", "*.{ppt,pptx}").option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     raw = reader.schema("path string, modificationTime timestamp, length bigint, content binary").load(folder)
