@@ -71,3 +71,19 @@ def test_state_holds_one_period_only(spark, rocksdb, tmp_path):
         sizes.append(query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
     # each wave lies beyond the period of the one before, whose keys are gone
     assert max(sizes[1:]) <= sizes[0] * 2 and sizes[-1] <= sizes[1]
+
+
+def test_keys_of_one_bucket_keep_apart(spark, rocksdb, tmp_path):
+    """Null and very large numbers, texts that look alike and both zeros meet in one bucket, over two micro-batches."""
+    big = (1 << 53) + 1
+    rows = [(big, "a", 0.0, 0, 1), (big + 1, "a", 0.0, 1, 2), (None, "a", 0.0, 2, None), (big, "a", -0.0, 3, 4), (None, "null", 0.0, 4, 5), (None, None, 0.0, 5, big)]
+    for wave in (0, 10):
+        df = spark.createDataFrame([(k, t, z, at + wave, n) for k, t, z, at, n in rows], "k bigint, t string, z double, at bigint, n bigint")
+        df.withColumn("at", F.timestamp_seconds(F.col("at") + 1_000_000)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = watch.watch_table(spark, f"{tmp_path}/in", "k bigint, t string, z double, at timestamp, n bigint")
+        passed = expiring.first_per_period(stream, ["k", "t", "z"], "at", 60, "1 minute", ["n"], buckets=1)
+        (passed.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/checkpoint")
+         .trigger(availableNow=True).start().awaitTermination())
+    out = spark.read.schema("k bigint, t string, z double, at timestamp, n bigint").parquet(f"{tmp_path}/out")
+    assert {(r.k, r.t, r.n) for r in out.collect()} == {(big, "a", 1), (big + 1, "a", 2), (None, "a", None), (None, "null", 5), (None, None, big)}
+    assert out.count() == 5
