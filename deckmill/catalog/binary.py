@@ -27,6 +27,7 @@ from deckmill.plans import curate, ingest
 from deckmill.session import cut_lineage, scratch_path
 from deckmill.sinks import tables as sinks
 from deckmill.sources import archives, decks
+from deckmill.sources.decks import pieces
 from deckmill.sources.tables import CATALOGUE_SIDECAR_SCHEMA
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -104,9 +105,10 @@ def made_decks(spark, d):
     f = heavy_files(spark, d)
 
     def run(batches):
-        for b in batches:
-            yield pd.DataFrame({"doc_id": b.doc_id, "content": [
-                build_deck(*r) for r in b[["doc_id", "text", "lang", "source"]].itertuples(index=False, name=None)]})
+        for batch in batches:
+            for b in pieces(batch):
+                yield pd.DataFrame({"doc_id": b.doc_id, "content": [
+                    build_deck(*r) for r in b[["doc_id", "text", "lang", "source"]].itertuples(index=False, name=None)]})
 
     built = f.select("doc_id", "text", "lang", "source").mapInPandas(run, "doc_id bigint, content binary")
     name = F.concat(names.zero_padded(F.col("doc_id"), 6), F.when(F.col("doc_id") % 10 == 0, ".ppt").otherwise(".pptx"))

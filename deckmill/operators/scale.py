@@ -135,6 +135,12 @@ def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
+def gathered(files: DataFrame) -> DataFrame:
+    """A scan of files in at most some tasks per core: a file counts as megabytes, so that millions of small ones make as
+    many tasks as there are some dozens of them."""
+    return files.coalesce(max(256, 16 * files.sparkSession.sparkContext.defaultParallelism))
+
+
 def small_table(df: DataFrame, limit: int = SMALL_ROWS) -> list | None:
     """Rows of ``df`` when there are at most ``limit``, else None."""
     rows = df.take(limit + 1)

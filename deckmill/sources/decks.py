@@ -19,10 +19,12 @@ from pyspark.sql import types as T
 
 from deckmill import fixed_values as fv
 from deckmill.functions import names
+from deckmill.operators import scale
 
 # The functions below travel to the workers by value, so workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+AT_ONCE = 64  # decks opened before their rows leave the worker
 OLE_MAGIC = bytes.fromhex(fv.OLE_MAGIC_HEX)
 DRAWING_NS = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
 SLIDE_NS = "{http://schemas.openxmlformats.org/presentationml/2006/main}"
@@ -58,8 +60,8 @@ def scan(spark: SparkSession, folders: Sequence[str], recursive: bool = False,
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     files = reader.load(list(dict.fromkeys(folders)))
-    return with_name_columns(files.select(
-        "path", F.col("length").alias("file_size"), F.col("modificationTime").alias("mtime"), "content"))
+    return with_name_columns(scale.gathered(files.select(
+        "path", F.col("length").alias("file_size"), F.col("modificationTime").alias("mtime"), "content")))
 
 
 def with_name_columns(files: DataFrame, path: str = "path") -> DataFrame:
@@ -183,6 +185,12 @@ def parse_deck(content: bytes) -> dict:
     return row
 
 
+def pieces(batch: pd.DataFrame, rows: int = AT_ONCE) -> Iterator[pd.DataFrame]:
+    """A batch by a few rows at a time: what is made of them, many times their size, does not follow the batch size."""
+    for at in range(0, len(batch), rows):
+        yield batch.iloc[at:at + rows]
+
+
 def parse_decks(files: DataFrame, keep: Sequence[str] = ("path",), content: str = "content") -> DataFrame:
     """One row per deck with its container facts and slide parts.
 
@@ -195,8 +203,9 @@ def parse_decks(files: DataFrame, keep: Sequence[str] = ("path",), content: str
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parsed = pd.DataFrame([parse_deck(bytes(c) if c is not None else b"") for c in batch[content]])
-            yield pd.concat([batch[kept].reset_index(drop=True), parsed], axis=1)
+            for some in pieces(batch):
+                parsed = pd.DataFrame([parse_deck(bytes(c) if c is not None else b"") for c in some[content]])
+                yield pd.concat([some[kept].reset_index(drop=True), parsed], axis=1)
 
     return files.select(*kept, content).mapInPandas(run, schema)
 

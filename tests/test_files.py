@@ -319,3 +319,14 @@ def test_compound_directories_of_long_files():
     broken = bytearray(large)
     broken[68:72] = (10 ** 6).to_bytes(4, "little")
     assert "OLE error" in decks.parse_deck(bytes(broken))["read_error"]
+
+
+def test_decks_are_opened_a_few_at_a_time():
+    """What a large batch of decks is made into leaves the worker by parts."""
+    import pandas as pd
+
+    from deckmill.sources import decks
+
+    batch = pd.DataFrame({"path": [str(i) for i in range(1000)]}, index=range(5, 1005))
+    parts = list(decks.pieces(batch))
+    assert max(map(len, parts)) <= 64 and pd.concat(parts).equals(batch) and not list(decks.pieces(batch[:0]))
