@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from deckmill.catalog.common import AUTHORITY, FILES, Catalog, files, table
+from deckmill.catalog.common import AUTHORITY, FILES, Catalog, heavy_files, table
 from deckmill.functions import terms, urls
 from deckmill.operators import scale, suffixes
 from deckmill.session import scratch_path
@@ -29,7 +29,7 @@ def deck_folder(spark, d, condition="true"):
 
 
 def add_decks(spark, d, path, condition):
-    file_sinks.write_files(files(spark, d).where(condition), path, F.concat_ws("/", "source", "name"), F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    file_sinks.write_files(heavy_files(spark, d).where(condition), path, F.concat_ws("/", "source", "name"), F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
 
 
 @CATALOG.add("deck_folder_listing", f"""WITH {FILES}
@@ -52,7 +52,7 @@ def sidecar_files(spark, d):
     """One sidecar file per deck, read back by the sidecar scan."""
     path = scratch_path(spark, "sidecar-files")
     card = F.to_json(F.struct(F.col("name").alias("original_filename"), "source_url", F.col("lang").alias("language"), "file_size"))
-    file_sinks.write_sidecar_files(files(spark, d), path, card, F.col("name"))
+    file_sinks.write_sidecar_files(heavy_files(spark, d), path, card, F.col("name"))
     cards = src.sidecars(spark, path)
     return cards.select(F.substring_index("sidecar_path", "/", -1).alias("sidecar"), "original_filename", "source_url", "language", "file_size")
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from deckmill import fixed_values as fv
 from deckmill.functions import names, urls
 from deckmill.functions import text as tx
+from deckmill.operators import scale
 
 METADATA_FIELDS = [
     "source_url", "source_domain", "download_url", "original_filename", "collection_timestamp",
@@ -47,7 +48,7 @@ def sidecars(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     """
     reader = spark.read.schema(schema).option("multiLine", str(not lines).lower())
     raw = reader.option("mode", "PERMISSIVE" if keep_corrupt else "DROPMALFORMED").json(paths)
-    found = raw.select("*", plain_path(F.col("_metadata.file_path")).alias("sidecar_path"))
+    found = scale.gathered(raw.select("*", plain_path(F.col("_metadata.file_path")).alias("sidecar_path")))
     base = F.regexp_replace("sidecar_path", r"\.meta\.json$", "")
     return found.withColumn("deck_path_a", base).withColumn("deck_stem_b", base)
 

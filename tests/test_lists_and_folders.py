@@ -144,3 +144,36 @@ def test_source_quota_equals_counting_all(spark):
         taken = batches.source_allocation({s: len(p) for s, p in own.items()}, ["b", "a", "c"], target)
         got = batches.source_quota(df, ["b", "a", "c"], target, ["path"]).collect()
         assert sorted((r.path, r.source_seq) for r in got) == sorted((p, n + 1) for s, k in taken.items() for n, p in enumerate(own[s][:k]))
+
+
+def test_deck_stream_reads_many_small_files_in_few_tasks(spark, tmp_path):
+    from deckmill.streaming import watch
+
+    (tmp_path / "in").mkdir()
+    for i in range(600):
+        (tmp_path / "in" / f"{i}.pptx").write_bytes(b"x")
+    before, tasks = spark.conf.get("spark.sql.files.openCostInBytes"), []
+    watch.start(watch.watch_decks(spark, f"{tmp_path}/in"), lambda rows, epoch: tasks.append((rows.rdd.getNumPartitions(), rows.count())), f"{tmp_path}/checkpoint").awaitTermination()
+    assert len(tasks) == 1 and tasks[0][0] <= spark.sparkContext.defaultParallelism and tasks[0][1] == 600
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_scans_of_many_files_are_gathered(spark):
+    from deckmill.operators import scale
+
+    most = max(256, 16 * spark.sparkContext.defaultParallelism)
+    assert scale.gathered(spark.range(0, 3000, 1, 1000)).rdd.getNumPartitions() == most and scale.gathered(spark.range(0, 9, 1, 3)).rdd.getNumPartitions() == 3
+
+
+def test_file_writer_makes_a_folder_once():
+    from deckmill.sinks import files
+
+    class Made(list):
+        def create_dir(self, folder, recursive):
+            self.append(folder)
+
+    made = Made()
+    folders = files.Folders(made, "top")
+    for folder in ("top", "top/a", "top/b/c", "top/a", "top/b"):
+        folders.add(folder)
+    assert made == ["top/a", "top/b", "top/b/c"]
