@@ -382,6 +382,44 @@ def test_scores(spark, odd, docs):
     assert context_mixing.score(docs(rows[:5]), F.lit(True)).count() == 5
 
 
+def test_mixers_learn_from_every_bit_of_all_training_texts(docs, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{int(rng.expovariate(0.05))}" for _ in range(rng.randrange(5, 60))), "a") for i in range(400)]
+    held = F.col("doc_id") % 7 == 2
+    seen, texts = [], []
+    train, kinds = context_mixing.train_mixer, context_mixing.learn_kinds
+
+    def counting(sums, gates, k):
+        moments = sums(np.zeros((gates, k))).reshape(gates, -1)
+        seen.append(moments[:, k + k * k:k + k * k + context_mixing.CELLS].sum())
+        return train(sums, gates, k)
+
+    def looking(training, code):
+        texts.extend([np.frombuffer(r[0], code.width) for r in training.select("symbols").collect()] + [code])
+        return kinds(training, code)
+    monkeypatch.setattr(context_mixing, "train_mixer", counting)
+    monkeypatch.setattr(context_mixing, "learn_kinds", looking)
+    context_mixing.score(docs(rows), held, frequent=40)
+    code = texts.pop()
+    own = [context_mixing.tokens(t.encode()) for i, t, _ in rows if i % 7 != 2]
+    assert len(texts) == len(own) and sum(map(len, texts)) == sum(map(len, own))
+    assert seen[0] == pytest.approx(sum(code.length[t].sum() for t in texts))
+    rare = Counter(t for some in own for t in some if t not in code.ids)
+    assert seen[1] == pytest.approx(sum(8 * (len(t) + 1) * min(n, 3) for t, n in rare.items())) and len(rare) > 20
+
+
+def test_tally_joins_its_runs(monkeypatch):
+    monkeypatch.setattr(context_mixing, "GRAMS", 50)
+    rng, tally, want, got = np.random.default_rng(2), context_mixing.Tally(), Counter(), Counter()
+    for _ in range(60):
+        keys = rng.integers(-40, 40, 30)
+        want.update(keys.tolist())
+        if tally.add(keys):
+            got.update(dict(zip(*(c.to_pylist() for c in tally.emptied().columns))))
+    got.update(dict(zip(*(c.to_pylist() for c in tally.emptied().columns))))
+    assert got == want
+
+
 def test_probabilities_of_all_spellings_sum_to_one_at_most():
     """Over all one-byte words, the spelling model is a distribution."""
     words = [bytes([b]) for b in range(33, 127)] * 3
