@@ -2,7 +2,9 @@
 
 import hashlib
 import itertools
+import json
 import math
+import pathlib
 import random
 import re
 import zlib
@@ -37,6 +39,55 @@ def test_no_ids(spark, docs):
     assert huffman.token_table(docs([]), TOKENIZER).count() == 0
 
 
+ALPHABETS = ["ab", "aBé", "ÀÉÞßÿ×÷", "żłЖжΣσςİı", "中文", "e\u0301A\u030a", "\0\x1f\xa0", "12", "'", ".,#*<|>&@`", "<|endoftext|>", "\U0001f600"]
+
+
+@pytest.mark.parametrize("tokenizer", [TOKENIZER, "no end mark"])
+@pytest.mark.parametrize("stretch, pieces, words", [(1 << 20, 1 << 20, 300_000), (40, 30, 5)])
+def test_ids_of_odd_words(monkeypatch, tmp_path, tokenizer, stretch, pieces, words):
+    """Words of one and of mixed alphabets, around the length of a key, over stretches and full caches."""
+    for name, value in (("STRETCH", stretch), ("CACHED_PIECES", pieces), ("CACHED_WORDS", words)):
+        monkeypatch.setattr(huffman, name, value)
+    if tokenizer != TOKENIZER:  # its words are not cut into letters and marks
+        plain = json.loads(pathlib.Path(TOKENIZER).read_text()) | {"normalizer": None}
+        tokenizer = str(tmp_path / "words.json")
+        pathlib.Path(tokenizer).write_text(json.dumps(plain))
+    rng, library, ids = random.Random(5), Tokenizer.from_file(tokenizer), huffman.WordIds(tokenizer, "<u2")
+
+    def word():
+        parts = rng.choices(ALPHABETS, k=rng.choice((1, 1, 2, 3)))
+        return "".join("".join(rng.choices(p, k=rng.choice((1, 2, 6, 13, 14, 15, 16, 40)))) if p[0] != "<" or rng.random() < 0.5 else p for p in parts)
+
+    vocabulary = [word() for _ in range(400)]
+    for _ in range(12):
+        texts = ["".join(rng.choice(vocabulary) + rng.choice([" ", "\n", "  \t", " \r\f\v "]) for _ in range(rng.choice((0, 1, 30)))) for _ in range(20)]
+        texts += ["", " ", "x" * 100, rng.choice(vocabulary)]
+        want = [library.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+        assert [np.frombuffer(found, "<u2").tolist() for found in ids.texts([t.encode() for t in texts], b"\1\0")] == want
+
+
+def test_letters_are_encoded_once():
+    """Spellings of the same letters, whatever marks follow, go to the library once."""
+    ids, sent = huffman.WordIds(TOKENIZER, "<u2"), []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(w for t in texts for w in re.split(r" |<\|\w+\|>", t))
+            return self.inner.encode_batch_fast(texts, **options)
+
+        def encode(self, text, **options):
+            sent.append(text)
+            return self.inner.encode(text, **options)
+
+    ids.tokenizer, ids.letters = Counted(ids.tokenizer), Counted(ids.letters)
+    ids.texts([b"stone Stone### STONE", "stone*** été ÉTÉ### Été&&& été.".encode()], b"\1\0")
+    ids.texts(["STONE&&& ÉTÉ***".encode()], b"\1\0")
+    assert sorted(sent) == sorted(["stone", "été", "###", "***", "&&&", "."])
+
+
 def test_code_lengths_are_optimal_and_limited():
     rng = np.random.default_rng(1)
     for n in (1, 2, 3, 50, 700):
