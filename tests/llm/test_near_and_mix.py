@@ -89,6 +89,12 @@ def test_signature_keys_cover_all_errors(spark):
     assert all(r["k"] > 0 and r["d"] == 23 for r in shared.collect())
 
 
+def test_the_count_of_differences_names_each_chunk_twice():
+    """Plans hold this expression several times, and the driver plans them again after every stage."""
+    from pyspark.sql import functions as F
+    assert str(hamming._differences(F.col("a"), F.col("b"))).count("element_at(a") <= 2 * hamming.CHUNKS
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 5)]
     for local_edges in (0, 1000):  # in rounds, and in one task

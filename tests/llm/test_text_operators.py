@@ -7,6 +7,7 @@ import math
 import pathlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -246,6 +247,39 @@ def test_copied_and_reworded_items_are_found(spark, docs):
     assert latent.decontaminated(table, benchmark.limit(0)).count() == len(rows) + 2
 
 
+def test_a_basis_by_stretches_is_that_of_the_whole():
+    rng = np.random.default_rng(3)
+    block = (rng.standard_normal((96, 8)) * np.logspace(0, -4, 8)).astype(np.float32)
+    basis = block.copy()
+    latent.orthonormalise(basis, rows=16)
+    whole = np.linalg.qr(block)[0]
+    assert np.allclose(basis.T @ basis, np.eye(8), atol=1e-5)
+    assert np.allclose(np.abs((basis * whole).sum(0)), 1, atol=1e-4)
+    block[:, 3:] = 0
+    block[16:48] = 0
+    latent.orthonormalise(basis := block.copy(), rows=16)
+    assert np.allclose(basis.T @ basis, np.eye(8), atol=1e-5) and np.allclose(basis @ (basis.T @ block), block, atol=1e-5)
+
+
+def test_the_driver_holds_little_during_the_fit(spark, docs):
+    rng = random.Random(9)
+    table = docs([(i, " ".join(f"w{rng.randrange(500)}" for _ in range(60)), "a") for i in range(60)])
+    items = table.selectExpr("doc_id AS item_id", "text").limit(5)
+    tracemalloc.start()
+    try:
+        space = latent.fit_space(table.select("doc_id", "text"), items, 0.9, 3000)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert space.directions.shape == (latent.FEATURES, latent.RANK)
+    assert most < 4 * latent.FEATURES * (latent.RANK + latent.EXTRA) * 4, most
+
+
+def test_the_driver_does_not_read_the_tokenizer(docs, monkeypatch):
+    monkeypatch.setattr("tokenizers.Tokenizer", None)  # tasks have their own
+    assert [r["n_tokens"] for r in huffman.token_table(docs([(1, None, "a"), (2, "", "a")]), TOKENIZER).collect()] == [1, 1]
+
+
 def test_items_of_common_words_and_short_items_are_found(spark, docs):
     rng = random.Random(4)
     hot, short, pair, one = " ".join(f"hot{k}" for k in range(30)), "the of and", "lone pair", "single"
