@@ -79,7 +79,7 @@ def stream_watch_decks(spark, d):
     folder, out = scratch_path(spark, "watched"), scratch_path(spark, "stream-decks")
     for wave in range(3):
         add_decks(spark, d, folder, F.col("doc_id") % 2 == wave)
-        arrived = watch.watch_decks(spark, folder).select("name", "extension", "file_size")
+        arrived = watch.watch_decks(spark, folder, state=f"{out}/arrivals", content=False).select("name", "extension", "file_size")
         watch.start(arrived, lambda rows, epoch: sinks.append_parquet(rows, f"{out}/seen", watch._part(rows.sparkSession, epoch)), f"{out}/checkpoint").awaitTermination()
     seen = spark.read.schema("name string, extension string, file_size bigint").option("basePath", f"{out}/seen").parquet(f"{out}/seen")
     return seen.groupBy("name", "extension", "file_size").agg(F.count("*").alias("times_seen"))

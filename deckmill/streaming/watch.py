@@ -20,7 +20,7 @@ from deckmill.operators import dedup, ledger
 from deckmill.operators.ledger_index import LedgerIndex
 from deckmill.plans import curate
 from deckmill.sinks import tables as sinks
-from deckmill.sources import decks
+from deckmill.sources import arrivals, decks
 
 Batch = Callable[[DataFrame, int], None]
 
@@ -44,14 +44,26 @@ def for_many_files(spark: SparkSession) -> SparkSession:
     return session
 
 
-def watch_decks(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """Arriving deck files with their bytes."""
-    reader = for_many_files(spark).readStream.format("binaryFile").option("pathGlobFilter", "*.{ppt,pptx}").option("recursiveFileLookup", "true")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    raw = reader.schema("path string, modificationTime timestamp, length bigint, content binary").load(folder)
-    return decks.with_name_columns(raw.select("path", F.col("length").alias("file_size"),
-                                              F.col("modificationTime").alias("mtime"), "content"))
+def watch_decks(spark: SparkSession, folder: str, max_files: int | None = None, state: str | None = None, content: bool = True) -> DataFrame:
+    """Arriving deck files with their bytes, unless these are not wanted.
+
+    Spark's file source keeps the paths of all files in the driver. With a folder for the stream's ``state``, beside its
+    checkpoint, they are kept there (``sources.arrivals``), and a micro-batch takes all there is: its files cost the driver nothing."""
+    if state is not None:
+        if max_files:
+            raise ValueError("max_files goes with Spark's file source: with a state, a micro-batch takes all there is")
+        arrivals.register(spark)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        root = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        raw = (spark.readStream.format("arriving_files").option("path", root).option("state", state).option("suffixes", ".ppt,.pptx")
+               .option("content", str(content).lower()).load())
+    else:
+        reader = for_many_files(spark).readStream.format("binaryFile").option("pathGlobFilter", "*.{ppt,pptx}").option("recursiveFileLookup", "true")
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", str(max_files))
+        raw = reader.schema("path string, modificationTime timestamp, length bigint, content binary").load(folder)
+    return decks.with_name_columns(raw.select("path", F.col("length").alias("file_size"), F.col("modificationTime").alias("mtime"),
+                                              *(["content"] if content else [])))
 
 
 def watch_table(spark: SparkSession, folder: str, schema: T.StructType | str, pattern: str | None = None,

@@ -158,6 +158,67 @@ def test_deck_stream_reads_many_small_files_in_few_tasks(spark, tmp_path):
     assert spark.conf.get("spark.sql.files.openCostInBytes") == before
 
 
+def test_deck_stream_keeps_its_list_on_disk(spark, tmp_path):
+    """What is met, and the order in which it is handed on, as with Spark's file source; paths and bytes too."""
+    import os
+    import time
+
+    src, seen = tmp_path / "in %41", {"own": [], "spark": []}
+    (src / "sub").mkdir(parents=True)
+
+    def once():
+        for kind, options in (("own", {"state": f"{tmp_path}/state"}), ("spark", {})):
+            def run(rows, epoch, kind=kind):
+                found = sorted((r.path, r.name, r.folder, r.extension, r.file_size, r.mtime, bytes(r.content)) for r in rows.collect())
+                seen[kind] += [found] if found else []
+            watch.start(watch.watch_decks(spark, str(src), **options), run, f"{tmp_path}/checkpoint-{kind}").awaitTermination()
+        assert seen["own"] == seen["spark"]
+        return [[r[1] for r in batch] for batch in seen["own"]]
+
+    assert once() == []
+    for name in ("b.pptx", "sub/a c.ppt", "sub/B.PPTX", "x.txt", ".h.pptx", "_h.pptx", "_k=1.ppt", "c.pptx._COPYING_"):
+        (src / name).write_bytes(name.encode())
+    (src / "_gone").mkdir()
+    (src / "_gone" / "d.pptx").write_bytes(b"d")
+    first = [["_k=1.ppt", "b.pptx", "a c.ppt"]]
+    assert once() == first and once() == first
+    (src / "a.pptx").write_bytes(b"a")
+    (src / "empty.pptx").write_bytes(b"")
+    os.utime(src / "a.pptx", (time.time() - 86400,) * 2)  # an older file that was moved in
+    (src / "b.pptx").write_bytes(b"again")
+    assert once() == [*first, ["a.pptx"]]
+    assert once() == [*first, ["a.pptx"]]
+    listing = watch.watch_decks(spark, str(src), state=f"{tmp_path}/state", content=False)
+    again = []
+    watch.start(listing, lambda rows, epoch: again.append(sorted(rows.columns)) or again.append(sorted(r.name for r in rows.collect())), f"{tmp_path}/checkpoint-new").awaitTermination()
+    assert again == [["extension", "file_size", "folder", "mtime", "name", "path"], ["_k=1.ppt", "a c.ppt", "a.pptx", "b.pptx"]]
+    with pytest.raises(ValueError, match="max_files"):
+        watch.watch_decks(spark, str(src), max_files=1, state=f"{tmp_path}/state")
+
+
+def test_arrivals_are_sorted_and_merged_in_runs(tmp_path):
+    from deckmill.sources import arrivals
+
+    rng, state = random.Random(2), arrivals.State(f"{tmp_path}/state")
+    left, met = [(f"file:/in/{i}.ppt", i, i * 10) for i in range(1000)], []
+    rng.shuffle(left)
+    for wave, count in enumerate((300, 1, 699), 1):
+        there = [*met, *left[:count]]
+        rng.shuffle(there)
+        scratch = tmp_path / f"scratch-{wave}"
+        scratch.mkdir()
+        assert state.advance(arrivals.in_order(there, str(scratch), most=64)) == wave
+        assert len(list(scratch.iterdir())) == -(-len(there) // 64)
+        with state.open("wave", wave) as table:
+            assert list(arrivals._rows(table.iter_batches())) == sorted(left[:count])
+        met, left = there, left[count:]
+        assert list(state.paths("met", wave)) == sorted(m[0] for m in met) and state.lists() == [wave]
+        # a wave that no list counts was not handed on, and is found again
+        state.files.copy_file(state.path("wave", wave), state.path("wave", wave + 1))
+    assert state.advance(arrivals.in_order(met, str(scratch), most=2000)) == 3
+    assert list(arrivals.by_size([("a", 0, 5), ("b", 0, 6), ("c", 0, 1)], 4, 10)) == [[("a", 0, 5), ("b", 0, 6)], [("c", 0, 1)]]
+
+
 def test_scans_of_many_files_are_gathered(spark):
     from deckmill.operators import scale
 
