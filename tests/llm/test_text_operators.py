@@ -12,6 +12,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -275,6 +276,49 @@ def test_the_driver_holds_little_during_the_fit(spark, docs):
     assert most < 4 * latent.FEATURES * (latent.RANK + latent.EXTRA) * 4, most
 
 
+def test_the_fit_takes_all_passages(spark, docs, monkeypatch):
+    rng, fits, whole = random.Random(5), [], latent.range_of
+    texts = [" ".join(f"w{int(400 * rng.random() ** 2)}" for _ in range(rng.choice([0, 1, 2, 12, 13, 24, 25, 36, 37, 90]))) for _ in range(3500)]
+    items = [" ".join(f"w{rng.randrange(500)}" for _ in range(40)) for _ in range(5)]
+    monkeypatch.setattr(latent, "range_of", lambda *fit: fits.append(fit) or whole(*fit))
+    latent.leaks(docs([(i, t or None, "a") for i, t in enumerate(texts)]), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    (words, weights, seed), = fits
+    hashing, rows = latent.Hashing(), []
+    for text in texts + items:
+        columns = [c for c in hashing.of(text.encode()) if weights[c] > 0]
+        for start, end in zip(*latent.bounds(len(columns))):
+            row = np.zeros(latent.FEATURES, np.float32)
+            for c in columns[start:end]:
+                row[c] += weights[c]
+            rows.append(row / max(np.linalg.norm(row), 1e-9))
+    used = np.flatnonzero(np.any(rows, axis=0))
+    a = np.array([row[used] for row in rows], np.float64)
+    found, block = np.zeros((latent.FEATURES, latent.RANK + latent.EXTRA)), latent.random_block(seed).astype(np.float64)
+    for at, some in whole(words, weights, seed):
+        found[at:at + len(some)] = some
+    wanted = a.T @ (a @ block[used])
+    assert np.allclose(found[used], wanted, atol=1e-5 * np.abs(wanted).max()) and np.count_nonzero(found) == np.count_nonzero(found[used])
+    wanted = a @ block[used]
+    assert np.allclose(latent.products_in(words, weights, latent.random_block(seed)), wanted.T @ wanted, rtol=1e-4, atol=1e-3 * np.abs(wanted).max())
+
+
+def test_passages_of_long_texts_by_pieces(monkeypatch):
+    rng = np.random.default_rng(6)
+    weights, table = rng.random(latent.FEATURES).astype(np.float32), rng.random((latent.FEATURES + 1, 3)).astype(np.float32)
+    table[-1], weights[:20] = 0, 0
+    texts = [rng.integers(0, 60, n) for n in (0, 1, 200, 3, 83, 84, 85, 11, 12, 13, 96, 97, 170, 0)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t.astype("<u2").tobytes() for t in texts], pa.binary())], ["columns"])
+
+    def rows():
+        some = [np.column_stack([p.projected(table), p.squares]) for p in latent.passages_of(iter([batch]), weights)]
+        return np.array(sorted(np.concatenate(some).round(3).tolist()))
+    whole = rows()
+    assert len(whole) == sum(len(latent.bounds(n)[0]) for n in (int((t >= 20).sum()) for t in texts) if n)
+    for most in (24, 30, 36, 60):
+        monkeypatch.setattr(latent, "ROWS", most)
+        assert np.allclose(rows(), whole, atol=2e-3)
+
+
 def test_the_driver_does_not_read_the_tokenizer(docs, monkeypatch):
     monkeypatch.setattr("tokenizers.Tokenizer", None)  # tasks have their own
     assert [r["n_tokens"] for r in huffman.token_table(docs([(1, None, "a"), (2, "", "a")]), TOKENIZER).collect()] == [1, 1]
