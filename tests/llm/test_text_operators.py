@@ -511,6 +511,42 @@ def test_scores(spark, odd, docs):
     assert context_mixing.score(docs(rows[:5]), F.lit(True)).count() == 5
 
 
+def test_weights_are_refined_after_every_token(monkeypatch):
+    """Against a loop over tokens and bits: texts of all lengths, those of one step and less too."""
+    cm, rng = context_mixing, np.random.default_rng(4)
+    code = cm.make_code([(f"w{i}", int(2000 / (i + 1)) + 2) for i in range(600)], 40, 9000, 700)
+    code.kinds = np.concatenate([np.log(rng.dirichlet(np.ones(cm.TOP), cm.KINDS).T + 1e-6), np.zeros((1, cm.KINDS))])
+    model = cm.Predictors.of([rng.integers(0, 6, (n, 2)).astype(float) for n in code.sizes])
+    model.mixer = cm.Mixer(rng.random((9, 5)), rng.random((9, cm.CELLS)))
+    sizes = np.array([1, 5, 0, 40, 2, 300, 128, 129, 2])
+    symbols = np.minimum(rng.zipf(1.3, int(sizes.sum())) - 1, code.escape + 1)
+    past, wanted, first = cm.Past.of(symbols, sizes, code), [], np.cumsum(sizes) - sizes
+    silent = cm.stretch(np.zeros(1), np.zeros(1))[0]
+    for start, size in zip(first, sizes):
+        weights, total = model.mixer.weights.copy(), 0.0
+        for token in range(start, start + size):
+            slope, seen = np.zeros_like(weights), np.zeros(9)
+            for at in range(code.start[symbols[token]], code.start[symbols[token]] + code.length[symbols[token]]):
+                node, bit, kind = code.nodes[at], code.bits[at], past.kind[token]
+                slots = cm.shallow_slots(*(np.array([v]) for v in (node, past.one[token], past.two[token], kind)))
+                shallow = code.depth[at] < cm.SHALLOW
+                x = np.array([model.stretched[0][node], model.stretched[1][node * cm.KINDS + kind],
+                              *(model.stretched[2 + j][slots[j][0]] if shallow else silent for j in (0, 1)), 1])
+                gate = int(model.sure[1][node * cm.KINDS + kind]) + (3 * int(model.sure[3][slots[1][0]]) if shallow else 0)
+                mixed = float(weights[gate] @ x)
+                plain, p = model.mixer.refined(np.array([mixed]), np.array([gate]))
+                slope[gate] += x * (bit - plain[0])
+                seen[gate] += 1
+                total += math.log10(p[0] if bit else 1 - p[0])
+            weights += cm.RATE * slope / np.sqrt(cm.STEP * seen + 1)[:, None]
+        wanted.append(total)
+    scorer = cm.Scorer(model, code)
+    for together in (1, 7, 1 << 14):
+        monkeypatch.setattr(cm, "TOGETHER", together)
+        assert np.allclose(scorer.log10_of(symbols, sizes), wanted, rtol=1e-4, atol=1e-6)
+    assert len(scorer.log10_of(symbols[:0], sizes[:0])) == 0
+
+
 def test_mixers_learn_from_every_bit_of_all_training_texts(docs, monkeypatch):
     rng = random.Random(8)
     rows = [(i, " ".join(f"w{int(rng.expovariate(0.05))}" for _ in range(rng.randrange(5, 60))), "a") for i in range(400)]
